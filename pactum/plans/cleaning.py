@@ -116,3 +116,65 @@ def clean_contracts(raw: DataFrame, economy: DataFrame, *, exact_phrase: bool =
     # stable unique surrogate (the source id); pactum.operators.indexing.dense_index
     # gives 0..n-1 when a dense numbering is really needed
     return df.withColumn("index", F.col("id")).drop("id")
+
+
+# --- fixed values: integrated-source and process cleaning -------------------
+INTEGRATED_LOWER = ("nivel_entidad", "nom_raz_social_contratista", "departamento_entidad",
+                    "municipio_entidad", "objeto_a_contratar", "objeto_del_proceso",
+                    "estado_del_proceso", "modalidad_de_contrataci_n", "tipo_de_contrato",
+                    "nombre_de_la_entidad")
+INTEGRATED_NOT_FOLDED = ("objeto_a_contratar", "objeto_del_proceso")
+PROCESS_LOWER_FOLD = ("entidad", "departamento_entidad", "ciudad_entidad", "ordenentidad", "fase",
+                      "modalidad_de_contratacion", "unidad_de_duracion", "estado_del_procedimiento",
+                      "departamento_proveedor", "ciudad_proveedor", "nombre_del_adjudicador",
+                      "nombre_del_proveedor")
+PROCESS_STRICT_INT = ("proveedores_invitados", "proveedores_con_invitacion", "respuestas_al_procedimiento",
+                      "respuestas_externas", "conteo_de_respuestas_a_ofertas", "proveedores_unicos_con",
+                      "duracion", "valor_total_adjudicacion", "precio_base")
+PROCESS_DROP = ("duracion", "unidad_de_duracion", "adjudicado", "tipo_de_contrato", "subtipo_de_contrato",
+                "visualizaciones_del", "proveedores_que_manifestaron", "estado_del_procedimiento", "fase")
+INFO_REQUEST = "solicitud de informacion a los proveedores"
+AWARDED = "adjudicado"
+# ---------------------------------------------------------------------------
+
+
+def clean_integrated(raw: DataFrame, *, lenient32: bool = False) -> DataFrame:
+    """Integrated-source contracts: lower/fold, two category maps, value and entity id."""
+    df = raw.withColumns({
+        c: (F.lower(c) if c in INTEGRATED_NOT_FOLDED else S.lower_fold(c)) for c in INTEGRATED_LOWER
+    })
+    return (
+        df.withColumns({
+            "modalidad_de_contratacion": R.map_method_integrated(F.col("modalidad_de_contrataci_n")),
+            "tipo_de_contrato": R.map_contract_type(F.col("tipo_de_contrato")),
+            "valor_contrato": S.cast_int_lenient("valor_contrato", 32 if lenient32 else 64),
+            "nit_de_la_entidad": S.entity_id_clean("nit_de_la_entidad"),
+        })
+        .drop("modalidad_de_contrataci_n")
+    )
+
+
+def clean_processes(raw: DataFrame, *, exact_phrase: bool = False) -> DataFrame:
+    """Procurement processes: awarded, typed, durations in days, de-duplicated."""
+    df = raw.withColumns({c: S.lower_fold(c) for c in PROCESS_LOWER_FOLD})
+    df = df.filter(~F.col("modalidad_de_contratacion").eqNullSafe(INFO_REQUEST)
+                   & (F.col("estado_del_procedimiento") == AWARDED))
+    df = df.withColumns({
+        "nit_entidad": S.strip_check_digit(S.cast_int_strict("nit_entidad")),
+        "modalidad_de_contratacion": R.map_method_platform(F.col("modalidad_de_contratacion")),
+        **{c: S.cast_int_strict(c) for c in PROCESS_STRICT_INT},
+    })
+    df = df.withColumn("duracion_dias", S.duration_to_days("duracion", "unidad_de_duracion"))
+    df = df.drop(*PROCESS_DROP)
+    df = df.withColumns({
+        "nit_del_proveedor_adjudicado": S.parse_int_or("nit_del_proveedor_adjudicado").cast("string"),
+        "precio_base": S.clamp_min_zero("precio_base"),
+    })
+    df = df.withColumn("valor_total_adjudicacion", S.case_when_zero("valor_total_adjudicacion", "precio_base"))
+    df = df.filter((F.col("valor_total_adjudicacion") != 0) & F.col("fecha_de_publicacion_del").isNotNull())
+    df = df.drop("precio_base")
+    name = F.lower("nombre_del_procedimiento")
+    df = df.filter(not_interadministrative(name, exact_phrase)
+                   & ~F.coalesce(name.endswith(COPY_SUFFIX), F.lit(False)))
+    df = df.withColumn("publication_year", F.year("fecha_de_publicacion_del"))
+    return df.dropDuplicates()

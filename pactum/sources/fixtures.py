@@ -17,7 +17,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Fixed fixture text: the contract-shaped view (raw platform contracts).
+# dimensions that are tiny at every scale and are joined by broadcast
+SMALL_TABLES = ("region", "nation")
+
+# Fixed fixture text: the contract-shaped view (raw platform contracts).  The
+# two 200-character text slices are cut before the join, so only they (not the
+# whole document text) travel through the join.
 CONTRACTS_SQL = """
 SELECT
   o.o_orderkey AS id,
@@ -33,7 +38,7 @@ SELECT
   o.o_orderstatus AS estado_contrato,
   CASE WHEN o.o_orderkey % 101 = 0 THEN 'Convenio interadministrativo'
        WHEN o.o_orderkey % 103 = 0 THEN 'Convenio interadministrativo 12'
-       ELSE substring(d.text, 1, 200) END AS descripcion_del_proceso,
+       ELSE d.text_head END AS descripcion_del_proceso,
   CASE o.o_orderkey % 8 WHEN 0 THEN 'Mínima cuantía' WHEN 1 THEN 'Licitación pública' WHEN 2 THEN 'Régimen especial'
        WHEN 3 THEN 'Subasta inversa' WHEN 4 THEN 'Concurso de méritos abierto' WHEN 5 THEN 'Enajenación'
        ELSE 'Contratación directa' END AS modalidad_de_contratacion,
@@ -50,12 +55,14 @@ SELECT
   CASE WHEN o.o_orderkey % 71 = 0 THEN '0' WHEN o.o_orderkey % 73 = 0 THEN 'Sin valor'
        WHEN o.o_orderkey % 79 = 0 THEN '5000000000'
        ELSE CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS STRING) END AS valor_del_contrato,
-  substring(d.text, 201, 200) AS objeto_del_contrato,
+  d.text_next AS objeto_del_contrato,
   CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN (o.o_orderkey % 4) * 15 ELSE 0 END AS STRING) AS dias_adicionados
 FROM {orders} o
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-JOIN {documents} d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {documents})
+JOIN (SELECT doc_id, substring(text, 1, 200) AS text_head, substring(text, 201, 200) AS text_next
+      FROM {documents}) d
+  ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {documents})
 """
 
 # Fixed fixture text: the regional-economy dimension (four nations left out).
@@ -72,9 +79,108 @@ GROUP BY n.n_name, n.n_nationkey
 
 ECONOMY_VALUE_COLUMNS = ("PIB", "ValorAgregado", "Impuestos")
 
+# Fixed fixture text: integrated-source contracts (A3 shape), one per order.
+INTEGRATED_SQL = """
+SELECT
+  CASE o.o_orderkey % 3 WHEN 0 THEN 'NACIONAL' WHEN 1 THEN 'TERRITORIAL' ELSE 'Territorial Descentralizado' END AS nivel_entidad,
+  concat('Alcaldía de ', n.n_name) AS nombre_de_la_entidad,
+  CASE o.o_orderkey % 4 WHEN 0 THEN concat('800.', CAST(100 + o.o_orderkey % 900 AS STRING), '.456-7')
+       WHEN 1 THEN CAST(8001234567 + o.o_orderkey % 50 AS STRING)
+       WHEN 2 THEN concat('900 ', CAST(100 + o.o_orderkey % 900 AS STRING), ' 321')
+       ELSE 'N/A' END AS nit_de_la_entidad,
+  CASE o.o_orderstatus WHEN 'F' THEN 'Liquidado' WHEN 'O' THEN 'Celebrado' ELSE 'Terminado sin Liquidar' END AS estado_del_proceso,
+  CASE o.o_orderkey % 9 WHEN 0 THEN 'Concurso de Méritos Abierto' WHEN 1 THEN 'Régimen Especial'
+       WHEN 2 THEN 'Contratación Mínima Cuantía' WHEN 3 THEN 'Contratación Directa (Ley 1150 de 2007)'
+       WHEN 4 THEN 'Subasta' WHEN 5 THEN 'Licitación Pública' WHEN 6 THEN 'Licitación obra pública'
+       WHEN 7 THEN 'Selección Abreviada de Menor Cuantía' ELSE 'Asociación Público Privada' END AS modalidad_de_contrataci_n,
+  concat('Objeto ', o.o_orderpriority, ' Nº ', CAST(o.o_orderkey AS STRING)) AS objeto_a_contratar,
+  CASE o.o_orderkey % 12 WHEN 0 THEN 'Suministro' WHEN 1 THEN 'Compraventa' WHEN 2 THEN 'Arrendamiento'
+       WHEN 3 THEN 'Comodato' WHEN 4 THEN 'Crédito' WHEN 5 THEN 'Fiducia' WHEN 6 THEN 'Obra'
+       WHEN 7 THEN 'Consultoría' WHEN 8 THEN 'Prestación de Servicios' WHEN 9 THEN 'Interventoría'
+       WHEN 10 THEN 'Concesión' ELSE 'Otro Tipo de Contrato' END AS tipo_de_contrato,
+  CASE WHEN o.o_orderkey % 5 = 0 THEN CAST(CAST(floor(o.o_totalprice * 10000) AS BIGINT) AS STRING)
+       WHEN o.o_orderkey % 11 = 0 THEN 'No definido'
+       ELSE CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS STRING) END AS valor_contrato,
+  c.c_name AS nom_raz_social_contratista,
+  n.n_name AS departamento_entidad,
+  concat(n.n_name, ' ', CAST(c.c_custkey % 7 AS STRING)) AS municipio_entidad,
+  concat('Proceso ', c.c_mktsegment, ' Año ', CAST(year(o.o_orderdate) AS STRING)) AS objeto_del_proceso,
+  CAST(o.o_orderdate AS DATE) AS fecha_de_firma_del_contrato,
+  CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 9 AS INT) AS fecha_inicio_ejecucion,
+  CAST(o.o_orderdate AS DATE) + CAST(30 + o.o_orderkey % 300 AS INT) AS fecha_fin_ejecucion
+FROM {orders} o
+JOIN {customer} c ON o.o_custkey = c.c_custkey
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+"""
+
+# Fixed fixture text: procurement processes (A2 shape), one per line item.
+PROCESSES_SQL = """
+SELECT
+  CAST(CASE WHEN l.l_suppkey % 2 = 0 THEN 8000000000 + l.l_suppkey ELSE 800000000 + l.l_suppkey END AS STRING) AS nit_entidad,
+  concat('Entidad ', s.s_name) AS entidad,
+  n.n_name AS departamento_entidad,
+  concat(n.n_name, ' Ciudad') AS ciudad_entidad,
+  CASE l.l_suppkey % 2 WHEN 0 THEN 'Nacional' ELSE 'Territorial' END AS ordenentidad,
+  concat('CO1.REQ.', CAST(l.l_orderkey AS STRING)) AS id_del_proceso,
+  concat('REF-', CAST(l.l_orderkey AS STRING), '-', CAST(l.l_linenumber AS STRING)) AS referencia_del_proceso,
+  CASE WHEN l.l_orderkey % 41 = 0 THEN 'Convenio Interadministrativo'
+       WHEN l.l_orderkey % 43 = 0 THEN concat('Proceso ', CAST(l.l_partkey AS STRING), ' COPIA')
+       ELSE concat('Proceso ', CAST(l.l_partkey AS STRING)) END AS nombre_del_procedimiento,
+  concat('Descripción ', l.l_shipinstruct_stub) AS descripci_n_del_procedimiento,
+  CASE l.l_linestatus WHEN 'F' THEN 'Presentación de oferta' ELSE 'Selección' END AS fase,
+  CAST(CASE WHEN l.l_linenumber = 3 THEN -5 ELSE CAST(floor(l.l_extendedprice) AS BIGINT) END AS STRING) AS precio_base,
+  CASE l.l_orderkey % 6 WHEN 0 THEN 'Solicitud de información a los Proveedores' WHEN 1 THEN 'Licitación pública'
+       WHEN 2 THEN 'Contratación directa' WHEN 3 THEN 'Mínima cuantía' WHEN 4 THEN 'Concurso de méritos abierto'
+       ELSE 'Contratación régimen especial' END AS modalidad_de_contratacion,
+  CAST(CAST(l.l_quantity AS BIGINT) AS STRING) AS duracion,
+  CASE l.l_linenumber % 4 WHEN 0 THEN 'Días' WHEN 1 THEN 'Meses' WHEN 2 THEN 'Años' ELSE 'ND' END AS unidad_de_duracion,
+  CAST(l.l_linenumber AS STRING) AS proveedores_invitados,
+  CAST(l.l_linenumber + 1 AS STRING) AS proveedores_con_invitacion,
+  CAST(l.l_partkey % 100 AS STRING) AS visualizaciones_del,
+  CAST(l.l_partkey % 7 AS STRING) AS proveedores_que_manifestaron,
+  CAST(l.l_linenumber % 3 AS STRING) AS respuestas_al_procedimiento,
+  '0' AS respuestas_externas,
+  CAST(l.l_linenumber % 3 AS STRING) AS conteo_de_respuestas_a_ofertas,
+  CAST(l.l_linenumber % 2 AS STRING) AS proveedores_unicos_con,
+  CASE WHEN l.l_returnflag = 'R' THEN 'Cancelado' ELSE 'Adjudicado' END AS estado_del_procedimiento,
+  CASE WHEN l.l_returnflag = 'R' THEN 'No' ELSE 'Si' END AS adjudicado,
+  n.n_name AS departamento_proveedor,
+  concat(n.n_name, ' Ciudad') AS ciudad_proveedor,
+  CAST(CASE WHEN l.l_linenumber IN (2, 3) THEN 0 ELSE CAST(floor(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT) END AS STRING) AS valor_total_adjudicacion,
+  concat('Adjudicador ', CAST(l.l_suppkey % 10 AS STRING)) AS nombre_del_adjudicador,
+  concat('Proveedor Ñandú ', CAST(l.l_partkey % 50 AS STRING)) AS nombre_del_proveedor,
+  CASE WHEN l.l_partkey % 13 = 0 THEN 'No Definido' ELSE concat(CAST(900 + l.l_partkey % 50 AS STRING), '.123.456') END AS nit_del_proveedor_adjudicado,
+  CASE l.l_orderkey % 3 WHEN 0 THEN 'Prestación de servicios' WHEN 1 THEN 'Obra' ELSE 'Suministros' END AS tipo_de_contrato,
+  'No definido' AS subtipo_de_contrato,
+  CASE WHEN l.l_orderkey % 29 = 0 THEN NULL ELSE CAST(l.l_shipdate AS DATE) END AS fecha_de_publicacion_del,
+  CAST(l.l_shipdate AS DATE) + 3 AS fecha_de_ultima_publicaci,
+  CAST(l.l_shipdate AS DATE) + 10 AS fecha_de_publicacion_fase_3,
+  CAST(l.l_shipdate AS DATE) + 20 AS fecha_de_recepcion_de,
+  CAST(l.l_shipdate AS DATE) + 25 AS fecha_de_apertura_efectiva
+FROM (SELECT *, CASE l_linenumber % 3 WHEN 0 THEN 'obra civil' WHEN 1 THEN 'servicios' ELSE 'suministro' END AS l_shipinstruct_stub
+      FROM {lineitem}) l
+JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+"""
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A file written as one row group is read by one task, which would leave
+    every downstream narrow operator single-threaded.  Only then is the scan
+    round-robin repartitioned; a large input already has at least as many
+    splits as cores, and is left alone (no shuffle at scale).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread and name not in SMALL_TABLES else df
 
 
 def _bind(spark: SparkSession, sf_dir: str, sql: str, names) -> DataFrame:
@@ -87,6 +193,16 @@ def contracts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bind(spark, sf_dir, CONTRACTS_SQL, ("orders", "customer", "nation", "documents"))
 
 
+def integrated_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw integrated-source contracts (FIXTURES A3 shape)."""
+    return _bind(spark, sf_dir, INTEGRATED_SQL, ("orders", "customer", "nation"))
+
+
+def processes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw procurement processes (FIXTURES A2 shape)."""
+    return _bind(spark, sf_dir, PROCESSES_SQL, ("lineitem", "supplier", "nation"))
+
+
 def economy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regional economy dimension (FIXTURES A4 shape, three value columns)."""
     return _bind(spark, sf_dir, ECONOMY_SQL, ("nation", "customer"))
