@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pactum.plans.cleaning import clean_contracts
+from pactum.session import materialized
 from pactum.sources import fixtures
 
 
@@ -16,10 +17,16 @@ def eco(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.economy(spark, sf_dir)
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full cleaning plan from the raw tables (what ``clean_contracts`` runs)."""
     return clean_contracts(raw(spark, sf_dir), eco(spark, sf_dir))
 
 
+def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean contract table as downstream jobs read it: written once, then scanned."""
+    return materialized(spark, f"clean_contracts:{sf_dir}", lambda: clean_plan(spark, sf_dir))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return fixtures.table(spark, sf_dir, name)
 

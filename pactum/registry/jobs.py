@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pactum.operators.intervals import max_concurrent, running_open_count
 from pactum.operators.profile import provider_profile
 from pactum.registry import register
-from pactum.registry.common import clean
+from pactum.registry.common import clean, clean_plan
 from pactum.registry.oracle import CLEAN_COLUMNS, with_clean
 
 # ---------------------------------------------------------------- clean_contracts
 register("clean_contracts", with_clean(f"SELECT {', '.join(CLEAN_COLUMNS)} FROM clean"))(
-    lambda spark, sf: clean(spark, sf).select(*CLEAN_COLUMNS)
+    lambda spark, sf: clean_plan(spark, sf).select(*CLEAN_COLUMNS)
 )
 
 # ---------------------------------------------------------------- max_concurrent

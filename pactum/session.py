@@ -57,3 +57,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/pactum-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialized(spark: SparkSession, key: str, build) -> "DataFrame":
+    """Write ``build()`` once per session under the shared checkpoint folder and read it back.
+
+    Used for tables that many downstream jobs read (the clean contract table):
+    they scan parquet instead of re-running the cleaning plan, and lineage is
+    cut at a durable table, so a lost executor re-reads files rather than
+    recomputing the whole upstream plan.
+    """
+    from pyspark.sql import DataFrame  # noqa: F401
+
+    ident = (spark.sparkContext.applicationId, key)
+    path = _MATERIALIZED.get(ident)
+    if path is None:
+        path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-80:])
+        build().write.mode("errorifexists").parquet(path)
+        _MATERIALIZED[ident] = path
+    return spark.read.parquet(path)
