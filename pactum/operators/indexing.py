@@ -16,17 +16,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pactum.session import ensure_checkpoint_dir
+
 _PID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + position
 
 
 def dense_index(df: DataFrame, order: Sequence[str | Column], out: str = "index") -> DataFrame:
     """Add ``out`` = 0..n-1 following ``order`` (ties get an arbitrary order)."""
+    # Range bounds are sampled with a seed that depends on the RDD id, so two
+    # evaluations of the same sort may cut differently.  The ranked rows are
+    # therefore materialised once (reliable checkpoint in the shared folder)
+    # and both the per-partition counts and the rows read that one copy.
+    # Callers pass only the columns they need ranked (usually just keys).
+    ensure_checkpoint_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = (
-        df.orderBy(*order)
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__pos", F.monotonically_increasing_id()
                     - F.shiftleft(F.spark_partition_id().cast("bigint"), _PID_SHIFT))
-    )
+    ).checkpoint(eager=True)
     counts = ranked.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: the cumulative window over it is trivially small
     offsets = counts.select(
