@@ -138,38 +138,50 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 # ------------------------------------------------------------------ PCA
 
 
-def pca_fit(df: DataFrame, col: str, k: int):
-    """(mean, components k x d, explained variance): covariance by a distributed
-    aggregate (``Summarizer`` + ``RowMatrix``-style Gramian in Spark ML), eigen
-    decomposition of the small d x d matrix on the driver; signs fixed so that
-    each component's largest-magnitude loading is positive."""
-    import numpy as np
-    from pyspark.ml.feature import PCA as _PCA
+def standard_scale_vector(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Population-std z-score of a vector column with Spark ML (one pass, JVM).
+
+    ``StandardScaler`` divides by the sample std; multiplying by
+    sqrt(n / (n - 1)) gives the population form.  Constant entries stay 0.
+    """
     from pyspark.ml.feature import StandardScaler
 
-    centred = StandardScaler(withMean=True, withStd=False, inputCol=col, outputCol="__c").fit(df)
-    mean = centred.mean.toArray()
-    model = _PCA(k=k, inputCol="__c", outputCol="__p").fit(centred.transform(df).select("__c"))
-    pc = model.pc.toArray()            # d x k
-    for j in range(pc.shape[1]):
-        i = int(np.argmax(np.abs(pc[:, j])))
-        if pc[i, j] < 0:
-            pc[:, j] = -pc[:, j]
-    return mean, pc, model.explainedVariance.toArray()
+    n = df.count()
+    model = StandardScaler(withMean=True, withStd=True, inputCol=col, outputCol="__zs").fit(df)
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    d = len(model.mean)
+    fix = ElementwiseProduct(scalingVec=Vectors.dense([factor] * d), inputCol="__zs", outputCol=out)
+    return fix.transform(model.transform(df)).drop("__zs")
 
 
-def pca_transform(df: DataFrame, col: str, mean, pc, prefix: str = "pca_") -> DataFrame:
-    """Project centred rows on the components: plain column arithmetic (no UDF)."""
-    arr = vector_to_array(F.col(col))
-    d, k = pc.shape
-    out = {}
-    for j in range(k):
-        terms = [(arr[i] - F.lit(float(mean[i]))) * F.lit(float(pc[i, j])) for i in range(d) if pc[i, j] != 0.0]
-        expr = terms[0]
-        for t in terms[1:]:
-            expr = expr + t
-        out[f"{prefix}{j}"] = expr
-    return df.withColumns(out)
+class PcaModel:
+    """Centred PCA with deterministic signs, applied with Spark ML stages (JVM)."""
+
+    def __init__(self, centre, pca, signs, k):
+        self.centre, self.pca, self.signs, self.k = centre, pca, signs, k
+
+    def transform(self, df: DataFrame, col: str, out: str = "pca") -> DataFrame:
+        c = self.centre.setInputCol(col).setOutputCol("__c").transform(df)
+        p = self.pca.setInputCol("__c").setOutputCol("__p").transform(c)
+        s = ElementwiseProduct(scalingVec=Vectors.dense(self.signs), inputCol="__p", outputCol=out).transform(p)
+        return s.drop("__c", "__p")
+
+    def transform_columns(self, df: DataFrame, col: str, prefix: str = "pca_") -> DataFrame:
+        return expand_vector(self.transform(df, col, "__pca"), "__pca", prefix, self.k, start=0)
+
+
+def pca_fit(df: DataFrame, col: str, k: int) -> PcaModel:
+    """Centre (mean only), fit Spark ML PCA (distributed Gramian, k x d result on the
+    driver), and fix each component's sign so its largest-magnitude loading is positive."""
+    import numpy as np
+    from pyspark.ml.feature import PCA as _PCA
+    from pyspark.ml.feature import StandardScaler
+
+    centre = StandardScaler(withMean=True, withStd=False, inputCol=col, outputCol="__c").fit(df)
+    pca = _PCA(k=k, inputCol="__c", outputCol="__p").fit(centre.transform(df).select("__c"))
+    pc = np.array(pca.pc.toArray(), dtype=float, copy=True)   # d x k
+    signs = [1.0 if pc[int(np.argmax(np.abs(pc[:, j]))), j] >= 0 else -1.0 for j in range(pc.shape[1])]
+    return PcaModel(centre, pca, signs, k)
 
 
 # ------------------------------------------------------------------ token sequences
