@@ -2,16 +2,21 @@
 
 1. **Collapse** identical vectors into one weighted point (many providers have
    identical profiles), so a hot value never multiplies pairs.
-2. **ε-join by grid**: every point falls in a cell of side ε over its first
+2. **Blocks by grid**: every point falls in a cell of side ε over its first
    ``g`` coordinates (pass PCA-rotated features so these carry the most
-   spread; an orthonormal projection never increases distances).  A point is
-   sent to the 3^g neighbouring cells and equi-joined with the points living
-   there; the exact full-dimension distance then keeps only pairs within ε.
-   No cross join: candidate pairs only exist between adjacent cells.
-3. **Core points**: weighted neighbour count (itself included) ≥ ``min_pts``.
-4. **Components** over core–core edges: min-label propagation with pointer
-   jumping, one reliable checkpoint per round (lineage stays short and a lost
-   executor recomputes one round, not the whole loop).
+   spread; an orthonormal projection never increases distances).  A crowded
+   cell is cut into hash blocks of at most ``BLOCK`` points.  Candidate block
+   pairs only exist between neighbouring cells (equi-join on the cell; no
+   cross join), and each block pair is one bounded task.
+3. **Core points** (pass 1): a NumPy kernel per block pair computes exact
+   distances and emits only per-point neighbour *weights*, summed per point:
+   core = weight (itself included) ≥ ``min_pts``.
+4. **Links** (pass 2): the same kernel emits a spanning forest of the
+   core-core links of its block pair (fewer edges than points) and each
+   border point's links to core points (fewer than ``min_pts`` each).  No
+   all-pairs list ever leaves a task.  **Components** over the forest links:
+   min-label propagation with pointer jumping, one reliable checkpoint per
+   round (lineage stays short; a lost executor recomputes one round).
 5. **Border points** take the smallest cluster id among their core neighbours;
    the rest are noise (-1).
 
@@ -32,27 +37,139 @@ from pactum.session import ensure_checkpoint_dir
 NOISE = -1
 
 
-def _sqdist(a, b, d: int):
-    terms = [(a[i] - b[i]) * (a[i] - b[i]) for i in range(d)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+BLOCK = 1024   # points per block: a block pair holds at most 2 x BLOCK points in one task
 
 
-def epsilon_edges(points: DataFrame, id_col: str, vec_col: str, dim: int, eps: float,
-                  grid_dims: int = 3) -> DataFrame:
-    """(src, dst) for every ordered pair of distinct points within ``eps`` (Euclidean)."""
-    g = max(1, min(grid_dims, dim))
-    cell = F.array(*[F.floor(F.col(vec_col)[i] / F.lit(eps)).cast("long") for i in range(g)])
-    home = points.select(F.col(id_col).alias("dst"), F.col(vec_col).alias("dvec"), cell.alias("cell"))
+def _cell_expr(vec_col: str, g: int, eps: float):
+    return F.array(*[F.floor(F.col(vec_col)[i] / F.lit(eps)).cast("long") for i in range(g)])
+
+
+def _block_pairs(points: DataFrame, g: int, eps: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Points tagged (cell, blk) and the unordered pairs of neighbouring blocks.
+
+    Cells have side ``eps`` over the first ``g`` coordinates; a cell with many
+    points is cut into ceil(n / block) hash blocks, so a hot cell becomes many
+    bounded tasks instead of one huge one.
+    """
+    counts = points.groupBy("cell").agg(F.count(F.lit(1)).alias("__n"))
+    nblk = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(block))).cast("int")
+    tagged = points.join(counts.select("cell", nblk.alias("__nb")), "cell") \
+        .withColumn("blk", F.pmod(F.xxhash64("pid"), F.col("__nb")).cast("int")).drop("__nb")
+    blocks = counts.select("cell", F.explode(F.sequence(F.lit(0), nblk - 1)).alias("blk"))
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=g)]
-    probe_cells = F.explode(F.array(*[
-        F.array(*[F.col("__c")[i] + F.lit(o[i]) for i in range(g)]) for o in offsets]))
-    probes = points.select(F.col(id_col).alias("src"), F.col(vec_col).alias("svec"), cell.alias("__c")) \
-        .select("src", "svec", probe_cells.alias("cell"))
-    pairs = probes.join(home, "cell").filter(F.col("src") != F.col("dst"))
-    return pairs.filter(_sqdist(F.col("svec"), F.col("dvec"), dim) <= F.lit(eps * eps)).select("src", "dst")
+    near = F.explode(F.array(*[F.array(*[F.col("cell")[i] + F.lit(o[i]) for i in range(g)]) for o in offsets]))
+    probes = blocks.select(F.col("cell").alias("cell_a"), F.col("blk").alias("blk_a"), near.alias("cell_b"))
+    pairs = probes.join(blocks.select(F.col("cell").alias("cell_b"), F.col("blk").alias("blk_b")), "cell_b")
+    a = F.struct(F.col("cell_a").alias("c"), F.col("blk_a").alias("b"))
+    b = F.struct(F.col("cell_b").alias("c"), F.col("blk_b").alias("b"))
+    pairs = pairs.filter(a <= b).select(F.concat_ws("|", F.concat_ws(",", "cell_a"), "blk_a", F.concat_ws(",", "cell_b"),
+                                                    "blk_b").alias("pair"), "cell_a", "blk_a", "cell_b", "blk_b")
+    return tagged, pairs
+
+
+def _pair_groups(tagged: DataFrame, pairs: DataFrame, extra=()) -> DataFrame:
+    """(pair, side, pid, vec, w, extra...): both blocks of every block pair, side A and side B."""
+    cols = ["pid", "vec", "w", *extra]
+    side_a = pairs.select("pair", F.col("cell_a").alias("cell"), F.col("blk_a").alias("blk")) \
+        .join(tagged, ["cell", "blk"]).select("pair", F.lit(0).alias("side"), *cols)
+    side_b = pairs.select("pair", F.col("cell_b").alias("cell"), F.col("blk_b").alias("blk")) \
+        .join(tagged, ["cell", "blk"]).select("pair", F.lit(1).alias("side"), *cols)
+    return side_a.unionByName(side_b)
+
+
+def _neighbours(pdf, eps: float):
+    """Index pairs (i, j) of side-A / side-B rows within eps, exact, i != j for a self pair."""
+    import numpy as np
+
+    a = pdf[pdf["side"] == 0]
+    b = pdf[pdf["side"] == 1]
+    xa = np.stack(a["vec"].to_numpy()) if len(a) else np.zeros((0, 1))
+    xb = np.stack(b["vec"].to_numpy()) if len(b) else np.zeros((0, 1))
+    if len(a) == 0 or len(b) == 0:
+        return a, b, np.zeros(0, int), np.zeros(0, int)
+    # Gram form to find candidates (with slack), then the exact squared difference
+    g = (xa * xa).sum(1)[:, None] + (xb * xb).sum(1)[None, :] - 2.0 * xa @ xb.T
+    i, j = np.nonzero(g <= eps * eps * (1 + 1e-9) + 1e-12)
+    exact = ((xa[i] - xb[j]) ** 2).sum(1) <= eps * eps
+    i, j = i[exact], j[exact]
+    if set(a["pid"]) == set(b["pid"]):   # a block paired with itself: drop (p, p)
+        keep = a["pid"].to_numpy()[i] != b["pid"].to_numpy()[j]
+        i, j = i[keep], j[keep]
+    return a, b, i, j
+
+
+def neighbour_weights(tagged: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
+    """(pid, nw): summed weight of the other points within eps (pass 1, counts only)."""
+    import numpy as np
+    import pandas as pd
+
+    def kernel(pdf):
+        a, b, i, j = _neighbours(pdf, eps)
+        if len(i) == 0:
+            return pd.DataFrame({"pid": pd.Series(dtype="int64"), "nw": pd.Series(dtype="int64")})
+        pa, pb = a["pid"].to_numpy(), b["pid"].to_numpy()
+        wa, wb = a["w"].to_numpy(), b["w"].to_numpy()
+        self_pair = set(pa) == set(pb)
+        # each unordered point pair is seen once; a self pair lists (i, j) and (j, i)
+        src = np.concatenate([pa[i]] if self_pair else [pa[i], pb[j]])
+        nw = np.concatenate([wb[j]] if self_pair else [wb[j], wa[i]])
+        out = pd.DataFrame({"pid": src, "nw": nw}).groupby("pid", as_index=False)["nw"].sum()
+        return out.astype({"pid": "int64", "nw": "int64"})
+
+    groups = _pair_groups(tagged, pairs)
+    return groups.groupBy("pair").applyInPandas(kernel, "pid long, nw long") \
+        .groupBy("pid").agg(F.sum("nw").alias("nw"))
+
+
+def core_links(tagged: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
+    """(src, dst, kind): per block pair, a spanning forest of its core-core links
+    (kind 'cc') and every (border point, adjacent core point) link (kind 'bc').
+
+    A border point has fewer than ``min_pts`` neighbours, so its links are
+    bounded; the forest has fewer edges than points.  Nothing quadratic leaves
+    the task.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def kernel(pdf):
+        a, b, i, j = _neighbours(pdf, eps)
+        empty = pd.DataFrame({"src": pd.Series(dtype="int64"), "dst": pd.Series(dtype="int64"),
+                              "kind": pd.Series(dtype="object")})
+        if len(i) == 0:
+            return empty
+        pa, pb = a["pid"].to_numpy(), b["pid"].to_numpy()
+        ca, cb = a["core"].to_numpy(), b["core"].to_numpy()
+        out = []
+        both = ca[i] & cb[j]
+        if both.any():   # union-find over core-core links of this block pair
+            u, v = pa[i][both], pb[j][both]
+            parent = {}
+
+            def find(x):
+                while parent.get(x, x) != x:
+                    parent[x] = parent.get(parent[x], parent[x])
+                    x = parent[x]
+                return x
+            for x, y in zip(u.tolist(), v.tolist()):
+                rx, ry = find(x), find(y)
+                if rx != ry:
+                    parent[max(rx, ry)] = min(rx, ry)
+            nodes = set(u.tolist()) | set(v.tolist())
+            out.append(pd.DataFrame({"src": list(nodes), "dst": [find(x) for x in nodes], "kind": "cc"}))
+        ab = ~ca[i] & cb[j]      # border in A, core in B
+        ba = ca[i] & ~cb[j]      # core in A, border in B
+        if ab.any():
+            out.append(pd.DataFrame({"src": pa[i][ab], "dst": pb[j][ab], "kind": "bc"}))
+        if ba.any():
+            out.append(pd.DataFrame({"src": pb[j][ba], "dst": pa[i][ba], "kind": "bc"}))
+        if not out:
+            return empty
+        res = pd.concat(out, ignore_index=True).drop_duplicates()
+        return res.astype({"src": "int64", "dst": "int64"})
+
+    groups = _pair_groups(tagged, pairs, extra=("core",))
+    return groups.groupBy("pair").applyInPandas(kernel, "src long, dst long, kind string")
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -62,15 +179,18 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) \
         .distinct().checkpoint()
     labels = vertices.select(F.col("v"), F.col("v").alias("label")).checkpoint()
-    for _ in range(max_rounds):
-        nbr_min = both.join(labels.withColumnRenamed("v", "dst"), "dst") \
+    def step(cur):
+        nbr_min = both.join(cur.withColumnRenamed("v", "dst"), "dst") \
             .groupBy("src").agg(F.min("label").alias("m"))
-        step = labels.join(nbr_min.withColumnRenamed("src", "v"), "v", "left") \
+        prop = cur.join(nbr_min.withColumnRenamed("src", "v"), "v", "left") \
             .select("v", F.least("label", F.coalesce("m", "label")).alias("label"))
         # pointer jumping: adopt the label of my label
-        jumped = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.v"), "left") \
+        return prop.alias("a").join(prop.alias("b"), F.col("a.label") == F.col("b.v"), "left") \
             .select(F.col("a.v").alias("v"), F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label")))
-                    .alias("label")).checkpoint()
+                    .alias("label"))
+
+    for _ in range(max_rounds):
+        jumped = step(step(labels)).checkpoint()   # two min-label steps per checkpoint
         changed = jumped.join(labels.withColumnRenamed("label", "old"), "v") \
             .filter(F.col("label") != F.col("old")).limit(1).count()
         labels = jumped
@@ -79,31 +199,31 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     return labels
 
 
-def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, grid_dims: int = 3) -> DataFrame:
+def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, grid_dims: int = 3,
+           block: int = BLOCK) -> DataFrame:
     """(id, cluster, is_core): DBSCAN labels, -1 for noise."""
+    ensure_checkpoint_dir(df.sparkSession)
     dim = df.select(F.max(F.size(vec_col))).first()[0]
+    g = max(1, min(grid_dims, dim))
     vec = F.col(vec_col).cast("array<double>")
     # 1. identical vectors -> one weighted point (representative = smallest id)
     collapsed = df.groupBy(vec.alias("__vec")).agg(F.min(id_col).alias("pid"), F.count(F.lit(1)).alias("w"))
     members = df.select(F.col(id_col).alias("__id"), vec.alias("__vec")).join(collapsed.select("__vec", "pid"), "__vec")
-    pts = collapsed.select("pid", F.col("__vec").alias("vec"), "w").checkpoint()
-    # 2. epsilon neighbourhood (ordered pairs of distinct collapsed points)
-    edges = epsilon_edges(pts, "pid", "vec", dim, eps, grid_dims).checkpoint()
-    # 3. core test: own weight + neighbours' weights
-    nbr_w = edges.join(pts.select(F.col("pid").alias("dst"), F.col("w").alias("dw")), "dst") \
-        .groupBy("src").agg(F.sum("dw").alias("nw"))
-    counts = pts.join(nbr_w.withColumnRenamed("src", "pid"), "pid", "left") \
-        .select("pid", (F.col("w") + F.coalesce("nw", F.lit(0))).alias("n"))
-    core = counts.filter(F.col("n") >= min_pts).select(F.col("pid").alias("v"))
-    # 4. components over core-core edges
-    cc_edges = edges.join(core.withColumnRenamed("v", "src"), "src", "left_semi") \
-        .join(core.withColumnRenamed("v", "dst"), "dst", "left_semi")
-    comp = connected_components(core, cc_edges)
+    pts = collapsed.select("pid", F.col("__vec").alias("vec"), "w", _cell_expr("__vec", g, eps).alias("cell"))
+    # block tags are a deterministic hash: recomputing them is cheaper than a checkpoint
+    tagged, pairs = _block_pairs(pts, g, eps, block)
+    # 2-3. weighted neighbour counts -> core flag
+    nw = neighbour_weights(tagged, pairs, eps)
+    flags = tagged.join(nw, "pid", "left") \
+        .withColumn("core", (F.col("w") + F.coalesce("nw", F.lit(0))) >= F.lit(min_pts)).drop("nw").checkpoint()
+    # 4. spanning-forest links between core points, bounded border links
+    links = core_links(flags, pairs, eps).checkpoint()
+    core = flags.filter("core").select(F.col("pid").alias("v"))
+    comp = connected_components(core, links.filter(F.col("kind") == "cc").select("src", "dst"))
     # 5. border points: smallest cluster among adjacent core points
-    border = edges.join(comp.select(F.col("v").alias("dst"), "label"), "dst") \
-        .join(core.withColumnRenamed("v", "src"), "src", "left_anti") \
+    border = links.filter(F.col("kind") == "bc").join(comp.select(F.col("v").alias("dst"), "label"), "dst") \
         .groupBy("src").agg(F.min("label").alias("blabel"))
-    labelled = pts.select("pid").join(comp.withColumnRenamed("v", "pid"), "pid", "left") \
+    labelled = flags.select("pid").join(comp.withColumnRenamed("v", "pid"), "pid", "left") \
         .join(border.withColumnRenamed("src", "pid"), "pid", "left") \
         .select("pid", F.coalesce("label", "blabel", F.lit(NOISE)).cast("long").alias("cluster"),
                 F.col("label").isNotNull().alias("is_core"))
