@@ -88,10 +88,15 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> Data
     return top.select("term", "df", idf.alias("idf"), (F.row_number().over(w) - 1).alias("col"))
 
 
-def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Long form (id, term, col, weight): L2-normalised tf*idf of the vocabulary terms."""
+def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
+                    n_terms: int | None = None) -> DataFrame:
+    """Long form (id, term, col, weight): L2-normalised tf*idf of the vocabulary terms.
+
+    The vocabulary has at most ``n_terms`` rows (a ``limit``), a proven bound
+    for the broadcast; without it the size is checked.
+    """
     tokens = docs.select(id_col, F.explode(tfidf_tokens(text_col)).alias("term"))
-    v = broadcast_checked(vocab.select("term", "idf", "col"))
+    v = broadcast_checked(vocab.select("term", "idf", "col"), bound=n_terms)
     tf = tokens.join(v, "term").groupBy(id_col, "term", "col", "idf").agg(F.count(F.lit(1)).alias("tf"))
     raw = tf.withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))  # per document
@@ -187,18 +192,30 @@ def pca_fit(df: DataFrame, col: str, k: int) -> PcaModel:
 # ------------------------------------------------------------------ token sequences
 
 
-def vocabulary_from_frequency(words: DataFrame, word_col: str = "word", count_col: str = "n") -> DataFrame:
-    """(word, rank): words ranked by frequency (ties by word), dense 0.."""
-    return dense_index(words.select(word_col, F.col(count_col).alias("__n")).withColumn("__neg", -F.col("__n")),
-                       ["__neg", word_col], out="rank").select(word_col, "rank")
+def vocabulary_from_frequency(words: DataFrame, k: int, word_col: str = "word", count_col: str = "n") -> DataFrame:
+    """(word, rank): the ``k`` most frequent words (ties by word), ranked 0..k-1.
+
+    A top-k (per-partition top-k, then a merge of k rows per partition); the
+    window then runs over those k rows only.
+    """
+    top = words.orderBy(F.col(count_col).desc(), F.col(word_col)).limit(k)
+    w = Window.orderBy(F.col(count_col).desc(), F.col(word_col))
+    return top.select(word_col, (F.row_number().over(w) - 1).cast("long").alias("rank"))
 
 
 def vectorize_tokens(df: DataFrame, id_col: str, text_col: str, emb: DataFrame,
-                     token_col: str = "word", vec_col: str = "vec", out: str = "seq") -> DataFrame:
+                     token_col: str = "word", vec_col: str = "vec", out: str = "seq",
+                     emb_rows: int | None = None) -> DataFrame:
     """Words -> vectors by an equi-join on the embedding table; unknown words dropped;
-    order kept (``posexplode`` + ``array_sort`` of (pos, vec)); no known word -> empty."""
+    order kept (``posexplode`` + ``array_sort`` of (pos, vec)); no known word -> empty.
+
+    The embedding table (vocabulary x dim) is the side that is broadcast, behind
+    a size check (``emb_rows`` when the caller knows the bound): the planner's
+    estimate of an exploded token stream is far too small and would otherwise
+    broadcast the tokens.
+    """
     toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ", -1)).alias("pos", token_col))
-    hit = toks.join(emb.select(token_col, vec_col), token_col, "inner")
+    hit = toks.join(broadcast_checked(emb.select(token_col, vec_col), bound=emb_rows), token_col, "inner")
     seqs = hit.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", vec_col))).alias("__s"))
     seqs = seqs.select(id_col, F.transform("__s", lambda s: s[vec_col]).alias(out))
     empty = F.array().cast(seqs.schema[out].dataType)

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
 
-    The check runs one cheap job (``limit(max_rows + 1).count()``), so the
-    decision never depends on a guess.  Above the bound the frame is returned
-    unchanged and the planner/AQE choose a shuffle join.
+    ``bound`` is a row bound the caller can prove from the plan (for example a
+    ``limit(n)`` vocabulary); otherwise one cheap job
+    (``limit(max_rows + 1).count()``) checks it.  Above the bound the frame is
+    returned unchanged and the planner/AQE choose a shuffle join.
     """
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

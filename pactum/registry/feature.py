@@ -76,7 +76,7 @@ FROM (SELECT tf.index, tf.term, voc.col, tf.tf * voc.idf AS w FROM tf JOIN voc U
 def q_tfidf_transform(spark, sf):
     c = clean(spark, sf)
     vocab = Fe.tfidf_fit(c, "index", "full_contract_description", 100)
-    out = Fe.tfidf_transform(c, vocab, "index", "full_contract_description")
+    out = Fe.tfidf_transform(c, vocab, "index", "full_contract_description", n_terms=100)
     return out.withColumn("weight", F.round("weight", 6))
 
 
@@ -104,15 +104,18 @@ _EMB_CTES = (
 
 
 def embedding_table(spark, sf):
+    """(word, vec_id, vec) and its row bound (one word per embedding row at most)."""
     words = eda.word_frequency(clean(spark, sf), "full_contract_description")
-    ranks = Fe.vocabulary_from_frequency(words)
     emb = table(spark, sf, "embeddings")
-    return ranks.join(emb, ranks["rank"] == emb["vec_id"]).select("word", "vec_id", F.col("embedding").alias("vec"))
+    k = emb.count()
+    ranks = Fe.vocabulary_from_frequency(words, k)
+    return ranks.join(emb, ranks["rank"] == emb["vec_id"]).select("word", "vec_id", F.col("embedding").alias("vec")), k
 
 
 def _sequences(spark, sf, vec_col):
-    return Fe.vectorize_tokens(clean(spark, sf), "index", "full_contract_description", embedding_table(spark, sf),
-                               vec_col=vec_col, out="seq")
+    emb, k = embedding_table(spark, sf)
+    return Fe.vectorize_tokens(clean(spark, sf), "index", "full_contract_description", emb,
+                               vec_col=vec_col, out="seq", emb_rows=k)
 
 
 register("token_embedding_join", with_clean(
