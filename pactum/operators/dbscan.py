@@ -44,6 +44,21 @@ def _cell_expr(vec_col: str, g: int, eps: float):
     return F.array(*[F.floor(F.col(vec_col)[i] / F.lit(eps)).cast("long") for i in range(g)])
 
 
+def grid_factor(points: DataFrame, vec_col: str, g: int, eps: float, block: int) -> int:
+    """Integer factor m >= 1 for the cell side (m * eps): sparse data gets coarser cells.
+
+    With side-eps cells a sparse set has about one point per cell and would
+    turn into many tiny tasks; m is chosen so that an average occupied cell
+    holds about one block.  Any side >= eps keeps every neighbour within the
+    3^g adjacent cells, so the result is exact for every m.
+    """
+    n, cells = points.select(F.count(F.lit(1)), F.count_distinct(_cell_expr(vec_col, g, eps))).first()
+    if not cells:
+        return 1
+    per_cell = n / cells
+    return max(1, int((block / per_cell) ** (1.0 / g)))
+
+
 def _block_pairs(points: DataFrame, g: int, eps: float, block: int) -> tuple[DataFrame, DataFrame]:
     """Points tagged (cell, blk) and the unordered pairs of neighbouring blocks.
 
@@ -203,13 +218,15 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, g
            block: int = BLOCK) -> DataFrame:
     """(id, cluster, is_core): DBSCAN labels, -1 for noise."""
     ensure_checkpoint_dir(df.sparkSession)
-    dim = df.select(F.max(F.size(vec_col))).first()[0]
+    # the input is read many times below: materialise (id, vector) once, durably
+    base = df.select(F.col(id_col).alias("__id"), F.col(vec_col).cast("array<double>").alias("__vec")).checkpoint()
+    dim = base.select(F.max(F.size("__vec"))).first()[0]
     g = max(1, min(grid_dims, dim))
-    vec = F.col(vec_col).cast("array<double>")
     # 1. identical vectors -> one weighted point (representative = smallest id)
-    collapsed = df.groupBy(vec.alias("__vec")).agg(F.min(id_col).alias("pid"), F.count(F.lit(1)).alias("w"))
-    members = df.select(F.col(id_col).alias("__id"), vec.alias("__vec")).join(collapsed.select("__vec", "pid"), "__vec")
-    pts = collapsed.select("pid", F.col("__vec").alias("vec"), "w", _cell_expr("__vec", g, eps).alias("cell"))
+    collapsed = base.groupBy("__vec").agg(F.min("__id").alias("pid"), F.count(F.lit(1)).alias("w")).checkpoint()
+    members = base.join(collapsed.select("__vec", "pid"), "__vec")
+    side = eps * grid_factor(collapsed, "__vec", g, eps, block)
+    pts = collapsed.select("pid", F.col("__vec").alias("vec"), "w", _cell_expr("__vec", g, side).alias("cell"))
     # block tags are a deterministic hash: recomputing them is cheaper than a checkpoint
     tagged, pairs = _block_pairs(pts, g, eps, block)
     # 2-3. weighted neighbour counts -> core flag
