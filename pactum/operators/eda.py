@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactum.operators.indexing import exact_quantiles
+from pactum.operators.indexing import exact_quantiles, exact_quantiles_multi
 
 
 def group_count(df: DataFrame, *cols: str, out: str = "n") -> DataFrame:
@@ -51,18 +51,19 @@ def null_fraction(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, count, mean, std, min, q25, q50, q75, max): pandas ``describe`` with exact quartiles."""
-    out = None
-    for c in cols:
-        moments = df.agg(
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"),
-        ).withColumn("column", F.lit(c))
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75)).groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        q = q.toDF("q25", "q50", "q75").withColumn("column", F.lit(c))
-        row = moments.join(q, "column")   # one row each, equi-joined on the column name
-        out = row if out is None else out.unionByName(row)
-    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """(column, count, mean, std, min, q25, q50, q75, max): pandas ``describe`` with exact quartiles.
+
+    Moments of every column come from one aggregate pass (unpivoted), the
+    quartiles of every column from one shared distributed sort.
+    """
+    moments = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
+                                F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
+                                F.max(F.col(c).cast("double")).alias("max")).alias(c) for c in cols])
+    long = moments.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("m"))
+                                              for c in cols])).alias("r")).select("r.column", "r.m.*")
+    q = exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75)).groupBy("column") \
+        .pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF("column", "q25", "q50", "q75")
+    return long.join(q, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def global_min_max(df: DataFrame, col: str) -> DataFrame:

@@ -77,3 +77,37 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         want.join(lo_v, "lo").join(hi_v, "hi")
         .select("p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
     )
+
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(column, p, value) for several columns with ONE distributed sort.
+
+    The columns are stacked into (column, x) rows and ranked together by
+    (column, x); a column's k-th value sits at the column's offset + k, the
+    offsets coming from per-column counts (one row per column).
+    """
+    spark = df.sparkSession
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")) \
+        .select("s.column", "s.x").filter(F.col("x").isNotNull())
+    counts = {r["column"]: r["n"] for r in stacked.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    offset, want, needed = 0, [], set()
+    for c in sorted(cols):          # ranks follow (column, x) order
+        n = counts.get(c, 0)
+        for p in probs:
+            if n == 0:
+                continue
+            h = p * (n - 1)
+            lo = int(h // 1)
+            hi = min(lo + 1, n - 1)
+            want.append((c, float(p), offset + lo, offset + hi, float(h - lo)))
+            needed.update((offset + lo, offset + hi))
+        offset += n
+    if not want:
+        return spark.createDataFrame([], "column string, p double, value double")
+    w = spark.createDataFrame(want, "column string, p double, lo long, hi long, frac double")
+    picked = dense_index(stacked, ["column", "x"], out="i").filter(F.col("i").isin(sorted(needed)))
+    lo_v = picked.select(F.col("i").alias("lo"), F.col("x").alias("x_lo"))
+    hi_v = picked.select(F.col("i").alias("hi"), F.col("x").alias("x_hi"))
+    return w.join(lo_v, "lo").join(hi_v, "hi").select(
+        "column", "p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
