@@ -76,10 +76,16 @@ def group_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.7, 0.15
 
 # ------------------------------------------------------------------ TF-IDF
 
-def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> DataFrame:
-    """Vocabulary table (term, df, idf, col) fitted on ``docs``; col = alphabetical position."""
+def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, term, tf): raw term counts per document (partial aggregation map-side)."""
     tokens = docs.select(id_col, F.explode(tfidf_tokens(text_col)).alias("term"))
-    per_doc = tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int,
+              per_doc: DataFrame | None = None) -> DataFrame:
+    """Vocabulary table (term, df, idf, col) fitted on ``docs``; col = alphabetical position."""
+    per_doc = per_doc if per_doc is not None else term_counts(docs, id_col, text_col)
     stats = per_doc.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     top = stats.orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
@@ -89,20 +95,28 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> Data
 
 
 def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
-                    n_terms: int | None = None) -> DataFrame:
+                    n_terms: int | None = None, per_doc: DataFrame | None = None) -> DataFrame:
     """Long form (id, term, col, weight): L2-normalised tf*idf of the vocabulary terms.
 
     The vocabulary has at most ``n_terms`` rows (a ``limit``), a proven bound
-    for the broadcast; without it the size is checked.
+    for the broadcast; without it the size is checked.  ``per_doc`` (from
+    :func:`term_counts`) lets a fit and a transform on the same documents share
+    one tokenisation and one shuffle.
     """
-    tokens = docs.select(id_col, F.explode(tfidf_tokens(text_col)).alias("term"))
+    per_doc = per_doc if per_doc is not None else term_counts(docs, id_col, text_col)
     v = broadcast_checked(vocab.select("term", "idf", "col"), bound=n_terms)
-    tf = tokens.join(v, "term").groupBy(id_col, "term", "col", "idf").agg(F.count(F.lit(1)).alias("tf"))
-    raw = tf.withColumn("w", F.col("tf") * F.col("idf"))
+    raw = per_doc.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))  # per document
     return raw.select(id_col, "term", "col", (F.col("w") / norm).alias("weight"))
 
 
+def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str, n_terms: int):
+    """(vocabulary, long weights) of the same documents, sharing the term counts."""
+    per_doc = term_counts(docs, id_col, text_col)
+    vocab = tfidf_fit(docs, id_col, text_col, n_terms, per_doc=per_doc)
+    return vocab, tfidf_transform(docs, vocab, id_col, text_col, n_terms=n_terms, per_doc=per_doc)
+
+
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, text_col: str, out: str = "tfidf") -> DataFrame:
     """Sparse vector column: CountVectorizer(vocab) -> x idf -> L2 normaliser (all JVM)."""
     rows = vocab.orderBy("col").select("term", "idf").collect()   # bounded: n_terms rows

@@ -74,9 +74,7 @@ register("tfidf_fit", with_clean("SELECT term, df, round(idf, 6) AS idf, col FRO
 SELECT index, term, col, round(w / sqrt(sum(w * w) OVER (PARTITION BY index)), 6) AS weight
 FROM (SELECT tf.index, tf.term, voc.col, tf.tf * voc.idf AS w FROM tf JOIN voc USING (term))""", _VOCAB_CTE))
 def q_tfidf_transform(spark, sf):
-    c = clean(spark, sf)
-    vocab = Fe.tfidf_fit(c, "index", "full_contract_description", 100)
-    out = Fe.tfidf_transform(c, vocab, "index", "full_contract_description", n_terms=100)
+    _, out = Fe.tfidf_fit_transform(clean(spark, sf), "index", "full_contract_description", 100)
     return out.withColumn("weight", F.round("weight", 6))
 
 
