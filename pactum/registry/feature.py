@@ -214,3 +214,21 @@ def q_join_row_features(spark, sf):
     vocab = Fe.tfidf_fit(c, "index", "full_contract_description", 100)
     vec = Fe.tfidf_vectors(c, vocab, "full_contract_description")
     return Fe.expand_vector(vec.drop("full_contract_description"), "tfidf", "feat_text_", 100)
+
+
+# ------------------------------------------------------------------ provider date scalars
+register("days_since_first", with_clean(f"""
+SELECT tipodocproveedor, documento_proveedor,
+       CAST(date_diff('day', fecha_de_inicio_del_contrato, DATE '{AS_OF}') AS INTEGER) AS dias_desde_inicio
+FROM profile""", *PROFILE_CTES))(
+    lambda spark, sf: provider_profile(clean(spark, sf)).select(
+        "tipodocproveedor", "documento_proveedor",
+        F.datediff(F.lit(AS_OF).cast("date"), F.col("fecha_de_inicio_del_contrato")).alias("dias_desde_inicio")))
+register("ratio_days_per_contract", with_clean(f"""
+SELECT tipodocproveedor, documento_proveedor,
+       round(date_diff('day', fecha_de_inicio_del_contrato, DATE '{AS_OF}') / index_count, 6) AS dias_por_contrato
+FROM profile""", *PROFILE_CTES))(
+    lambda spark, sf: provider_profile(clean(spark, sf)).select(
+        "tipodocproveedor", "documento_proveedor",
+        F.round(F.datediff(F.lit(AS_OF).cast("date"), F.col("fecha_de_inicio_del_contrato")) / F.col("index_count"),
+                6).alias("dias_por_contrato")))
