@@ -22,7 +22,12 @@ _PID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + position
 
 
 def dense_index(df: DataFrame, order: Sequence[str | Column], out: str = "index") -> DataFrame:
-    """Add ``out`` = 0..n-1 following ``order`` (ties get an arbitrary order)."""
+    """Add ``out`` = 0..n-1 following ``order``.
+
+    Make ``order`` unique (append a tie-break): equal keys go to the same
+    range partition, so a value shared by a third of the rows would otherwise
+    land in one task.
+    """
     # Range bounds are sampled with a seed that depends on the RDD id, so two
     # evaluations of the same sort may cut differently.  The ranked rows are
     # therefore materialised once (reliable checkpoint in the shared folder)
@@ -56,7 +61,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     One count job, one distributed sort; only the two order statistics around
     each requested position are kept, then interpolated.
     """
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    # a unique tie-break spreads a hot value over many range partitions
+    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()) \
+        .withColumn("__t", F.monotonically_increasing_id())
     n = vals.count()
     spark = df.sparkSession
     if n == 0:
@@ -68,7 +75,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         hi = min(lo + 1, n - 1)
         pos.append((float(p), lo, hi, float(h - lo)))
     want = spark.createDataFrame(pos, "p double, lo long, hi long, frac double")
-    idx = dense_index(vals, ["x"], out="i")
+    idx = dense_index(vals, ["x", "__t"], out="i")
     needed = sorted({i for _, lo, hi, _ in pos for i in (lo, hi)})
     picked = idx.filter(F.col("i").isin(needed))
     lo_v = picked.select(F.col("i").alias("lo"), F.col("x").alias("x_lo"))
@@ -89,7 +96,8 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     spark = df.sparkSession
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")) \
-        .select("s.column", "s.x").filter(F.col("x").isNotNull())
+        .select("s.column", "s.x").filter(F.col("x").isNotNull()) \
+        .withColumn("__t", F.monotonically_increasing_id())   # unique tie-break: hot values spread
     counts = {r["column"]: r["n"] for r in stacked.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     offset, want, needed = 0, [], set()
     for c in sorted(cols):          # ranks follow (column, x) order
@@ -106,7 +114,7 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     if not want:
         return spark.createDataFrame([], "column string, p double, value double")
     w = spark.createDataFrame(want, "column string, p double, lo long, hi long, frac double")
-    picked = dense_index(stacked, ["column", "x"], out="i").filter(F.col("i").isin(sorted(needed)))
+    picked = dense_index(stacked, ["column", "x", "__t"], out="i").filter(F.col("i").isin(sorted(needed)))
     lo_v = picked.select(F.col("i").alias("lo"), F.col("x").alias("x_lo"))
     hi_v = picked.select(F.col("i").alias("hi"), F.col("x").alias("x_hi"))
     return w.join(lo_v, "lo").join(hi_v, "hi").select(
