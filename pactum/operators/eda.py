@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactum.operators.indexing import exact_quantiles, exact_quantiles_multi
+from pactum.operators.indexing import exact_quantiles_multi
 
 
 def group_count(df: DataFrame, *cols: str, out: str = "n") -> DataFrame:

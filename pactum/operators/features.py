@@ -22,8 +22,8 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import DenseVector, Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactum.functions.text import tfidf_tokens

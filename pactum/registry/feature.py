@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from pactum.operators import eda
 from pactum.operators import features as Fe
-from pactum.operators.joins import broadcast_checked
 from pactum.operators.profile import provider_profile
 from pactum.operators.tokens import lemma_table_from_vocabulary, lemmatize_text
 from pactum.registry import register

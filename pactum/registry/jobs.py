@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pactum.operators.intervals import max_concurrent, running_open_count
 from pactum.operators.profile import provider_profile
 from pactum.registry import register

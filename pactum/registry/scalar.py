@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pactum.functions import rules as R
 from pactum.functions import scalars as S
 from pactum.functions import text as T
-from pactum.plans.cleaning import clean_integrated, clean_processes
 from pactum.registry import register
 from pactum.registry.common import clean, eco, raw
-from pactum.registry.oracle import (ECO_CTE, RAW_CTE, fold, parse_int_sql, recode_sql, strip_check_sql,
+from pactum.registry.oracle import (ECO_CTE, fold, parse_int_sql, recode_sql, strip_check_sql,
                                     with_clean, with_raw)
 from pactum.sources import fixtures
 from pactum.sources.fixtures import duck_sql

@@ -4,7 +4,7 @@ session's shared checkpoint directory and reads the result back."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from pactum.operators.profile import provider_profile
 from pactum.registry import register
@@ -13,7 +13,6 @@ from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import ECO_CTE, with_clean, with_raw
 from pactum.session import scratch_path
 from pactum.sources import files, ingest, ledger as L
-from pactum.sources.fixtures import CONTRACTS_SQL, duck_sql
 from pactum.streaming.incremental import incremental_load, land_by_partition
 
 KEY = "nit_entidad"

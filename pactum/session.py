@@ -70,8 +70,6 @@ def materialized(spark: SparkSession, key: str, build) -> "DataFrame":
     cut at a durable table, so a lost executor re-reads files rather than
     recomputing the whole upstream plan.
     """
-    from pyspark.sql import DataFrame  # noqa: F401
-
     ident = (spark.sparkContext.applicationId, key)
     path = _MATERIALIZED.get(ident)
     if path is None:
