@@ -55,3 +55,8 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, for meeting another frame of the same origin."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])

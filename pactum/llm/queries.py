@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import line_dedup, mixing, quality, url_filter
+from pactum.llm import jaccard_join, line_dedup, mixing, quality, url_filter
+from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
 
@@ -22,6 +23,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return out.select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -33,5 +40,5 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__taken_copies") * F.col("__size")).cast("long").alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op7_quality_rules, op8_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op6_jaccard_join, op7_quality_rules, op8_source_mix)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
