@@ -144,4 +144,21 @@ SELECT doc_id, size, source_size, target,
 FROM t
 """
 
-ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op7_quality_rules": OP7, "op8_source_mix": OP8}
+OP10 = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w WHERE len(w) >= 20)),
+late AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM late),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM w),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op7_quality_rules": OP7, "op8_source_mix": OP8,
+           "op10_substring_dedup": OP10}

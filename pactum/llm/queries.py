@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import jaccard_join, line_dedup, mixing, quality, url_filter
+from pactum.llm import jaccard_join, line_dedup, mixing, quality, substring_dedup, url_filter
 from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
@@ -40,5 +40,12 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__taken_copies") * F.col("__size")).cast("long").alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op6_jaccard_join, op7_quality_rules, op8_source_mix)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words", "n_removed",
+                      F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op6_jaccard_join, op7_quality_rules, op8_source_mix,
+                                   op10_substring_dedup)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
