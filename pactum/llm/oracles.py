@@ -144,6 +144,34 @@ SELECT doc_id, size, source_size, target,
 FROM t
 """
 
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, [{_lower('x')} FOR x IN regexp_extract_all(coalesce(text, ''), '{WORD}')] AS w FROM documents),
+x AS (
+  SELECT doc_id, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+size AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
+u AS (SELECT w, count(*) AS c FROM x GROUP BY w),
+ud AS (SELECT doc_id, w, count(*) AS c FROM x GROUP BY doc_id, w),
+b AS (SELECT v, w, count(*) AS c FROM x WHERE v IS NOT NULL GROUP BY v, w),
+bd AS (SELECT doc_id, v, w, count(*) AS c FROM x WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+s AS (
+  SELECT bd.doc_id, bd.c AS times, bd.w, b.c - bd.c AS joint, u.c - ud.c AS ctx
+  FROM bd JOIN b USING (v, w) JOIN ud ON ud.doc_id = bd.doc_id AND ud.w = bd.v JOIN u ON u.w = bd.v
+  UNION ALL SELECT doc_id, 1, w, NULL, NULL FROM x WHERE v IS NULL),
+p AS (
+  SELECT s.*, u.c - ud.c AS alone, (SELECT count(*) FROM x) - n AS rest
+  FROM s JOIN ud ON ud.doc_id = s.doc_id AND ud.w = s.w JOIN u ON u.w = s.w JOIN size ON size.doc_id = s.doc_id),
+t AS (
+  SELECT doc_id, sum(times * log10(CASE WHEN joint > 0 THEN joint / ctx ELSE
+    CASE WHEN joint IS NULL THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END
+      * CASE WHEN alone > 0 THEN alone / rest ELSE 1.0::DOUBLE / (rest + 1) END END)) AS score
+  FROM p GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(score, 0), 6) AS log10_score,
+       round(CASE WHEN len(w) > 0 THEN score / len(w) END, 6) AS mean_log10
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 OP10 = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 win AS (
@@ -160,5 +188,5 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op7_quality_rules": OP7, "op8_source_mix": OP8,
+ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op7_quality_rules": OP7, "op8_source_mix": OP8,
            "op10_substring_dedup": OP10}

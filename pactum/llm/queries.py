@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import jaccard_join, line_dedup, mixing, quality, substring_dedup, url_filter
+from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, quality, substring_dedup,
+                        url_filter)
 from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
@@ -16,6 +17,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs))
@@ -23,6 +28,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = backoff_lm.backoff_scores(table(spark, sf_dir, "documents"))
+    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words",
+                      F.round("score", 6).alias("log10_score"),
+                      F.round(F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")), 6).alias("mean_log10"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
@@ -46,6 +58,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_line_dedup, op6_jaccard_join, op7_quality_rules, op8_source_mix,
-                                   op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op6_jaccard_join, op7_quality_rules,
+    op8_source_mix, op10_substring_dedup)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}

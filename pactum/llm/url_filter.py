@@ -125,8 +125,9 @@ def judge_urls(pages: DataFrame, links: DataFrame, rules: Sequence[tuple[str, st
     spread = durable(parts.join(decided, "component", "left"), "spread").select(
         F.col("node").alias("s_node"), F.col("component").alias("alias_of"), "spread")
     r = ruled.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), "rule", "verdict")
-    out = p.join(r, (F.col("host") == F.col("r_host")) & (F.col("path") == F.col("r_path")), "left") \
-        .join(spread, F.col("node") == F.col("s_node"), "left")
+    # Both tables grow with the pages, and their text packs so well that file sizes understate them: no broadcast.
+    out = p.join(r.hint("merge"), (F.col("host") == F.col("r_host")) & (F.col("path") == F.col("r_path")), "left") \
+        .join(spread.hint("merge"), F.col("node") == F.col("s_node"), "left")
     return out.select("page_id", "url", "host", "path", "rule",
                       F.coalesce("verdict", "spread", F.lit("allow")).alias("verdict"), "alias_of")
 
