@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import line_dedup, mixing, quality
+from pactum.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
 from pactum.llm.common import durable, table
 
 
@@ -24,6 +24,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.drop("__n_lines", "__n_dropped").withColumn("n_chars", F.length("text").cast("long"))
 
 
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id stays."""
+    return jaccard_join.keep_first(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its error budget go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mix(docs)
@@ -32,6 +42,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
+    ("near_copies", near_copy_stage),
+    ("decontamination", decontamination_stage),
     ("source_mix", mix_stage),
 ]
 

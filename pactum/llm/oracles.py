@@ -188,5 +188,21 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op7_quality_rules": OP7, "op8_source_mix": OP8,
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (
+  SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(0, 8), lambda i:
+           array_to_string(list_transform(range(0, 4), lambda j:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ((CAST('0x' || substr(sha1(h), CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * j AS BIGINT)) & 31), 1)),
+             '')), '') AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM m
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op7_quality_rules": OP7, "op8_source_mix": OP8, "op9_warc": OP9,
            "op10_substring_dedup": OP10}

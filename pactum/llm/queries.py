@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, quality, substring_dedup,
-                        url_filter)
+                        url_filter, warc, wrapper)
 from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
@@ -17,6 +17,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,13 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__taken_copies") * F.col("__size")).cast("long").alias("taken"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select(F.col("id").alias("page_id"), F.col("n_bytes").alias("payload_bytes"),
+                      F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
+                      F.col("refers").alias("refers_to"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words", "n_removed",
@@ -59,6 +70,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op6_jaccard_join, op7_quality_rules,
-    op8_source_mix, op10_substring_dedup)}
+    op1_url_filter, op2_main_text, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op6_jaccard_join, op7_quality_rules,
+    op8_source_mix, op9_warc, op10_substring_dedup)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
