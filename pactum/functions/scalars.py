@@ -59,7 +59,7 @@ def cast_int_lenient(c, bits: int = 64) -> Column:
 
 def strip_check_digit(c) -> Column:
     n = _c(c)
-    return F.when(n >= F.lit(CHECK_DIGIT_FROM), F.floor(n / 10).cast("bigint")).otherwise(n)
+    return F.when(n >= F.lit(CHECK_DIGIT_FROM), F.call_function("div", n, F.lit(10))).otherwise(n)
 
 
 def entity_id_clean(c) -> Column:

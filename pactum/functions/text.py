@@ -3,17 +3,16 @@
 All of it is array/higher-order-function Catalyst code (``split``,
 ``filter``, ``array_join``, ``regexp_extract_all``); no Python per row.
 The stop-word list is a parameter; its default is Spark's own public Spanish
-list, read from the MLlib jar so that the DuckDB oracle can use the very same
-words without a JVM.
+list, a data file of the package that is read on first use, so that the DuckDB
+oracle can use the very same words without a JVM.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
 import os
+import re
 import string
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,17 +23,15 @@ BREAKS_PATTERN = "[\n-]"                  # newline or dash -> space
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"      # words of 2+ letters/digits/underscore
 # -----------------------------------------------------------------------------
 
-_STOPWORDS_RESOURCE = "org/apache/spark/ml/feature/stopwords/{lang}.txt"
+_STOPWORDS_FILE = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "data",
+                               "stopwords_{lang}.txt")
 
 
 @functools.lru_cache(maxsize=None)
 def default_stopwords(lang: str = "spanish") -> tuple[str, ...]:
-    """Spark's public stop-word list (same as StopWordsRemover.loadDefaultStopWords)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read(_STOPWORDS_RESOURCE.format(lang=lang)).decode("utf-8").split()
+    """Spark's public stop-word list (same as StopWordsRemover.loadDefaultStopWords), shipped with the package."""
+    with open(_STOPWORDS_FILE.format(lang=lang), encoding="utf-8") as f:
+        words = [w for line in f if not line.startswith("#") for w in line.split()]
     # punctuation inside stop words is deleted, as it is deleted from the text
     cleaned = ("".join(ch for ch in w if ch not in PUNCTUATION) for w in words)
     return tuple(dict.fromkeys(w for w in cleaned))
@@ -86,12 +83,13 @@ def sql_quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def stopwords_sql_list(stopwords=None) -> str:
+def not_stopword_sql(token: str, stopwords=None) -> str:
+    """True for a token that is neither empty nor a stop word (one linear-time pattern)."""
     words = stopwords if stopwords is not None else default_stopwords()
-    return "[" + ", ".join(sql_quote(w) for w in words) + "]"
+    return f"{token} <> '' AND NOT regexp_full_match({token}, {sql_quote('|'.join(re.escape(w) for w in words))})"
 
 
 def clean_text_sql(expr: str, stopwords=None) -> str:
     stripped = f"translate(regexp_replace({expr}, '[\n-]', ' ', 'g'), {sql_quote(PUNCTUATION)}, '')"
     return (f"array_to_string(list_filter(string_split({stripped}, ' '), "
-            f"lambda t: t <> '' AND NOT list_contains({stopwords_sql_list(stopwords)}, t)), ' ')")
+            f"lambda t: {not_stopword_sql('t', stopwords)}), ' ')")

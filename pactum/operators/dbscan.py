@@ -187,7 +187,7 @@ def core_links(tagged: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
     return groups.groupBy("pair").applyInPandas(kernel, "src long, dst long, kind string")
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(v, label): label = smallest vertex id of the component (undirected ``edges``)."""
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
@@ -204,14 +204,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
             .select(F.col("a.v").alias("v"), F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label")))
                     .alias("label"))
 
-    for _ in range(max_rounds):
+    while True:   # every round lowers a label or ends
         jumped = step(step(labels)).checkpoint()   # two min-label steps per checkpoint
         changed = jumped.join(labels.withColumnRenamed("label", "old"), "v") \
             .filter(F.col("label") != F.col("old")).limit(1).count()
         labels = jumped
         if changed == 0:
-            break
-    return labels
+            return labels
 
 
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, grid_dims: int = 3,
@@ -221,6 +220,9 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, g
     # the input is read many times below: materialise (id, vector) once, durably
     base = df.select(F.col(id_col).alias("__id"), F.col(vec_col).cast("array<double>").alias("__vec")).checkpoint()
     dim = base.select(F.max(F.size("__vec"))).first()[0]
+    if dim is None:
+        return base.select(F.col("__id").alias(id_col), F.lit(NOISE).cast("long").alias("cluster"),
+                           F.lit(False).alias("is_core"))
     g = max(1, min(grid_dims, dim))
     # 1. identical vectors -> one weighted point (representative = smallest id)
     collapsed = base.groupBy("__vec").agg(F.min("__id").alias("pid"), F.count(F.lit(1)).alias("w")).checkpoint()

@@ -21,21 +21,26 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactum.functions.text import tfidf_tokens
 from pactum.operators.indexing import dense_index
-from pactum.operators.joins import broadcast_checked
 
 # ------------------------------------------------------------------ one-hot
 
 
+MAX_CATEGORIES = 10_000
+
+
 def categories(df: DataFrame, col: str) -> list:
-    """Sorted distinct non-null values (bounded: a categorical column)."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+    """Sorted distinct non-null values of a categorical column; more than MAX_CATEGORIES is an error."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{col} has more than {MAX_CATEGORIES} values; it is no categorical column")
+    return sorted(r[0] for r in rows)
 
 
 def one_hot_drop_first(df: DataFrame, cols: Sequence[str], levels: dict | None = None) -> DataFrame:
@@ -56,8 +61,8 @@ SPLITS = ("train", "cv", "test")
 
 def group_order(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """(key, rank, n_groups): distinct groups in a seeded pseudo-random order."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct() \
-        .withColumn("__h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}"))))
+    keys = df.select(key).distinct() \
+        .withColumn("__h", F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}"))))
     ranked = dense_index(keys, ["__h", key], out="rank")
     n = keys.select(F.count(F.lit(1))).scalar()
     return ranked.select(key, "rank", n.alias("n_groups"))
@@ -68,53 +73,54 @@ def group_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.7, 0.15
     order = group_order(df, key, seed)
     a = F.floor(F.col("n_groups") * F.lit(fractions[0]))
     b = F.floor(F.col("n_groups") * F.lit(fractions[0] + fractions[1]))
-    labels = order.select(key, F.when(F.col("rank") < a, "train").when(F.col("rank") < b, "cv")
+    labels = order.select(F.col(key).alias("__key"), F.when(F.col("rank") < a, "train").when(F.col("rank") < b, "cv")
                           .otherwise("test").alias("split"))
-    # one row per group: a shuffle join on the key (size grows with the data)
-    return df.join(labels, key, "inner")
+    # one row per group: a shuffle join on the key (size grows with the data); rows without a key are one group
+    return df.join(labels, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 # ------------------------------------------------------------------ TF-IDF
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf): raw term counts per document (partial aggregation map-side)."""
-    tokens = docs.select(id_col, F.explode(tfidf_tokens(text_col)).alias("term"))
-    return tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, total, df): occurrences and documents per term.
+
+    A document's tokens are sorted inside its row, so the first of each term
+    marks a document; the only shuffle is by term, after partial aggregation.
+    """
+    def marked(tokens: Column) -> Column:
+        return F.transform(tokens, lambda t, i: F.struct(
+            t.alias("term"), F.when(F.get(tokens, i - 1) == t, 0).otherwise(1).alias("first")))
+
+    # the one-element array binds the sorted tokens, so they are sorted once per row
+    pairs = F.flatten(F.transform(F.array(F.array_sort(tfidf_tokens(text_col))), marked))
+    return docs.select(F.explode(pairs).alias("t")).groupBy("t.term").agg(
+        F.count(F.lit(1)).alias("total"), F.sum("t.first").alias("df"))
 
 
-def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int,
-              per_doc: DataFrame | None = None) -> DataFrame:
+def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> DataFrame:
     """Vocabulary table (term, df, idf, col) fitted on ``docs``; col = alphabetical position."""
-    per_doc = per_doc if per_doc is not None else term_counts(docs, id_col, text_col)
-    stats = per_doc.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    top = stats.orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
+    top = term_counts(docs, text_col).orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
     idf = F.ln((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
     w = Window.orderBy("term")   # over at most n_terms rows
     return top.select("term", "df", idf.alias("idf"), (F.row_number().over(w) - 1).alias("col"))
 
 
-def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
-                    n_terms: int | None = None, per_doc: DataFrame | None = None) -> DataFrame:
-    """Long form (id, term, col, weight): L2-normalised tf*idf of the vocabulary terms.
-
-    The vocabulary has at most ``n_terms`` rows (a ``limit``), a proven bound
-    for the broadcast; without it the size is checked.  ``per_doc`` (from
-    :func:`term_counts`) lets a fit and a transform on the same documents share
-    one tokenisation and one shuffle.
-    """
-    per_doc = per_doc if per_doc is not None else term_counts(docs, id_col, text_col)
-    v = broadcast_checked(vocab.select("term", "idf", "col"), bound=n_terms)
-    raw = per_doc.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))  # per document
-    return raw.select(id_col, "term", "col", (F.col("w") / norm).alias("weight"))
+def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Long form (id, term, col, weight): the non-zero entries of ``tfidf_vectors``, exploded row by row."""
+    terms = [r["term"] for r in vocab.orderBy("col").select("term").collect()]   # bounded: n_terms rows
+    if not terms:
+        return docs.select(id_col, F.lit("").alias("term"), F.lit(0).alias("col"), F.lit(0.0).alias("weight")).limit(0)
+    vec = tfidf_vectors(docs.select(id_col, text_col), vocab, text_col, out="__v")
+    rows = vec.select(id_col, F.posexplode(vector_to_array("__v")).alias("col", "weight")).filter(F.col("weight") != 0)
+    names = F.array(*[F.lit(t) for t in terms])
+    return rows.select(id_col, F.get(names, F.col("col")).alias("term"), "col", "weight")
 
 
 def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str, n_terms: int):
-    """(vocabulary, long weights) of the same documents, sharing the term counts."""
-    per_doc = term_counts(docs, id_col, text_col)
-    vocab = tfidf_fit(docs, id_col, text_col, n_terms, per_doc=per_doc)
-    return vocab, tfidf_transform(docs, vocab, id_col, text_col, n_terms=n_terms, per_doc=per_doc)
+    """(vocabulary, long weights) of the same documents."""
+    vocab = tfidf_fit(docs, id_col, text_col, n_terms)
+    return vocab, tfidf_transform(docs, vocab, id_col, text_col)
 
 
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, text_col: str, out: str = "tfidf") -> DataFrame:
@@ -149,11 +155,6 @@ def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> Data
     return df.withColumns(out)
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    """Numeric columns -> one dense vector column (JVM ``array_to_vector``)."""
-    return df.withColumn(out, array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])))
-
-
 # ------------------------------------------------------------------ PCA
 
 
@@ -207,29 +208,22 @@ def pca_fit(df: DataFrame, col: str, k: int) -> PcaModel:
 
 
 def vocabulary_from_frequency(words: DataFrame, k: int, word_col: str = "word", count_col: str = "n") -> DataFrame:
-    """(word, rank): the ``k`` most frequent words (ties by word), ranked 0..k-1.
-
-    A top-k (per-partition top-k, then a merge of k rows per partition); the
-    window then runs over those k rows only.
-    """
-    top = words.orderBy(F.col(count_col).desc(), F.col(word_col)).limit(k)
-    w = Window.orderBy(F.col(count_col).desc(), F.col(word_col))
-    return top.select(word_col, (F.row_number().over(w) - 1).cast("long").alias("rank"))
+    """(word, rank): the ``k`` most frequent words (ties by word), ranked 0..k-1 by the distributed dense index."""
+    ranked = dense_index(words.select(word_col, (-F.col(count_col)).alias("__n")), ["__n", word_col], out="rank")
+    return ranked.filter(F.col("rank") < k).select(word_col, "rank")
 
 
 def vectorize_tokens(df: DataFrame, id_col: str, text_col: str, emb: DataFrame,
-                     token_col: str = "word", vec_col: str = "vec", out: str = "seq",
-                     emb_rows: int | None = None) -> DataFrame:
+                     token_col: str = "word", vec_col: str = "vec", out: str = "seq") -> DataFrame:
     """Words -> vectors by an equi-join on the embedding table; unknown words dropped;
     order kept (``posexplode`` + ``array_sort`` of (pos, vec)); no known word -> empty.
 
-    The embedding table (vocabulary x dim) is the side that is broadcast, behind
-    a size check (``emb_rows`` when the caller knows the bound): the planner's
-    estimate of an exploded token stream is far too small and would otherwise
-    broadcast the tokens.
+    Both sides are joined by word; AQE broadcasts the embedding table where it
+    is small at run time.
     """
     toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ", -1)).alias("pos", token_col))
-    hit = toks.join(broadcast_checked(emb.select(token_col, vec_col), bound=emb_rows), token_col, "inner")
+    # merge hint: the planner's estimate of an exploded token stream is far too small, and would broadcast the tokens
+    hit = toks.hint("merge").join(emb.select(token_col, vec_col), token_col, "inner")
     seqs = hit.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", vec_col))).alias("__s"))
     seqs = seqs.select(id_col, F.transform("__s", lambda s: s[vec_col]).alias(out))
     empty = F.array().cast(seqs.schema[out].dataType)

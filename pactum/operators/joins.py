@@ -1,35 +1,16 @@
-"""Join helpers: size-checked broadcast, semi/anti filters, first row per key."""
+"""Join helpers: anti filter, first row per key.
+
+No join here is forced to broadcast: the planner does so below its byte
+threshold, and AQE when the side turns out that small at run time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count was checked below this.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
-
-    ``bound`` is a row bound the caller can prove from the plan (for example a
-    ``limit(n)`` vocabulary); otherwise one cheap job
-    (``limit(max_rows + 1).count()``) checks it.  Above the bound the frame is
-    returned unchanged and the planner/AQE choose a shuffle join.
-    """
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def semi_join_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (``filter_keys_in`` / ``semi_join_split``)."""
-    return df.join(keys, on, "left_semi")
-
-
 def anti_join_values(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """Rows whose ``col`` value never occurs in ``other[other_col]``."""
     vals = other.select(F.col(other_col).alias("__v")).distinct()

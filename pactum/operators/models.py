@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Sequence
 
@@ -45,8 +44,13 @@ def assemble_features(df: DataFrame, cols: Sequence[str], out: str = "features")
 def rf_fit_predict(train: DataFrame, test: DataFrame, label: str, features: str = "features", *,
                    trees: int = 20, depth: int = 10, leaf: int = 5, feature_share: float = 0.85,
                    seed: int = 0):
-    """Fit a random forest on ``train``; return (model, predictions on ``test``)."""
-    rf = RandomForestRegressor(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=min(depth, 30),
+    """Fit a random forest on ``train``; return (model, predictions on ``test``).
+
+    Spark's trees are at most 30 deep; a greater ``depth`` is an error.
+    """
+    if depth > 30:
+        raise ValueError(f"depth {depth} is more than Spark's 30")
+    rf = RandomForestRegressor(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
                                minInstancesPerNode=leaf, featureSubsetStrategy=repr(float(feature_share)),
                                seed=seed)
     model = rf.fit(train)
@@ -67,13 +71,11 @@ def random_params(n: int, seed: int = 0) -> list[dict]:
 
 
 def rf_random_search(train: DataFrame, valid: DataFrame, label: str, n_draws: int, seed: int = 0,
-                     features: str = "features", max_trees: int | None = None) -> DataFrame:
+                     features: str = "features") -> DataFrame:
     """(draw, trees, depth, leaf, feature_share, valid_rmse) for every draw (best = min rmse)."""
     spark = train.sparkSession
     rows = []
     for i, p in enumerate(random_params(n_draws, seed)):
-        if max_trees is not None:
-            p = {**p, "trees": min(p["trees"], max_trees)}
         _, pred = rf_fit_predict(train, valid, label, features, seed=seed + i, **p)
         err = rmse(pred, "prediction", label).first()["rmse"]
         rows.append((i, p["trees"], p["depth"], p["leaf"], float(p["feature_share"]), float(err)))
@@ -101,7 +103,3 @@ def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], id
             .first()["rmse"]
         rows.append((c, float(err - base)))
     return df.sparkSession.createDataFrame(rows, "feature string, rmse_increase double")
-
-
-def nan_to_none(x):
-    return None if x is None or (isinstance(x, float) and math.isnan(x)) else x

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from pactum.operators.eda import group_count
 from pactum.operators.indexing import dense_index
-from pactum.operators.joins import broadcast_checked
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -68,7 +67,7 @@ def aligned_topn_report(df: DataFrame, cols: Sequence[str], n: int = 10, value_n
 def relabel(df: DataFrame, col: str, mapping: DataFrame, keep: Sequence = (-1,)) -> DataFrame:
     """Relabel ``col`` through a (old, new) mapping table; values in ``keep`` stay."""
     m = mapping.toDF("__old", "__new")
-    out = df.join(broadcast_checked(m), F.col(col) == F.col("__old"), "left")
+    out = df.join(m, F.col(col) == F.col("__old"), "left")
     return out.withColumn(col, F.when(F.col(col).isin(list(keep)), F.col(col))
                           .otherwise(F.coalesce("__new", F.col(col)))).drop("__old", "__new")
 

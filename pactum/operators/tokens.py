@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.operators.joins import broadcast_checked
 
 
 def lemma_table_from_vocabulary(words: DataFrame, word_col: str = "word") -> DataFrame:
@@ -29,7 +28,7 @@ def lemma_table_from_vocabulary(words: DataFrame, word_col: str = "word") -> Dat
 def lemmatize_text(df: DataFrame, text_col: str, lemmas: DataFrame, id_col: str = "index") -> DataFrame:
     """Replace every single-space token of ``text_col`` by its lemma (if any), order kept."""
     toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ", -1)).alias("__pos", "__w"))
-    lem = broadcast_checked(lemmas.select(F.col("word").alias("__w"), F.col("lemma").alias("__l")))
+    lem = lemmas.select(F.col("word").alias("__w"), F.col("lemma").alias("__l"))
     mapped = toks.join(lem, "__w", "left").select(id_col, "__pos", F.coalesce("__l", "__w").alias("__t"))
     texts = mapped.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__pos", "__t"))).alias("__s"))
     texts = texts.select(id_col, F.array_join(F.transform("__s", lambda s: s["__t"]), " ").alias("__txt"))

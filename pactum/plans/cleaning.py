@@ -1,12 +1,12 @@
 """The three cleaning jobs as single lazy plans.
 
-``clean_contracts`` is the heart of the library.  Its plan is: one scan with
-pushed-down null filters, narrow projections for every scalar rule, a
-left-anti join against the entity names alive at that step (AQE turns it into
-a broadcast at run time when the name set is small), a broadcast join to the
-regional-economy dimension (row count checked), a mean imputation through a
-merged scalar subquery, and narrow filters after that.  No Python runs per
-row.
+``clean_contracts`` is the heart of the library.  It scans its input twice.
+The first scan writes a narrow table (entity, provider, department, whether
+the row survives the row rules); from it come the entity names for the
+left-anti join and, through one count per department, the contract-weighted
+means that fill the missing economy values.  The second scan applies every
+scalar rule, that anti-join and the join with the regional-economy dimension
+(AQE broadcasts either when it is small).  No Python runs per row.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pactum.functions import rules as R
 from pactum.functions import scalars as S
 from pactum.functions import text as T
-from pactum.operators.joins import anti_join_values, broadcast_checked
+from pactum.operators.joins import anti_join_values
+from pactum.session import durable
 
 # --- fixed values: column lists and literals of the contract cleaning -------
 CONTRACT_LOWER_FOLD = ("nombre_entidad", "departamento", "ciudad", "orden", "estado_contrato",
@@ -60,19 +61,20 @@ def prepare_economy(economy: DataFrame, key: str = "Departamento",
 
 
 def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Fill NULLs of each column with that column's mean over ``df``.
-
-    The means are scalar subqueries over the same plan; Catalyst merges them
-    into one aggregate (MergeScalarSubqueries), so this is one extra pass, no
-    join and nothing collected to the driver.
-    """
+    """Fill NULLs of each column with that column's mean over ``df`` (one merged aggregate, no join)."""
     fills = {c: F.coalesce(F.col(c), df.select(F.avg(c)).scalar()) for c in cols}
     return df.withColumns(fills)
 
 
-def clean_contracts(raw: DataFrame, economy: DataFrame, *, exact_phrase: bool = False,
-                    lemmas: DataFrame | None = None, stopwords=None) -> DataFrame:
-    """Raw platform contracts + economy dimension -> clean contract table (A6)."""
+def weighted_means(economy: DataFrame, counts: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One row: the mean of each dimension column over the contracts (``counts``: department, n)."""
+    joined = economy.join(counts, F.col(key) == F.col("dept"))
+    return joined.agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum(F.when(F.col(c).isNotNull(), F.col("n")))).alias(c)
+                        for c in cols])
+
+
+def _typed(raw: DataFrame, exact_phrase: bool) -> DataFrame:
+    """The contracts with both dates, folded, typed, without inter-administrative agreements."""
     df = raw.filter(F.col("fecha_de_firma").isNotNull() & F.col("fecha_de_fin_del_contrato").isNotNull())
     df = df.withColumns({
         **{c: S.lower_fold(c) for c in CONTRACT_LOWER_FOLD},
@@ -82,30 +84,50 @@ def clean_contracts(raw: DataFrame, economy: DataFrame, *, exact_phrase: bool =
         "modalidad_de_contratacion": R.map_method_platform(F.col("modalidad_de_contratacion")),
         "nit_entidad": S.strip_check_digit(S.cast_int_strict("nit_entidad")),
         **{c: S.parse_int_or(c) for c in CONTRACT_LENIENT_INT},
+        "duration_days": S.contract_duration("fecha_de_firma", "fecha_de_inicio_del_contrato",
+                                             "fecha_de_fin_del_contrato"),
     })
-    df = df.filter(not_interadministrative("descripcion_del_proceso", exact_phrase))
+    return df.filter(not_interadministrative("descripcion_del_proceso", exact_phrase))
+
+
+def _row_rules():
+    """Positive value, not the excluded entity, no negative duration."""
+    return ((F.col("valor_del_contrato") > 0) & ~F.col("nombre_entidad").eqNullSafe(BAD_ENTITY)
+            & (F.col("duration_days") >= 0))
+
+
+def clean_contracts(raw: DataFrame, economy: DataFrame, *, exact_phrase: bool = False,
+                    lemmas: DataFrame | None = None, stopwords=None) -> DataFrame:
+    """Raw platform contracts + economy dimension -> clean contract table (A6).
+
+    ``index`` is the input's ``id`` where it has one; otherwise the position of
+    the row in the input (unique, set at the scan).
+    """
+    numbered = raw if "id" in raw.columns else raw.withColumn("id", F.monotonically_increasing_id())
+    typed = _typed(numbered, exact_phrase)
+    names = durable(typed.select("nombre_entidad", "proveedor_adjudicado", F.col("departamento").alias("dept"),
+                                 F.coalesce(_row_rules(), F.lit(False)).alias("alive")), "contract-names")
+    eco = prepare_economy(economy).withColumnRenamed("Departamento", "__dept")
+    eco_cols = [c for c in eco.columns if c != "__dept"]
+    counts = anti_join_values(names.filter("alive"), "proveedor_adjudicado", names, "nombre_entidad") \
+        .groupBy("dept").agg(F.count(F.lit(1)).alias("n"))
+    means = durable(weighted_means(eco, counts, "__dept", eco_cols), "economy-means")
+
     # provider names that are also contracting entities (among rows alive now)
-    df = anti_join_values(df, "proveedor_adjudicado", df, "nombre_entidad")
-    df = df.withColumn("tipodocproveedor", R.map_doc_type(F.col("tipodocproveedor")))
-    df = df.filter((F.col("valor_del_contrato") > 0) & ~F.col("nombre_entidad").eqNullSafe(BAD_ENTITY))
+    df = anti_join_values(typed, "proveedor_adjudicado", names, "nombre_entidad").filter(_row_rules())
     text = T.clean_text(S.concat_text("descripcion_del_proceso", "objeto_del_contrato"), stopwords)
     df = df.withColumns({
+        "tipodocproveedor": R.map_doc_type(F.col("tipodocproveedor")),
         "log_valor_del_contrato": F.ln("valor_del_contrato"),
         "full_contract_description": text,
-        "duration_days": S.contract_duration("fecha_de_firma", "fecha_de_inicio_del_contrato",
-                                             "fecha_de_fin_del_contrato"),
     })
     if lemmas is not None:
         from pactum.operators.tokens import lemmatize_text
         df = lemmatize_text(df, "full_contract_description", lemmas)
-    df = df.filter(F.col("duration_days") >= 0)
 
     # Spark names are case-insensitive: the dimension key is renamed before the join
-    eco = prepare_economy(economy).withColumnRenamed("Departamento", "__dept")
-    eco_cols = [c for c in eco.columns if c != "__dept"]
-    df = df.join(broadcast_checked(eco), F.col("departamento") == F.col("__dept"), "left") \
-        .drop("__dept")
-    df = mean_impute(df, eco_cols)
+    df = df.join(eco, F.col("departamento") == F.col("__dept"), "left").drop("__dept")
+    df = df.withColumns({c: F.coalesce(F.col(c), means.select(c).scalar()) for c in eco_cols})
     df = df.withColumn("days_ref", S.days_since("fecha_de_firma"))
     lo, hi = PERSON_ID_RANGE
     doc = F.col("documento_proveedor")
@@ -113,9 +135,7 @@ def clean_contracts(raw: DataFrame, economy: DataFrame, *, exact_phrase: bool =
     df = df.withColumn("fecha_de_inicio_del_contrato",
                        S.effective_start("fecha_de_firma", "fecha_de_inicio_del_contrato",
                                          "fecha_de_fin_del_contrato"))
-    # stable unique surrogate (the source id); pactum.operators.indexing.dense_index
-    # gives 0..n-1 when a dense numbering is really needed
-    return df.withColumn("index", F.col("id")).drop("id")
+    return df.withColumnRenamed("id", "index")
 
 
 # --- fixed values: integrated-source and process cleaning -------------------

@@ -14,18 +14,26 @@ from pactum.operators.models import assemble_features, rf_fit_predict, rf_random
 from pactum.operators.profile import provider_profile
 
 # --- fixed values: model column lists ------------------------------------------
-ECONOMY_COLS = ("Poblacion", "PIB", "ValorAgregado", "Impuestos")
-MODEL_NUMERIC = ("duration_days", *ECONOMY_COLS, "dias_adicionados", "days_ref")
+CONTRACT_COLUMNS = frozenset((
+    "nombre_entidad", "nit_entidad", "departamento", "ciudad", "orden", "proceso_de_compra", "referencia_del_contrato",
+    "estado_contrato", "descripcion_del_proceso", "modalidad_de_contratacion", "fecha_de_firma",
+    "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato", "tipodocproveedor", "documento_proveedor",
+    "proveedor_adjudicado", "valor_del_contrato", "objeto_del_contrato", "dias_adicionados", "log_valor_del_contrato",
+    "full_contract_description", "duration_days", "days_ref", "index"))
 CATEGORICAL = ("orden", "modalidad_de_contratacion")
 TARGET = "log_valor_del_contrato"
 TEXT = "full_contract_description"
-PROVIDER_PCA_BASE = ("Poblacion", "ValorAgregado", "Impuestos", "PIB")
 PERSON, COMPANY = "cedula de ciudadania", "nit"
 # --------------------------------------------------------------------------------
 
 
+def economy_columns(clean: DataFrame) -> list[str]:
+    """What the regional-economy dimension added to the contracts: every column that is not the contracts' own."""
+    return [c for c in clean.columns if c not in CONTRACT_COLUMNS]
+
+
 def model_frame(clean: DataFrame, with_process: bool = True) -> DataFrame:
-    cols = ["index", TEXT, *CATEGORICAL, *MODEL_NUMERIC, TARGET]
+    cols = ["index", TEXT, *CATEGORICAL, "duration_days", *economy_columns(clean), "dias_adicionados", "days_ref", TARGET]
     if with_process:
         cols.insert(2, "proceso_de_compra")
     return clean.select(*cols)
@@ -58,9 +66,9 @@ def prepare_contract_clusters(clean: DataFrame, n_terms: int = 400) -> DataFrame
     return Fe.tfidf_vectors(df, vocab, TEXT).drop(TEXT)
 
 
-def _pca_columns(df: DataFrame, n_terms: int) -> list[str]:
+def _pca_columns(df: DataFrame, economy: Sequence[str], n_terms: int) -> list[str]:
     dummies = [c for c in df.columns if c.startswith("orden_") or c.startswith("modalidad_de_contratacion_")]
-    return [*PROVIDER_PCA_BASE, *[f"feat_text_{i + 1}" for i in range(n_terms)], *dummies]
+    return [*economy, *[f"feat_text_{i + 1}" for i in range(n_terms)], *dummies]
 
 
 def prepare_provider_profiles(clean: DataFrame, n_terms: int = 100, n_pca: int = 10) -> dict[str, DataFrame]:
@@ -72,7 +80,7 @@ def prepare_provider_profiles(clean: DataFrame, n_terms: int = 100, n_pca: int =
     out = {}
     for name, kind in (("people", PERSON), ("companies", COMPANY)):
         part = df.filter(F.col("tipodocproveedor") == kind)
-        cols = _pca_columns(part, n_terms)
+        cols = _pca_columns(part, economy_columns(clean), n_terms)
         vec = assemble_features(part, cols, out="__raw").drop(*cols)
         scaled = Fe.standard_scale_vector(vec, "__raw", "__x").drop("__raw").cache()
         proj = Fe.pca_fit(scaled, "__x", n_pca).transform_columns(scaled, "__x").drop("__x")
@@ -126,20 +134,21 @@ def contract_clusters(features: DataFrame, vec_col: str, eps: float, min_pts: in
     pcs = [f"pca_{i}" for i in range(n_pca)]
     mat = proj.withColumn("__v", F.array(F.col(TARGET).cast("double"), *[F.col(c) for c in pcs]))
     labels = dbscan(mat.select("index", "__v"), "index", "__v", eps, min_pts)
-    withv = mat.withColumn("__x", array_to_vector("__v"))
+    # the plot leaves the value out: two components of the scores alone
+    withv = mat.withColumn("__x", array_to_vector(F.array(*[F.col(c) for c in pcs])))
     xy = Fe.pca_fit(withv, "__x", 2).transform_columns(withv, "__x", prefix="pc")
     return xy.join(labels, "index").select("index", TARGET, "cluster", "is_core",
                                             F.col("pc0").alias("x_pca"), F.col("pc1").alias("y_pca"))
 
 
-def price_model(splits: dict[str, DataFrame], n_draws: int = 3, seed: int = 0, max_trees: int | None = None):
+def price_model(splits: dict[str, DataFrame], n_draws: int = 3, seed: int = 0):
     """Random search on train/cv, refit the best draw, test RMSE and residuals."""
     def prep(df):
         feats = [c for c in df.columns if c not in ("index", TARGET)]
         return assemble_features(df, feats)
 
     train, cv, test = (prep(splits[f"{s}_tfidf"]).cache() for s in ("train", "cv", "test"))
-    search = rf_random_search(train, cv, TARGET, n_draws, seed, max_trees=max_trees)
+    search = rf_random_search(train, cv, TARGET, n_draws, seed)
     best = search.orderBy("valid_rmse", "draw").first()
     _, pred = rf_fit_predict(train, test, TARGET, trees=best["trees"], depth=best["depth"], leaf=best["leaf"],
                              feature_share=best["feature_share"], seed=seed)

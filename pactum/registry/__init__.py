@@ -3,7 +3,8 @@
 Each entry is ``name -> (fn(spark, sf_dir) -> DataFrame, duckdb_sql | None)``.
 The Spark side always reads the given test tables (or frames Spark derives
 from them) in full; the SQL side is an independent formulation that DuckDB
-runs on the same parquet files.  ``__spark_entry__`` exposes both.
+runs on the same parquet files.  SQL may be given as a function: it is only
+built when it is asked for.  ``__spark_entry__`` exposes both.
 """
 
 from __future__ import annotations
@@ -15,19 +16,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+Sql = str | Callable[[], str]
+
+
 @dataclass(frozen=True)
 class Entry:
     name: str
     fn: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
+    source: Sql | None
+
+    @property
+    def sql(self) -> str | None:
+        """The oracle SQL, built when it is asked for."""
+        return self.source() if callable(self.source) else self.source
 
 
 REGISTRY: dict[str, Entry] = {}
 
-_MODULES = ("sources", "relational", "scalar", "aggregate", "window", "feature", "model", "jobs")
+_MODULES = ("sources", "relational", "scalar", "aggregate", "feature", "model", "jobs")
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: Sql | None = None):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
@@ -38,9 +47,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, Entry]:
     for m in _MODULES:
-        try:
-            importlib.import_module(f"pactum.registry.{m}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"pactum.registry.{m}":
-                raise
+        importlib.import_module(f"pactum.registry.{m}")
     return REGISTRY

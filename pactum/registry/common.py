@@ -24,7 +24,8 @@ def clean_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean contract table as downstream jobs read it: written once, then scanned."""
-    return materialized(spark, f"clean_contracts:{sf_dir}", lambda: clean_plan(spark, sf_dir))
+    inputs = [fixtures.table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "documents")]
+    return materialized(spark, "clean-contracts", inputs, lambda: clean_plan(spark, sf_dir), sf_dir)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

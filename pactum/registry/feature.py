@@ -31,9 +31,9 @@ register("one_hot_drop_first", with_clean(
 
 # ------------------------------------------------------------------ group split
 _ORDER_CTE = """g AS (
-  SELECT proceso_de_compra, row_number() OVER (ORDER BY md5(proceso_de_compra || '#0'), proceso_de_compra) - 1 AS rank,
+  SELECT proceso_de_compra, row_number() OVER (ORDER BY md5(coalesce(proceso_de_compra, '') || '#0'), proceso_de_compra) - 1 AS rank,
          count(*) OVER () AS n_groups
-  FROM (SELECT DISTINCT proceso_de_compra FROM clean WHERE proceso_de_compra IS NOT NULL))"""
+  FROM (SELECT DISTINCT proceso_de_compra FROM clean))"""
 _SPLIT_CTE = """s AS (
   SELECT proceso_de_compra, CASE WHEN rank < floor(n_groups * 0.7) THEN 'train'
                                  WHEN rank < floor(n_groups * 0.85) THEN 'cv' ELSE 'test' END AS split FROM g)"""
@@ -101,18 +101,18 @@ _EMB_CTES = (
 
 
 def embedding_table(spark, sf):
-    """(word, vec_id, vec) and its row bound (one word per embedding row at most)."""
+    """(word, vec_id, vec): one word per embedding row at most."""
     words = eda.word_frequency(clean(spark, sf), "full_contract_description")
     emb = table(spark, sf, "embeddings")
     k = emb.count()
     ranks = Fe.vocabulary_from_frequency(words, k)
-    return ranks.join(emb, ranks["rank"] == emb["vec_id"]).select("word", "vec_id", F.col("embedding").alias("vec")), k
+    return ranks.join(emb, ranks["rank"] == emb["vec_id"]).select("word", "vec_id", F.col("embedding").alias("vec"))
 
 
 def _sequences(spark, sf, vec_col):
-    emb, k = embedding_table(spark, sf)
+    emb = embedding_table(spark, sf)
     return Fe.vectorize_tokens(clean(spark, sf), "index", "full_contract_description", emb,
-                               vec_col=vec_col, out="seq", emb_rows=k)
+                               vec_col=vec_col, out="seq")
 
 
 register("token_embedding_join", with_clean(

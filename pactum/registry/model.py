@@ -82,7 +82,7 @@ def q_value_pca(spark, sf):
 
 @register("contract_clusters")
 def q_contract_clusters(spark, sf):
-    feats = P.prepare_contract_clusters(clean(spark, sf), n_terms=100)
+    feats = P.prepare_contract_clusters(clean(spark, sf))
     cols = [c for c in feats.columns if c not in ("index", P.TARGET, "tfidf")]
     vec = M.assemble_features(feats, [*cols, "tfidf"], out="x")
     return P.contract_clusters(vec, "x", eps=0.4, min_pts=4, n_pca=20)
@@ -110,7 +110,7 @@ def q_split(spark, sf):
 
 
 def _train_cv(spark, sf):
-    parts = splits(spark, sf, n_terms=100)
+    parts = splits(spark, sf)
     prep = lambda d: M.assemble_features(d, [c for c in d.columns if c not in ("index", P.TARGET)])
     return prep(parts["train_tfidf"]), prep(parts["cv_tfidf"])
 
@@ -125,20 +125,20 @@ def q_rf(spark, sf):
 @register("rf_random_search")
 def q_rf_search(spark, sf):
     train, cv = _train_cv(spark, sf)
-    return M.rf_random_search(train.cache(), cv.cache(), P.TARGET, n_draws=2, seed=3, max_trees=25)
+    return M.rf_random_search(train.cache(), cv.cache(), P.TARGET, n_draws=2, seed=3)
 
 
 @register("price_model")
 def q_price_model(spark, sf):
     """Search table of the random search, with the refitted best draw's test RMSE on every row."""
-    res = P.price_model(splits(spark, sf, n_terms=100), n_draws=2, seed=3, max_trees=25)
+    res = P.price_model(splits(spark, sf), n_draws=2, seed=3)
     test_rmse = res["test_rmse"].first()["rmse"]          # one scalar
     return res["search"].withColumn("test_rmse", F.lit(test_rmse))
 
 
 @register("permutation_importance")
 def q_perm(spark, sf):
-    parts = splits(spark, sf, n_terms=50)
+    parts = splits(spark, sf)
     train = parts["train_tfidf"]
     cv = parts["cv_tfidf"]
     feats = [c for c in train.columns if c not in ("index", P.TARGET)]

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from pactum.functions import rules as R
 from pactum.functions.text import clean_text_sql
-from pactum.sources.fixtures import CONTRACTS_SQL, ECONOMY_SQL, duck_sql
+from pactum.registry import Sql
+from pactum.sources.fixtures import CONTRACTS_SQL, ECONOMY_SQL, ECONOMY_VALUE_COLUMNS, duck_sql
+
+ECONOMY_COLUMNS = ("Poblacion", *ECONOMY_VALUE_COLUMNS)
 
 
 def fold(x: str) -> str:
@@ -36,7 +39,8 @@ ECO_CTE = f"e AS MATERIALIZED ({duck_sql(ECONOMY_SQL)})"
 _LOWER_FOLD = ("nombre_entidad", "departamento", "ciudad", "orden", "estado_contrato",
                "tipodocproveedor", "proveedor_adjudicado")
 
-CLEAN_CTES = f"""
+def clean_ctes() -> str:
+    return f"""
 c1 AS (
   SELECT id,
     {", ".join(f"{fold(c)} AS {c}" for c in _LOWER_FOLD)},
@@ -61,7 +65,6 @@ c4 AS (
 ),
 c5 AS (
   SELECT *, ln(valor_del_contrato) AS log_valor_del_contrato,
-    {clean_text_sql("descripcion_del_proceso || ' ' || objeto_del_contrato")} AS full_contract_description,
     CAST(CASE WHEN fecha_de_inicio_del_contrato IS NULL
               THEN greatest(0, date_diff('day', fecha_de_firma, fecha_de_fin_del_contrato))
               ELSE date_diff('day', fecha_de_inicio_del_contrato, fecha_de_fin_del_contrato) END AS INTEGER) AS duration_days
@@ -70,41 +73,37 @@ c5 AS (
 eco AS (
   SELECT {recode_sql(fold('Departamento'), R.DEPARTMENT_RECODE)} AS Departamento,
     CAST(Poblacion AS DOUBLE) AS Poblacion,
-    CAST(PIB / Poblacion AS DOUBLE) AS PIB,
-    CAST(ValorAgregado / Poblacion AS DOUBLE) AS ValorAgregado,
-    CAST(Impuestos / Poblacion AS DOUBLE) AS Impuestos
+    {", ".join(f"CAST({c} / Poblacion AS DOUBLE) AS {c}" for c in ECONOMY_VALUE_COLUMNS)}
   FROM e
 ),
 c6 AS (
-  SELECT c5.*, eco.Poblacion, eco.PIB, eco.ValorAgregado, eco.Impuestos
+  SELECT c5.*, {", ".join(f"eco.{c}" for c in ECONOMY_COLUMNS)}
   FROM c5 LEFT JOIN eco ON c5.departamento = eco.Departamento
   WHERE c5.duration_days >= 0
 ),
 c7 AS (
-  SELECT * REPLACE (
-    coalesce(Poblacion, (SELECT avg(Poblacion) FROM c6)) AS Poblacion,
-    coalesce(PIB, (SELECT avg(PIB) FROM c6)) AS PIB,
-    coalesce(ValorAgregado, (SELECT avg(ValorAgregado) FROM c6)) AS ValorAgregado,
-    coalesce(Impuestos, (SELECT avg(Impuestos) FROM c6)) AS Impuestos),
+  SELECT c6.* REPLACE (
+    {", ".join(f"coalesce(c6.{c}, means.{c}) AS {c}" for c in ECONOMY_COLUMNS)}),
     CAST(date_diff('day', DATE '2000-01-01', fecha_de_firma) AS INTEGER) AS days_ref
-  FROM c6
+  FROM c6, (SELECT {', '.join(f'avg({c}) AS {c}' for c in ECONOMY_COLUMNS)} FROM c6) means
 ),
 clean AS (
   SELECT * EXCLUDE (id) REPLACE (least(fecha_de_fin_del_contrato,
            coalesce(fecha_de_inicio_del_contrato, fecha_de_firma)) AS fecha_de_inicio_del_contrato),
-    id AS index
+    id AS index,
+    {clean_text_sql("descripcion_del_proceso || ' ' || objeto_del_contrato")} AS full_contract_description
   FROM c7
   WHERE (documento_proveedor > 1000000 AND documento_proveedor < 2000000000)
      OR tipodocproveedor IS DISTINCT FROM 'cedula de ciudadania'
 )"""
 
 
-def with_raw(body: str, *ctes: str) -> str:
-    return "WITH " + ",\n".join((RAW_CTE,) + ctes) + "\n" + body
+def with_raw(body: str, *ctes: str) -> Sql:
+    return lambda: "WITH " + ",\n".join((RAW_CTE,) + ctes) + "\n" + body
 
 
-def with_clean(body: str, *ctes: str) -> str:
-    return "WITH " + ",\n".join((RAW_CTE, ECO_CTE, CLEAN_CTES) + ctes) + "\n" + body
+def with_clean(body: str, *ctes: str) -> Sql:
+    return lambda: "WITH " + ",\n".join((RAW_CTE, ECO_CTE, clean_ctes()) + ctes) + "\n" + body
 
 
 CLEAN_COLUMNS = (
@@ -113,6 +112,6 @@ CLEAN_COLUMNS = (
     "modalidad_de_contratacion", "fecha_de_firma", "fecha_de_inicio_del_contrato",
     "fecha_de_fin_del_contrato", "tipodocproveedor", "documento_proveedor", "proveedor_adjudicado",
     "valor_del_contrato", "objeto_del_contrato", "dias_adicionados", "log_valor_del_contrato",
-    "full_contract_description", "duration_days", "Poblacion", "PIB", "ValorAgregado", "Impuestos",
+    "full_contract_description", "duration_days", *ECONOMY_COLUMNS,
     "days_ref", "index",
 )

@@ -8,7 +8,7 @@ from pactum.functions import scalars as S
 from pactum.operators import eda
 from pactum.operators import relational as Rel
 from pactum.operators.indexing import dense_index
-from pactum.operators.joins import anti_join_values, broadcast_checked, first_row_per_key
+from pactum.operators.joins import anti_join_values, first_row_per_key
 from pactum.operators.profile import provider_profile
 from pactum.plans.cleaning import not_interadministrative, prepare_economy
 from pactum.registry import register
@@ -119,7 +119,7 @@ FROM v LEFT JOIN e ON {fold('v.departamento')} = {recode_sql(fold('e.Departament
 def q_join_dimension(spark, sf):
     dim = prepare_economy(eco(spark, sf)).select(F.col("Departamento").alias("__d"), "Poblacion", "PIB")
     r = raw(spark, sf).select("id", S.lower_fold("departamento").alias("departamento"))
-    return _r6(r.join(broadcast_checked(dim), F.col("departamento") == F.col("__d"), "left").drop("__d"),
+    return _r6(r.join(dim, F.col("departamento") == F.col("__d"), "left").drop("__d"),
                "Poblacion", "PIB")
 
 

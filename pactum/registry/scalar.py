@@ -15,9 +15,13 @@ from pactum.sources import fixtures
 from pactum.sources.fixtures import duck_sql
 
 
+def _columns(sql_cols: dict) -> str:
+    return ", ".join(f"{v() if callable(v) else v} AS {k}" for k, v in sql_cols.items())
+
+
 def over_raw(name: str, spark_cols: dict, sql_cols: dict, aliases=()):
     """Register ``SELECT id, <rules> FROM raw contracts`` in both engines."""
-    sql = with_raw("SELECT id, " + ", ".join(f"{v} AS {k}" for k, v in sql_cols.items()) + " FROM v")
+    sql = lambda: with_raw("SELECT id, " + _columns(sql_cols) + " FROM v")()
     fn = lambda spark, sf: raw(spark, sf).select(
         "id", *[f().alias(k) for k, f in spark_cols.items()])
     for n in (name, *aliases):
@@ -25,7 +29,7 @@ def over_raw(name: str, spark_cols: dict, sql_cols: dict, aliases=()):
 
 
 def over_clean(name: str, spark_cols: dict, sql_cols: dict, aliases=()):
-    sql = with_clean("SELECT index, " + ", ".join(f"{v} AS {k}" for k, v in sql_cols.items()) + " FROM clean")
+    sql = lambda: with_clean("SELECT index, " + _columns(sql_cols) + " FROM clean")()
     fn = lambda spark, sf: clean(spark, sf).select(
         "index", *[f().alias(k) for k, f in spark_cols.items()])
     for n in (name, *aliases):
@@ -85,12 +89,12 @@ over_raw("split_words",
          {"palabras": "string_split(lower(objeto_del_contrato), ' ')"})
 over_raw("remove_stopwords",
          {"palabras": lambda: T.remove_stopwords(T.split_words(F.lower("objeto_del_contrato")))},
-         {"palabras": f"list_filter(string_split(lower(objeto_del_contrato), ' '), lambda t: t <> '' "
-                      f"AND NOT list_contains({T.stopwords_sql_list()}, t))"})
+         {"palabras": lambda: "list_filter(string_split(lower(objeto_del_contrato), ' '), "
+                              f"lambda t: {T.not_stopword_sql('t')})"})
 over_raw("clean_text",
          {"texto": lambda: T.clean_text(S.concat_text(F.lower("descripcion_del_proceso"),
                                                       F.lower("objeto_del_contrato")))},
-         {"texto": T.clean_text_sql("lower(descripcion_del_proceso) || ' ' || lower(objeto_del_contrato)")})
+         {"texto": lambda: T.clean_text_sql("lower(descripcion_del_proceso) || ' ' || lower(objeto_del_contrato)")})
 over_raw("parse_date_or_null",
          {"firma": lambda: S.parse_date_or_null(F.coalesce(F.col("fecha_de_firma").cast("string"), F.lit("")))},
          {"firma": "CAST(TRY_CAST(nullif(coalesce(CAST(fecha_de_firma AS VARCHAR), ''), '') AS TIMESTAMP) AS DATE)"})

@@ -13,6 +13,7 @@ from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import ECO_CTE, with_clean, with_raw
 from pactum.session import scratch_path
 from pactum.sources import files, ingest, ledger as L
+from pactum.sources.fixtures import ECONOMY_VALUE_COLUMNS
 from pactum.streaming.incremental import incremental_load, land_by_partition
 
 KEY = "nit_entidad"
@@ -68,13 +69,12 @@ register("cache_frame", with_clean("SELECT index, valor_del_contrato FROM clean"
 # ------------------------------------------------------------------ CSV dimension
 ECONOMY_CSV_SCHEMA = StructType([
     StructField("Departamento", StringType()), StructField("Codigo", LongType()),
-    StructField("Poblacion", LongType()), StructField("PIB", DoubleType()),
-    StructField("ValorAgregado", DoubleType()), StructField("Impuestos", DoubleType()),
+    StructField("Poblacion", LongType()), *[StructField(c, DoubleType()) for c in ECONOMY_VALUE_COLUMNS],
 ])
 
 
 @register("scan_csv_dimension", "WITH " + ECO_CTE + "\nSELECT Departamento, CAST(Codigo AS BIGINT) AS Codigo, "
-          "Poblacion, PIB, ValorAgregado, Impuestos FROM e")
+          f"Poblacion, {', '.join(ECONOMY_VALUE_COLUMNS)} FROM e")
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "economy_csv")
     files.write_csv_dimension(eco(spark, sf), path)

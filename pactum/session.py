@@ -12,8 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="pactum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -59,21 +62,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/pactum-{name}-{uuid.uuid4().hex[:12]}"
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+def durable(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back (lineage ends at the files)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialized(spark: SparkSession, key: str, build) -> "DataFrame":
-    """Write ``build()`` once per session under the shared checkpoint folder and read it back.
+_MATERIALIZED: dict[tuple, DataFrame] = {}
 
-    Used for tables that many downstream jobs read (the clean contract table):
-    they scan parquet instead of re-running the cleaning plan, and lineage is
-    cut at a durable table, so a lost executor re-reads files rather than
-    recomputing the whole upstream plan.
+
+def materialized(spark: SparkSession, name: str, inputs: Sequence[DataFrame], build: Callable[[], DataFrame],
+                 *parameters) -> DataFrame:
+    """``durable(build())``, built once per session for the same input files and parameters.
+
+    Used for tables that many downstream jobs read (the clean contract table).
+    Rewriting an input gives its files other names, and so a new table.
     """
-    ident = (spark.sparkContext.applicationId, key)
-    path = _MATERIALIZED.get(ident)
-    if path is None:
-        path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-80:])
-        build().write.mode("errorifexists").parquet(path)
-        _MATERIALIZED[ident] = path
-    return spark.read.parquet(path)
+    files = tuple(sorted(f for df in inputs for f in df.inputFiles()))
+    ident = (spark.sparkContext.applicationId, name, hash(files), parameters)
+    if ident not in _MATERIALIZED:
+        _MATERIALIZED[ident] = durable(build(), name)
+    return _MATERIALIZED[ident]

@@ -17,12 +17,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# dimensions that are tiny at every scale and are joined by broadcast
-SMALL_TABLES = ("region", "nation")
-
-# Fixed fixture text: the contract-shaped view (raw platform contracts).  The
-# two 200-character text slices are cut before the join, so only they (not the
-# whole document text) travel through the join.
+# Fixed fixture text: the contract-shaped view (raw platform contracts).  A
+# document's whole text becomes the description (first half) and the object
+# (the rest) of its contracts.
 CONTRACTS_SQL = """
 SELECT
   o.o_orderkey AS id,
@@ -60,15 +57,23 @@ SELECT
 FROM {orders} o
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-JOIN (SELECT doc_id, substring(text, 1, 200) AS text_head, substring(text, 201, 200) AS text_next
+JOIN (SELECT doc_id, substring(text, 1, CAST(floor(length(text) / 2) AS INT)) AS text_head,
+             substring(text, CAST(floor(length(text) / 2) AS INT) + 1) AS text_next
       FROM {documents}) d
   ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {documents})
 """
 
+# The sector columns of the regional-economy dimension.
+SECTORS = ("Agricultura", "Hidrocarburos", "Manufactura", "ServiciosPublicos", "Construccion", "Comercio",
+           "Comunicaciones", "Financiero", "Inmobiliaria", "Profesionales", "AdministracionPublica", "Artisticas")
+
 # Fixed fixture text: the regional-economy dimension (four nations left out).
 ECONOMY_SQL = """
 SELECT n.n_name AS Departamento, n.n_nationkey AS Codigo,
        CAST((n.n_nationkey + 1) * 1000 AS BIGINT) AS Poblacion,
+       """ + ",\n       ".join(
+    f"CAST(sum(CASE WHEN c.c_custkey % {len(SECTORS)} = {i} THEN floor(c.c_acctbal) ELSE 0 END) AS DOUBLE) AS {s}"
+    for i, s in enumerate(SECTORS)) + """,
        CAST(sum(floor(c.c_acctbal)) AS DOUBLE) AS PIB,
        CAST(count(*) AS DOUBLE) AS ValorAgregado,
        CAST(max(floor(c.c_acctbal)) AS DOUBLE) AS Impuestos
@@ -77,7 +82,7 @@ WHERE n.n_nationkey % 6 <> 5
 GROUP BY n.n_name, n.n_nationkey
 """
 
-ECONOMY_VALUE_COLUMNS = ("PIB", "ValorAgregado", "Impuestos")
+ECONOMY_VALUE_COLUMNS = (*SECTORS, "PIB", "ValorAgregado", "Impuestos")
 
 # Fixed fixture text: integrated-source contracts (A3 shape), one per order.
 INTEGRATED_SQL = """
@@ -164,23 +169,8 @@ JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 """
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A file written as one row group is read by one task, which would leave
-    every downstream narrow operator single-threaded.  Only then is the scan
-    round-robin repartitioned; a large input already has at least as many
-    splits as cores, and is left alone (no shuffle at scale).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread and name not in SMALL_TABLES else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _bind(spark: SparkSession, sf_dir: str, sql: str, names) -> DataFrame:
@@ -204,7 +194,7 @@ def processes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def economy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regional economy dimension (FIXTURES A4 shape, three value columns)."""
+    """Regional economy dimension (FIXTURES A4 shape: population and 15 value columns)."""
     return _bind(spark, sf_dir, ECONOMY_SQL, ("nation", "customer"))
 
 

@@ -4,17 +4,16 @@ The reference re-runs a batch extraction node 20 times, each run pulling the
 next keys from a ledger and overwriting their partitions.  Here the landing
 folder is a file stream: ``trigger(availableNow=True)`` processes everything
 that has landed in bounded micro-batches (``maxFilesPerTrigger``) and stops;
-``foreachBatch`` conforms each batch to the declared schema, replaces only
-the partitions the batch carries (dynamic overwrite, so a replayed batch is
-idempotent) and appends the batch's keys to a ledger table.  Progress lives
-in the stream checkpoint in the shared folder, so a restarted job resumes
+``foreachBatch`` conforms each batch to the declared schema and writes it under
+(key, batch): a replayed batch replaces exactly its own folders, and a key whose
+files fall into several batches keeps the rows of all of them.  The ledger is
+written the same way, from the rows the batch has written.  Progress lives in the stream checkpoint in the shared folder, so a restarted job resumes
 where it stopped instead of re-reading everything.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,6 +22,15 @@ from pactum.sources.files import write_partitioned
 from pactum.sources.ingest import conform_schema, text_schema
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether any batch has written to ``path`` yet."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def land_by_partition(df: DataFrame, path: str, key: str) -> None:
     """Land a table as JSON text files, one folder per ``key`` value (e.g. per day)."""
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns if c != key], key)
@@ -45,29 +53,23 @@ def incremental_load(spark: SparkSession, landing: str, schema: StructType, key:
               .json(landing))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        typed = conform_schema(batch, schema, keep=[key])
-        write_partitioned(typed, table, key, dynamic=True)
-        (typed.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-         .select(F.col(key).cast("string").alias("key"), "n_rows",
-                 F.lit(epoch_id).cast("long").alias("batch_id"),
-                 F.current_timestamp().cast("string").alias("date"),
-                 F.lit(1).alias("success"))
-         .write.mode("append").parquet(ledger))
+        typed = conform_schema(batch, schema, keep=[key]).withColumn("batch_id", F.lit(epoch_id).cast("long"))
+        # one folder per (key, batch): a replay overwrites its own folders, another batch of the key adds to it
+        write_partitioned(typed, table, [key, "batch_id"], dynamic=True)
+        if not table_exists(spark, table):
+            return
+        written = spark.read.parquet(table).where(F.col("batch_id") == epoch_id)
+        entries = (written.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+                   .select(F.col(key).cast("string").alias("key"), "n_rows",
+                           F.current_timestamp().cast("string").alias("date"),
+                           F.lit(1).alias("success"), F.lit(epoch_id).cast("long").alias("batch_id")))
+        write_partitioned(entries, ledger, "batch_id", dynamic=True)
 
     query = (stream.writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    return spark.read.parquet(table)
-
-
-def latest_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    """One row per key: the last batch that wrote it (re-deliveries collapse)."""
-    led = spark.read.parquet(ledger)
-    return led.groupBy("key").agg(F.max_by(F.struct("n_rows", "date", "success", "batch_id"), "batch_id").alias("s")) \
-        .select("key", "s.*")
-
-
-def columns_of(schema: StructType) -> Sequence[str]:
-    return schema.fieldNames()
+    if not table_exists(spark, table):
+        return spark.createDataFrame([], StructType(schema.fields + [stream_schema[key]]))
+    return spark.read.parquet(table).drop("batch_id")
