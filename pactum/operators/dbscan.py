@@ -2,15 +2,16 @@
 
 1. **Collapse** identical vectors into one weighted point (many providers have
    identical profiles), so a hot value never multiplies pairs.
-2. **Blocks by grid**: every point falls in a cell of side ε over its first
-   ``g`` coordinates (pass PCA-rotated features so these carry the most
-   spread; an orthonormal projection never increases distances).  A crowded
-   cell is cut into hash blocks of at most ``BLOCK`` points.  Candidate block
-   pairs only exist between neighbouring cells (equi-join on the cell; no
-   cross join), and each block pair is one bounded task.
+2. **Blocks in space**: points are rotated to their principal axes (a d x d sum
+   over all points) and cut at medians of the widest axis, by a k-d tree built
+   from a bounded sample of them; the sample only decides where blocks end.
+   Each block keeps its bounding box.  Block pairs are found by an equi-join on
+   slabs of the first axis and dropped when their boxes are further apart than
+   eps: a projection on orthonormal axes never increases a distance, so no
+   neighbour is lost.  Distances themselves use the original vectors.
 3. **Core points** (pass 1): a NumPy kernel per block pair computes exact
    distances and emits only per-point neighbour *weights*, summed per point:
-   core = weight (itself included) ≥ ``min_pts``.
+   core = weight (itself included) >= ``min_pts``.
 4. **Links** (pass 2): the same kernel emits a spanning forest of the
    core-core links of its block pair (fewer edges than points) and each
    border point's links to core points (fewer than ``min_pts`` each).  No
@@ -21,13 +22,14 @@
    the rest are noise (-1).
 
 Cluster ids are the smallest point id of the component (stable, independent
-of partitioning and row order).
+of partitioning and row order).  Data without structure at the scale of eps
+(say, unit vectors spread evenly in 64 dimensions) has nothing to prune: then
+every block pair is compared, which is quadratic.
 """
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,56 +42,135 @@ NOISE = -1
 BLOCK = 1024   # points per block: a block pair holds at most 2 x BLOCK points in one task
 
 
-def _cell_expr(vec_col: str, g: int, eps: float):
-    return F.array(*[F.floor(F.col(vec_col)[i] / F.lit(eps)).cast("long") for i in range(g)])
+AXES = 8             # principal axes used for blocks and boxes
+SAMPLE = 100_000     # points that place the block borders (a documented bound; every point gets a block)
+LEAVES = 65_536      # beyond it, a leaf is cut by hash
 
 
-def grid_factor(points: DataFrame, vec_col: str, g: int, eps: float, block: int) -> int:
-    """Integer factor m >= 1 for the cell side (m * eps): sparse data gets coarser cells.
+def principal_axes(points: DataFrame, vec_col: str, dim: int):
+    """(mean, axes): the leading eigenvectors of the covariance, from one sum over all points."""
+    import numpy as np
+    import pyarrow as pa
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((dim + 1, dim + 1))
+        for b in batches:
+            x = np.asarray(b.column(0).to_pylist(), float).reshape(b.num_rows, dim)
+            x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["i", "v"])
+
+    rows = points.select(vec_col).mapInArrow(sums, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    total = np.zeros((dim + 1) ** 2)
+    total[[r["i"] for r in rows]] = [r["v"] for r in rows]
+    total = total.reshape(dim + 1, dim + 1)
+    n = max(total[-1, -1], 1.0)
+    mean = total[-1, :-1] / n
+    _, vectors = np.linalg.eigh(total[:-1, :-1] / n - np.outer(mean, mean))
+    return mean, vectors[:, ::-1][:, :min(AXES, dim)]
+
+
+def kd_tree(sample, leaf_size: int, leaves: int):
+    """(axis, cut, left, right) arrays; a negative child -k-1 is leaf k."""
+    import numpy as np
 
-    With side-eps cells a sparse set has about one point per cell and would
-    turn into many tiny tasks; m is chosen so that an average occupied cell
-    holds about one block.  Any side >= eps keeps every neighbour within the
-    3^g adjacent cells, so the result is exact for every m.
-    """
-    n, cells = points.select(F.count(F.lit(1)), F.count_distinct(_cell_expr(vec_col, g, eps))).first()
-    if not cells:
-        return 1
-    per_cell = n / cells
-    return max(1, int((block / per_cell) ** (1.0 / g)))
+    nodes: list[list] = []
+    n_leaves = 0
+    budget = [leaves]
+
+    def grow(x) -> int:
+        nonlocal n_leaves
+        spread = x.max(0) - x.min(0) if len(x) else np.zeros(1)
+        axis = int(spread.argmax())
+        cut = float(np.median(x[:, axis])) if len(x) else 0.0
+        low = x[:, axis] < cut if len(x) else np.zeros(0, bool)
+        if len(x) <= leaf_size or budget[0] <= 1 or not low.any() or low.all():
+            n_leaves += 1
+            return -n_leaves
+        budget[0] -= 1
+        me = len(nodes)
+        nodes.append([axis, cut, 0, 0])
+        nodes[me][2] = grow(x[low])
+        nodes[me][3] = grow(x[~low])
+        return me
+
+    root = grow(sample)
+    columns = list(zip(*nodes, strict=True)) if nodes else [(), (), (), ()]
+    return root, [np.array(c, t) for c, t in zip(columns, (int, float, int, int), strict=True)]
+
+
+def _place(tree, mean, axes):
+    """mapInArrow: adds the leading coordinates ``x`` and the leaf of each point."""
+    import numpy as np
+    import pyarrow as pa
 
+    root, (axis, cut, left, right) = tree
 
-def _block_pairs(points: DataFrame, g: int, eps: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """Points tagged (cell, blk) and the unordered pairs of neighbouring blocks.
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = np.asarray(b.column(1).to_pylist(), float).reshape(b.num_rows, len(mean))
+            x = (v - mean) @ axes
+            at = np.full(len(x), root)
+            while (inner := np.flatnonzero(at >= 0)).size:
+                node = at[inner]
+                below = x[inner, axis[node]] < cut[node]
+                at[inner] = np.where(below, left[node], right[node])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(list(x), pa.list_(pa.float64())), pa.array(-at - 1, pa.int64())],
+                ["pid", "vec", "w", "x", "leaf"])
+
+    return place
 
-    Cells have side ``eps`` over the first ``g`` coordinates; a cell with many
-    points is cut into ceil(n / block) hash blocks, so a hot cell becomes many
-    bounded tasks instead of one huge one.
-    """
-    counts = points.groupBy("cell").agg(F.count(F.lit(1)).alias("__n"))
-    nblk = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(block))).cast("int")
-    tagged = points.join(counts.select("cell", nblk.alias("__nb")), "cell") \
-        .withColumn("blk", F.pmod(F.xxhash64("pid"), F.col("__nb")).cast("int")).drop("__nb")
-    blocks = counts.select("cell", F.explode(F.sequence(F.lit(0), nblk - 1)).alias("blk"))
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=g)]
-    near = F.explode(F.array(*[F.array(*[F.col("cell")[i] + F.lit(o[i]) for i in range(g)]) for o in offsets]))
-    probes = blocks.select(F.col("cell").alias("cell_a"), F.col("blk").alias("blk_a"), near.alias("cell_b"))
-    pairs = probes.join(blocks.select(F.col("cell").alias("cell_b"), F.col("blk").alias("blk_b")), "cell_b")
-    a = F.struct(F.col("cell_a").alias("c"), F.col("blk_a").alias("b"))
-    b = F.struct(F.col("cell_b").alias("c"), F.col("blk_b").alias("b"))
-    pairs = pairs.filter(a <= b).select(F.concat_ws("|", F.concat_ws(",", "cell_a"), "blk_a", F.concat_ws(",", "cell_b"),
-                                                    "blk_b").alias("pair"), "cell_a", "blk_a", "cell_b", "blk_b")
-    return tagged, pairs
+
+def spatial_blocks(points: DataFrame, eps: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Points (pid, vec, w) tagged with their block, and the block pairs that may hold neighbours."""
+    import numpy as np
+
+    spark = points.sparkSession
+    n, dim = points.select(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    mean, axes = principal_axes(points, "vec", dim)
+    every = max(1, -(-n // SAMPLE))
+    rows = points.where(F.pmod(F.xxhash64("pid"), F.lit(every)) == 0).select("vec").collect()
+    sample = (np.asarray([r["vec"] for r in rows], float).reshape(len(rows), dim) - mean) @ axes
+    tree = kd_tree(sample, max(1, block // every), LEAVES)
+    placed = points.select("pid", "vec", "w").mapInArrow(
+        _place(tree, mean, axes), "pid long, vec array<double>, w long, x array<double>, leaf long")
+    counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("__n"))
+    nblk = F.ceil(F.col("__n") / F.lit(block)).cast("int")
+    tagged = placed.join(counts.select("leaf", nblk.alias("__nb")), "leaf") \
+        .withColumn("blk", F.concat_ws("-", "leaf", F.pmod(F.xxhash64("pid"), F.col("__nb")))) \
+        .select("pid", "vec", "w", "x", "blk").checkpoint()
+    r = axes.shape[1]
+    box = tagged.groupBy("blk").agg(F.array(*[F.min(F.col("x")[i]) for i in range(r)]).alias("lo"),
+                                    F.array(*[F.max(F.col("x")[i]) for i in range(r)]).alias("hi"))
+    return tagged.drop("x"), block_pairs(box, eps)
+
+
+def block_pairs(box: DataFrame, eps: float) -> DataFrame:
+    """(pair, blk_a, blk_b), blk_a <= blk_b, of the boxes at most eps apart; equi-join on slabs of the first axis."""
+    reach = eps * (1 + 1e-9) + 1e-9
+    ends = box.agg(F.min(F.col("lo")[0]), F.max(F.col("hi")[0]), F.count(F.lit(1))).first()
+    # Slabs about as wide as eps, but no more of them than blocks, so wide boxes stay few rows.
+    width = max(reach, (ends[1] - ends[0]) / max(1, ends[2])) if ends[2] else reach
+    slab = lambda c: F.floor(c / F.lit(width)).cast("long")
+    a = box.select(F.col("blk").alias("blk_a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"),
+                   F.explode(F.sequence(slab(F.col("lo")[0] - reach), slab(F.col("hi")[0] + reach))).alias("slab"))
+    b = box.select(F.col("blk").alias("blk_b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"),
+                   F.explode(F.sequence(slab(F.col("lo")[0]), slab(F.col("hi")[0]))).alias("slab"))
+    gaps = F.zip_with(F.arrays_zip("lo_a", "hi_a"), F.arrays_zip("lo_b", "hi_b"), lambda p, q: F.greatest(
+        F.lit(0.0), p["lo_a"] - q["hi_b"], q["lo_b"] - p["hi_a"]))
+    apart = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
+    near = a.join(b, "slab").where((F.col("blk_a") <= F.col("blk_b")) & (apart <= F.lit(reach * reach)))
+    return near.select(F.concat_ws("|", "blk_a", "blk_b").alias("pair"), "blk_a", "blk_b").distinct()
 
 
 def _pair_groups(tagged: DataFrame, pairs: DataFrame, extra=()) -> DataFrame:
     """(pair, side, pid, vec, w, extra...): both blocks of every block pair, side A and side B."""
     cols = ["pid", "vec", "w", *extra]
-    side_a = pairs.select("pair", F.col("cell_a").alias("cell"), F.col("blk_a").alias("blk")) \
-        .join(tagged, ["cell", "blk"]).select("pair", F.lit(0).alias("side"), *cols)
-    side_b = pairs.select("pair", F.col("cell_b").alias("cell"), F.col("blk_b").alias("blk")) \
-        .join(tagged, ["cell", "blk"]).select("pair", F.lit(1).alias("side"), *cols)
-    return side_a.unionByName(side_b)
+    sides = pairs.select("pair", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("blk_a").alias("blk")),
+        F.struct(F.lit(1).alias("side"), F.col("blk_b").alias("blk")))).alias("s")).select("pair", "s.side", "s.blk")
+    return sides.join(tagged, "blk").select("pair", "side", *cols)
 
 
 def _neighbours(pdf, eps: float):
@@ -213,25 +294,21 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, grid_dims: int = 3,
-           block: int = BLOCK) -> DataFrame:
+def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, block: int = BLOCK) -> DataFrame:
     """(id, cluster, is_core): DBSCAN labels, -1 for noise."""
     ensure_checkpoint_dir(df.sparkSession)
     # the input is read many times below: materialise (id, vector) once, durably
     base = df.select(F.col(id_col).alias("__id"), F.col(vec_col).cast("array<double>").alias("__vec")).checkpoint()
-    dim = base.select(F.max(F.size("__vec"))).first()[0]
-    if dim is None:
+    if base.isEmpty():
         return base.select(F.col("__id").alias(id_col), F.lit(NOISE).cast("long").alias("cluster"),
                            F.lit(False).alias("is_core"))
-    g = max(1, min(grid_dims, dim))
     # 1. identical vectors -> one weighted point (representative = smallest id)
     collapsed = base.groupBy("__vec").agg(F.min("__id").alias("pid"), F.count(F.lit(1)).alias("w")).checkpoint()
     members = base.join(collapsed.select("__vec", "pid"), "__vec")
-    side = eps * grid_factor(collapsed, "__vec", g, eps, block)
-    pts = collapsed.select("pid", F.col("__vec").alias("vec"), "w", _cell_expr("__vec", g, side).alias("cell"))
-    # block tags are a deterministic hash: recomputing them is cheaper than a checkpoint
-    tagged, pairs = _block_pairs(pts, g, eps, block)
-    # 2-3. weighted neighbour counts -> core flag
+    # 2. blocks in space
+    tagged, pairs = spatial_blocks(collapsed.select("pid", F.col("__vec").alias("vec"), "w"), eps, block)
+    pairs = pairs.checkpoint()
+    # 3. weighted neighbour counts -> core flag
     nw = neighbour_weights(tagged, pairs, eps)
     flags = tagged.join(nw, "pid", "left") \
         .withColumn("core", (F.col("w") + F.coalesce("nw", F.lit(0))) >= F.lit(min_pts)).drop("nw").checkpoint()
@@ -256,39 +333,3 @@ def cluster_summary(labels: DataFrame, col: str = "cluster") -> DataFrame:
         F.count(F.when(F.col(col) != NOISE, 1)).alias("n_members"),
         F.count(F.when(F.col(col) == NOISE, 1)).alias("n_outliers"),
     )
-
-
-def brute_force_dbscan(ids: Sequence[int], X, eps: float, min_pts: int) -> dict:
-    """O(n^2) NumPy reference with the same tie rule (tests only)."""
-    import numpy as np
-
-    X = np.asarray(X, dtype=float)
-    ids = np.asarray(ids)
-    d2 = ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)
-    nb = d2 <= eps * eps
-    core = nb.sum(1) >= min_pts
-    n = len(ids)
-    label = {}
-    seen = np.zeros(n, bool)
-    for i in range(n):
-        if not core[i] or seen[i]:
-            continue
-        stack, comp = [i], []
-        seen[i] = True
-        while stack:
-            j = stack.pop()
-            comp.append(j)
-            for k in np.nonzero(nb[j] & core & ~seen)[0]:
-                seen[k] = True
-                stack.append(k)
-        cid = int(ids[comp].min())
-        for j in comp:
-            label[int(ids[j])] = cid
-    out = {}
-    for i in range(n):
-        if core[i]:
-            out[int(ids[i])] = label[int(ids[i])]
-        else:
-            cands = [label[int(ids[k])] for k in np.nonzero(nb[i] & core)[0]]
-            out[int(ids[i])] = min(cands) if cands else NOISE
-    return out

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pactum.operators import features as Fe
-from pactum.operators.dbscan import brute_force_dbscan, dbscan
+from pactum.operators.dbscan import block_pairs, dbscan, spatial_blocks
 from pactum.operators.indexing import dense_index, exact_quantiles
 from pactum.operators.intervals import max_concurrent
 from pactum.registry.common import clean
@@ -12,6 +12,42 @@ from pactum.registry.common import clean
 from conftest import SMALL, SMOKE
 
 
+def brute_force_dbscan(ids, X, eps: float, min_pts: int) -> dict:
+    """O(n^2) NumPy reference with the same tie rule (tests only)."""
+    import numpy as np
+
+    X = np.asarray(X, dtype=float)
+    ids = np.asarray(ids)
+    d2 = ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)
+    nb = d2 <= eps * eps
+    core = nb.sum(1) >= min_pts
+    n = len(ids)
+    label = {}
+    seen = np.zeros(n, bool)
+    for i in range(n):
+        if not core[i] or seen[i]:
+            continue
+        stack, comp = [i], []
+        seen[i] = True
+        while stack:
+            j = stack.pop()
+            comp.append(j)
+            for k in np.nonzero(nb[j] & core & ~seen)[0]:
+                seen[k] = True
+                stack.append(k)
+        cid = int(ids[comp].min())
+        for j in comp:
+            label[int(ids[j])] = cid
+    out = {}
+    for i in range(n):
+        if core[i]:
+            out[int(ids[i])] = label[int(ids[i])]
+        else:
+            cands = [label[int(ids[k])] for k in np.nonzero(nb[i] & core)[0]]
+            out[int(ids[i])] = min(cands) if cands else -1
+    return out
+
+
 def test_dbscan_equals_brute_force(spark):
     emb = spark.read.parquet(f"{SMOKE}/embeddings.parquet")
     rows = emb.orderBy("vec_id").collect()
@@ -114,3 +150,28 @@ def test_incremental_load_is_idempotent(spark):
     a, b = q(spark, SMOKE), q(spark, SMOKE)
     assert a.count() == spark.read.parquet(f"{SMOKE}/events.parquet").count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dbscan_compares_few_block_pairs_of_clustered_data(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 12)) * 20
+    x = np.repeat(centres, 60, axis=0) + rng.normal(size=(2400, 12)) * 0.3
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "pid long, vec array<double>, w long")
+    tagged, pairs = spatial_blocks(df, 1.5, block=64)
+    size = {r["blk"]: r["count"] for r in tagged.groupBy("blk").count().collect()}
+    compared = sum(size[r["blk_a"]] * size[r["blk_b"]] for r in pairs.collect())
+    assert max(size.values()) <= 64 and compared < 0.1 * len(x) ** 2 / 2
+    got = {r["pid"]: r["cluster"] for r in dbscan(df, "pid", "vec", 1.5, 4, block=64).collect()}
+    assert got == brute_force_dbscan(list(range(len(x))), x.tolist(), 1.5, 4)
+
+
+def test_block_pairs_are_those_with_near_boxes(spark):
+    rng = np.random.default_rng(3)
+    lo = rng.uniform(-5, 5, size=(60, 3))
+    hi = lo + rng.uniform(0, 2, size=(60, 3))
+    box = spark.createDataFrame([(f"{i:02d}", a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(lo, hi))],
+                                "blk string, lo array<double>, hi array<double>")
+    got = {(r["blk_a"], r["blk_b"]) for r in block_pairs(box, 0.7).collect()}
+    gap = np.maximum(0, np.maximum(lo[:, None] - hi[None], lo[None] - hi[:, None]))
+    near = (gap ** 2).sum(2) <= 0.49
+    assert got == {(f"{i:02d}", f"{j:02d}") for i in range(60) for j in range(i, 60) if near[i, j]}
