@@ -12,6 +12,7 @@ from pactum.operators import features as Fe
 from pactum.operators.dbscan import dbscan
 from pactum.operators.models import assemble_features, rf_fit_predict, rf_random_search, rmse
 from pactum.operators.profile import provider_profile
+from pactum.session import durable
 
 # --- fixed values: model column lists ------------------------------------------
 CONTRACT_COLUMNS = frozenset((
@@ -82,7 +83,7 @@ def prepare_provider_profiles(clean: DataFrame, n_terms: int = 100, n_pca: int =
         part = df.filter(F.col("tipodocproveedor") == kind)
         cols = _pca_columns(part, economy_columns(clean), n_terms)
         vec = assemble_features(part, cols, out="__raw").drop(*cols)
-        scaled = Fe.standard_scale_vector(vec, "__raw", "__x").drop("__raw").cache()
+        scaled = durable(Fe.standard_scale_vector(vec, "__raw", "__x").drop("__raw"), "scaled-contracts")
         proj = Fe.pca_fit(scaled, "__x", n_pca).transform_columns(scaled, "__x").drop("__x")
         # the profile keeps its own name source: the first row of every provider in ``clean``
         prof = provider_profile(proj, types=(kind,), mean_cols=[f"pca_{i}" for i in range(n_pca)])
@@ -111,14 +112,22 @@ def provider_features(profile: DataFrame, as_of: str, pca_cols: Sequence[str] =
 
 
 def provider_outliers(profile: DataFrame, as_of: str, eps: float = 2.0, min_pts: int = 5,
-                      features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
-    """Scale -> DBSCAN(eps, min_pts) -> 2-D PCA for plotting; one row per provider (A9)."""
-    feats = provider_features(profile, as_of)
+                      scaled_plot: bool = False) -> DataFrame:
+    """Scale -> DBSCAN(eps, min_pts) -> 2-D PCA for plotting; one row per provider (A9).
+
+    Features are the eight of the profile and the mean of every component it
+    carries (eighteen with ten components).  The plot is the PCA of the
+    features themselves, or of the scaled ones with ``scaled_plot``.
+    """
+    pcs = [c for c in profile.columns if c.startswith("pca_")]
+    feats = provider_features(profile, as_of, pcs)
+    features = [*CLUSTER_FEATURES, *pcs]
     scaled = Fe.standard_scale(feats, features, suffix="_z")
     zcols = [f"{c}_z" for c in features]
     vec = scaled.withColumn("__v", F.array(*[F.col(c).cast("double") for c in zcols]))
     labels = dbscan(vec.select("documento_proveedor", "__v"), "documento_proveedor", "__v", eps, min_pts)
-    withv = vec.withColumn("__x", array_to_vector("__v"))
+    plot = zcols if scaled_plot else features
+    withv = vec.withColumn("__x", array_to_vector(F.array(*[F.col(c).cast("double") for c in plot])))
     xy = Fe.pca_fit(withv, "__x", 2).transform_columns(withv, "__x", prefix="pc")
     return xy.join(labels.drop("is_core"), "documento_proveedor").select(
         "documento_proveedor", "proveedor_adjudicado", "index_count",
@@ -147,7 +156,7 @@ def price_model(splits: dict[str, DataFrame], n_draws: int = 3, seed: int = 0):
         feats = [c for c in df.columns if c not in ("index", TARGET)]
         return assemble_features(df, feats)
 
-    train, cv, test = (prep(splits[f"{s}_tfidf"]).cache() for s in ("train", "cv", "test"))
+    train, cv, test = (durable(prep(splits[f"{s}_tfidf"]), f"price-{s}") for s in ("train", "cv", "test"))
     search = rf_random_search(train, cv, TARGET, n_draws, seed)
     best = search.orderBy("valid_rmse", "draw").first()
     _, pred = rf_fit_predict(train, test, TARGET, trees=best["trees"], depth=best["depth"], leaf=best["leaf"],

@@ -8,6 +8,7 @@ from pactum.operators import eda
 from pactum.operators import features as Fe
 from pactum.operators.profile import provider_profile
 from pactum.operators.tokens import lemma_table_from_vocabulary, lemmatize_text
+from pactum.plans.modeling import provider_features
 from pactum.registry import register
 from pactum.registry.common import clean, table
 from pactum.registry.jobs import PROFILE_CTES
@@ -189,14 +190,13 @@ FROM profile WHERE tipodocproveedor = 'cedula de ciudadania'""", *PROFILE_CTES)
 
 
 def provider_cluster_features(profile, as_of: str = AS_OF):
-    since = F.datediff(F.lit(as_of).cast("date"), F.col("fecha_de_inicio_del_contrato"))
-    return profile.select(
+    f = provider_features(profile, as_of)
+    return f.select(
         "documento_proveedor", "index_count", "max_open_contracts",
-        F.round(F.lit(1.0) / F.col("nombre_entidad"), 6).alias("inv_entidades"),
-        F.round(F.lit(1.0) / F.col("ciudad"), 6).alias("inv_ciudades"),
-        F.round(F.ln("valor_del_contrato"), 6).alias("log_valor_medio"),
-        since.alias("dias_desde_inicio"),
-        F.round(since / F.col("index_count"), 6).alias("dias_por_contrato"),
+        F.round("nombre_entidad_inv", 6).alias("inv_entidades"), F.round("ciudad_inv", 6).alias("inv_ciudades"),
+        F.round("log_valor_medio", 6).alias("log_valor_medio"),
+        F.col("dias_desde_inicio").cast("int").alias("dias_desde_inicio"),
+        F.round("dias_por_contrato", 6).alias("dias_por_contrato"),
         F.round("dias_adicionados", 6).alias("dias_adicionados"),
     )
 

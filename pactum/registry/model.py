@@ -18,6 +18,7 @@ from pactum.registry.common import clean, table
 from pactum.registry.feature import _ORDER_CTE, _SPLIT_CTE
 from pactum.registry.oracle import fold, with_clean
 from pactum.functions import rules as R
+from pactum.session import durable, materialized
 from pactum.sources import fixtures
 from pactum.sources.fixtures import duck_sql
 
@@ -34,8 +35,20 @@ def people(spark, sf):
     return provider_profile(clean(spark, sf)).filter(F.col("tipodocproveedor") == P.PERSON)
 
 
+def profiles(spark, sf):
+    """Provider profiles with their component means, of people and of companies."""
+    inputs = [clean(spark, sf)]
+    return {kind: materialized(spark, f"profiles-{kind}", inputs, lambda: P.prepare_provider_profiles(inputs[0])[kind], sf)
+            for kind in ("people", "companies")}
+
+
+def _both_kinds(frames):
+    people_, companies = (frames[k].withColumn("kind", F.lit(k)) for k in ("people", "companies"))
+    return people_.unionByName(companies, allowMissingColumns=True)
+
+
 def outliers_frame(spark, sf):
-    return P.provider_outliers(people(spark, sf), AS_OF, PROV_EPS, PROV_MIN)
+    return _both_kinds({k: P.provider_outliers(p, AS_OF, PROV_EPS, PROV_MIN) for k, p in profiles(spark, sf).items()})
 
 
 register("dbscan")(lambda spark, sf: emb_labels(spark, sf))
@@ -46,7 +59,7 @@ register("label_map_join")(lambda spark, sf: (lambda lab: Rel.relabel(lab, "clus
 register("cluster_scatter_frame")(outliers_frame)
 register("provider_outliers")(outliers_frame)
 register("outlier_top_k")(lambda spark, sf: outliers_frame(spark, sf).filter(F.col("cluster") == -1)
-                          .orderBy(F.col("index_count").desc(), "documento_proveedor").limit(20))
+                          .orderBy(F.col("index_count").desc(), "kind", "documento_proveedor").limit(20))
 
 
 @register("pca")
@@ -57,10 +70,11 @@ def q_pca(spark, sf):
 
 @register("provider_secondary_features")
 def q_secondary(spark, sf):
-    return P.prepare_provider_profiles(clean(spark, sf))["people"]
+    """Means of the ten components per person."""
+    return profiles(spark, sf)["people"].select("documento_proveedor", *[f"pca_{i}" for i in range(10)])
 
 
-register("prepare_provider_profiles")(q_secondary)
+register("prepare_provider_profiles")(lambda spark, sf: _both_kinds(profiles(spark, sf)))
 
 
 @register("contract_cluster_features")
@@ -112,7 +126,7 @@ def q_split(spark, sf):
 def _train_cv(spark, sf):
     parts = splits(spark, sf)
     prep = lambda d: M.assemble_features(d, [c for c in d.columns if c not in ("index", P.TARGET)])
-    return prep(parts["train_tfidf"]), prep(parts["cv_tfidf"])
+    return durable(prep(parts["train_tfidf"]), "train"), durable(prep(parts["cv_tfidf"]), "cv")
 
 
 @register("rf_fit_predict")
@@ -125,7 +139,7 @@ def q_rf(spark, sf):
 @register("rf_random_search")
 def q_rf_search(spark, sf):
     train, cv = _train_cv(spark, sf)
-    return M.rf_random_search(train.cache(), cv.cache(), P.TARGET, n_draws=2, seed=3)
+    return M.rf_random_search(train, cv, P.TARGET, n_draws=2, seed=3)
 
 
 @register("price_model")
