@@ -39,7 +39,7 @@ from pactum.llm.tokens import utf8
 from pactum.session import scratch_path
 
 CHUNK = 64 * 1024
-FILE_ROWS = 256
+FILE_ROWS = 2048
 END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
