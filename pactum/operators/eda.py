@@ -70,15 +70,17 @@ def global_min_max(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias("min_" + col), F.max(col).alias("max_" + col))
 
 
-def share_and_conditional_mean(df: DataFrame, col: str, cond: Column | None = None) -> DataFrame:
-    """(share_positive, mean_positive): % of rows with ``cond`` and mean of ``col`` over them."""
+def share_and_conditional_mean(df: DataFrame, col: str, cond: Column | None = None,
+                               by: Sequence[str] = ()) -> DataFrame:
+    """([by,] share_positive, mean_positive): share of rows with ``cond`` and mean of ``col`` over them."""
     cond = cond if cond is not None else F.col(col) > 0
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.avg(cond.cast("double")).alias("share_positive"),
         F.avg(F.when(cond, F.col(col))).alias("mean_positive"),
     )
 
 
+
 def word_frequency(df: DataFrame, text_col: str, out: str = "word") -> DataFrame:
     """(word, n): single-space split of every text, empty strings dropped."""
     words = df.select(F.explode(F.split(F.col(text_col), " ", -1)).alias(out)).filter(F.col(out) != "")

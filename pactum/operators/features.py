@@ -103,7 +103,7 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> Data
     top = term_counts(docs, text_col).orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
     idf = F.ln((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
     w = Window.orderBy("term")   # over at most n_terms rows
-    return top.select("term", "df", idf.alias("idf"), (F.row_number().over(w) - 1).alias("col"))
+    return top.select("term", "df", idf.alias("idf"), (F.row_number().over(w) - 1).cast("long").alias("col"))
 
 
 def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -114,7 +114,7 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
     vec = tfidf_vectors(docs.select(id_col, text_col), vocab, text_col, out="__v")
     rows = vec.select(id_col, F.posexplode(vector_to_array("__v")).alias("col", "weight")).filter(F.col("weight") != 0)
     names = F.array(*[F.lit(t) for t in terms])
-    return rows.select(id_col, F.get(names, F.col("col")).alias("term"), "col", "weight")
+    return rows.select(id_col, F.get(names, F.col("col")).alias("term"), F.col("col").cast("long").alias("col"), "weight")
 
 
 def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str, n_terms: int):

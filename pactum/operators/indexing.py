@@ -86,36 +86,45 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     )
 
 
+BINS = 1024
+
+
 def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(column, p, value) for several columns with ONE distributed sort.
+    """(column, p, value) for several columns without sorting or shuffling any value.
 
-    The columns are stacked into (column, x) rows and ranked together by
-    (column, x); a column's k-th value sits at the column's offset + k, the
-    offsets coming from per-column counts (one row per column).
+    Each wanted order statistic lies in an interval, at first the column's
+    range.  One aggregate counts the values of all intervals in equal-width
+    bins; each interval shrinks to the least and greatest value of the bin that
+    holds its rank, until the two agree.  Only bin counts leave the tasks.
     """
     spark = df.sparkSession
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")) \
-        .select("s.column", "s.x").filter(F.col("x").isNotNull()) \
-        .withColumn("__t", F.monotonically_increasing_id())   # unique tie-break: hot values spread
-    counts = {r["column"]: r["n"] for r in stacked.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offset, want, needed = 0, [], set()
-    for c in sorted(cols):          # ranks follow (column, x) order
-        n = counts.get(c, 0)
-        for p in probs:
-            if n == 0:
-                continue
-            h = p * (n - 1)
-            lo = int(h // 1)
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    seen = x.agg(*[f for c in cols for f in (F.count(c), F.min(c), F.max(c))]).first()
+    want, open_ = [], {}     # open_: (column, rank) -> [low, high, values below low]
+    for i, c in enumerate(cols):
+        n, low, high = seen[3 * i:3 * i + 3]
+        for p in probs if n else ():
+            at = p * (n - 1)
+            lo = int(at // 1)
             hi = min(lo + 1, n - 1)
-            want.append((c, float(p), offset + lo, offset + hi, float(h - lo)))
-            needed.update((offset + lo, offset + hi))
-        offset += n
-    if not want:
-        return spark.createDataFrame([], "column string, p double, value double")
-    w = spark.createDataFrame(want, "column string, p double, lo long, hi long, frac double")
-    picked = dense_index(stacked, ["column", "x", "__t"], out="i").filter(F.col("i").isin(sorted(needed)))
-    lo_v = picked.select(F.col("i").alias("lo"), F.col("x").alias("x_lo"))
-    hi_v = picked.select(F.col("i").alias("hi"), F.col("x").alias("x_hi"))
-    return w.join(lo_v, "lo").join(hi_v, "hi").select(
-        "column", "p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
+            want.append((c, float(p), lo, hi, at - lo))
+            open_.update({(c, k): [low, high, 0] for k in (lo, hi)})
+    while any(low < high for low, high, _ in open_.values()):
+        spans = sorted({(c, low, high) for (c, _), (low, high, _) in open_.items() if low < high})
+        hits = F.filter(F.array(*[F.when(F.col(c).between(low, high), F.struct(
+            F.lit(i).alias("i"), F.col(c).alias("x"),
+            F.least(F.floor((F.col(c) - low) / (high - low) * BINS), F.lit(BINS - 1)).alias("b")))
+            for i, (c, low, high) in enumerate(spans)]), lambda h: h.isNotNull())
+        rows = x.select(F.explode(hits).alias("h")).groupBy("h.i", "h.b").agg(
+            F.count(F.lit(1)).alias("n"), F.min("h.x").alias("low"), F.max("h.x").alias("high")).collect()
+        bins = {}
+        for r in sorted(rows, key=lambda r: (r["i"], r["b"])):
+            bins.setdefault(spans[r["i"]], []).append(r)
+        for (c, k), (low, high, below) in list(open_.items()):
+            for r in bins.get((c, low, high), ()) if low < high else ():
+                if k < below + r["n"]:
+                    open_[c, k] = [r["low"], r["high"], below]
+                    break
+                below += r["n"]
+    out = [(c, p, open_[c, lo][0] + (open_[c, hi][0] - open_[c, lo][0]) * f) for c, p, lo, hi, f in want]
+    return spark.createDataFrame(out, "column string, p double, value double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactum.operators.eda import group_count
@@ -73,11 +73,7 @@ def relabel(df: DataFrame, col: str, mapping: DataFrame, keep: Sequence = (-1,))
 
 
 def size_rank_mapping(df: DataFrame, col: str, keep: Sequence = (-1,)) -> DataFrame:
-    """(old, new): labels renumbered 0.. by descending size (ties by label).
-
-    The window runs over the grouped label table (one row per cluster).
-    """
+    """(old, new): labels renumbered 0.. by descending size (ties by label), by the distributed dense index."""
     sizes = group_count(df.filter(~F.col(col).isin(list(keep))), col)
-    w = Window.orderBy(F.col("n").desc(), F.col(col))
-    return sizes.select(F.col(col).alias("old"), (F.row_number().over(w) - 1).cast(df.schema[col].dataType)
-                        .alias("new"))
+    ranked = dense_index(sizes.select(col, (-F.col("n")).alias("__n")), ["__n", col], out="new")
+    return ranked.select(F.col(col).alias("old"), F.col("new").cast(df.schema[col].dataType).alias("new"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pactum.functions import scalars as S
 from pactum.operators import eda
+from pactum.functions import text as T
 from pactum.registry import register
 from pactum.registry.common import clean, raw
 from pactum.registry.oracle import with_clean, with_raw
@@ -85,11 +86,9 @@ register("share_and_conditional_mean", with_clean("""
 SELECT tipodocproveedor, round(avg(CAST(dias_adicionados > 0 AS DOUBLE)), 6) AS share_positive,
        round(avg(CASE WHEN dias_adicionados > 0 THEN dias_adicionados END), 6) AS mean_positive
 FROM clean WHERE tipodocproveedor IN ('cedula de ciudadania', 'nit') GROUP BY 1"""))(
-    lambda spark, sf: _r6(clean(spark, sf).filter(F.col("tipodocproveedor").isin("cedula de ciudadania", "nit"))
-                          .groupBy("tipodocproveedor").agg(
-                              F.avg((F.col("dias_adicionados") > 0).cast("double")).alias("share_positive"),
-                              F.avg(F.when(F.col("dias_adicionados") > 0, F.col("dias_adicionados"))).alias("mean_positive")),
-                          "share_positive", "mean_positive"))
+    lambda spark, sf: _r6(eda.share_and_conditional_mean(
+        clean(spark, sf).filter(F.col("tipodocproveedor").isin("cedula de ciudadania", "nit")), "dias_adicionados",
+        by=["tipodocproveedor"]), "share_positive", "mean_positive"))
 
 register("filtered_sum", with_clean("""
 SELECT CAST(sum(CASE WHEN tipodocproveedor = 'nit' THEN valor_del_contrato END) AS BIGINT) AS valor_empresas,
@@ -163,3 +162,12 @@ register("histogram_probability_by_group",
     lambda spark, sf: _hist(spark, sf, "duration_days", 15, group="tipodocproveedor", prob=True))
 register("histogram_filtered", _hist_sql("dias_adicionados", 10, where="dias_adicionados > 0"))(
     lambda spark, sf: _hist(spark, sf, "dias_adicionados", 10, where=F.col("dias_adicionados") > 0))
+
+
+# flattened word lists of all contracts: every occurrence is a row before it is counted
+register("flatten_words", with_clean("""
+SELECT word, count(*) AS n, count(DISTINCT index) AS n_contracts
+FROM (SELECT index, unnest(string_split(full_contract_description, ' ')) AS word FROM clean) GROUP BY word"""))(
+    lambda spark, sf: clean(spark, sf).select("index", F.explode(T.split_words("full_contract_description")).alias("word"))
+    .groupBy("word", "index").agg(F.count(F.lit(1)).alias("k"))
+    .groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_contracts")))

@@ -16,6 +16,7 @@ from pactum.plans.cleaning import clean_integrated, clean_processes
 from pactum.registry import register
 from pactum.registry.common import clean, table
 from pactum.registry.feature import _ORDER_CTE, _SPLIT_CTE
+from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import fold, with_clean
 from pactum.functions import rules as R
 from pactum.session import durable, materialized
@@ -51,10 +52,29 @@ def outliers_frame(spark, sf):
     return _both_kinds({k: P.provider_outliers(p, AS_OF, PROV_EPS, PROV_MIN) for k, p in profiles(spark, sf).items()})
 
 
-register("dbscan")(lambda spark, sf: emb_labels(spark, sf))
-register("cluster_summary")(lambda spark, sf: cluster_summary(emb_labels(spark, sf)))
-register("flag_outlier")(lambda spark, sf: emb_labels(spark, sf).withColumn("is_outlier", F.col("cluster") == -1))
-register("label_map_join")(lambda spark, sf: (lambda lab: Rel.relabel(lab, "cluster", Rel.size_rank_mapping(
+_DBSCAN_CTES = f"""WITH RECURSIVE p AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+nb AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM p a, p b
+  WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) <= {EMB_EPS} * {EMB_EPS}),
+core AS (SELECT a FROM nb GROUP BY a HAVING count(*) >= {EMB_MIN}),
+links AS (SELECT a, b FROM nb WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
+reach(v, label) AS (SELECT a, a FROM core UNION SELECT l.b, r.label FROM reach r JOIN links l ON r.v = l.a),
+comp AS (SELECT v, min(label) AS label FROM reach GROUP BY v),
+edge AS (SELECT nb.a AS v, min(label) AS label FROM nb JOIN comp ON comp.v = nb.b GROUP BY nb.a),
+lab AS (
+  SELECT vec_id, coalesce(comp.label, edge.label, -1) AS cluster, comp.label IS NOT NULL AS is_core
+  FROM p LEFT JOIN comp ON comp.v = vec_id LEFT JOIN edge ON edge.v = vec_id)
+"""
+register("dbscan", _DBSCAN_CTES + "SELECT * FROM lab")(lambda spark, sf: emb_labels(spark, sf))
+register("cluster_summary", _DBSCAN_CTES + """SELECT count(DISTINCT cluster) FILTER (cluster <> -1) AS n_clusters,
+  count(*) FILTER (cluster <> -1) AS n_members, count(*) FILTER (cluster = -1) AS n_outliers FROM lab""")(
+    lambda spark, sf: cluster_summary(emb_labels(spark, sf)))
+register("flag_outlier", _DBSCAN_CTES + "SELECT *, cluster = -1 AS is_outlier FROM lab")(
+    lambda spark, sf: emb_labels(spark, sf).withColumn("is_outlier", F.col("cluster") == -1))
+register("label_map_join", _DBSCAN_CTES + """, sizes AS (
+  SELECT cluster, row_number() OVER (ORDER BY count(*) DESC, cluster) - 1 AS new FROM lab WHERE cluster <> -1 GROUP BY cluster)
+SELECT vec_id, CAST(coalesce(new, -1) AS BIGINT) AS cluster, is_core FROM lab LEFT JOIN sizes USING (cluster)""")(lambda spark, sf: (lambda lab: Rel.relabel(lab, "cluster", Rel.size_rank_mapping(
     lab, "cluster")))(emb_labels(spark, sf)))
 register("cluster_scatter_frame")(outliers_frame)
 register("provider_outliers")(outliers_frame)
@@ -144,10 +164,11 @@ def q_rf_search(spark, sf):
 
 @register("price_model")
 def q_price_model(spark, sf):
-    """Search table of the random search, with the refitted best draw's test RMSE on every row."""
+    """Test predictions and residuals of the best of two draws (a stated parameter), with that draw and the test RMSE."""
     res = P.price_model(splits(spark, sf), n_draws=2, seed=3)
-    test_rmse = res["test_rmse"].first()["rmse"]          # one scalar
-    return res["search"].withColumn("test_rmse", F.lit(test_rmse))
+    best = res["search"].orderBy("valid_rmse", "draw").limit(1).select("draw", "trees", "depth", "leaf", "valid_rmse")
+    return res["residuals"].withColumns({c: best.select(c).scalar() for c in best.columns}) \
+        .withColumn("test_rmse", res["test_rmse"].select("rmse").scalar())
 
 
 @register("permutation_importance")
@@ -254,18 +275,70 @@ WHERE valor_total_adjudicacion <> 0 AND fecha_de_publicacion_del IS NOT NULL
 register("clean_processes", _PROCESS_SQL)(lambda spark, sf: clean_processes(fixtures.processes_raw(spark, sf)))
 
 
-@register("eda_report")
+# ---- the report: one long table (section, value, metric)
+_KINDS = (("people", P.PERSON), ("companies", P.COMPANY))
+
+
+def _share_sql(section: str, col: str, view: str, where: str = "TRUE") -> str:
+    return (f"SELECT '{section}' AS section, CAST({col} AS VARCHAR) AS value, "
+            f"round(count(*) / sum(count(*)) OVER (), 6) AS metric FROM {view} "
+            f"WHERE {where} AND {col} IS NOT NULL GROUP BY {col}")
+
+
+_REPORT_SQL = " UNION ALL ".join([
+    _share_sql("provider_type", "tipodocproveedor", "clean"),
+    _share_sql("method", "modalidad_de_contratacion", "clean"),
+    *[_share_sql(f"{name}:{col}", col, "profile", f"tipodocproveedor = '{doc}'")
+      for name, doc in _KINDS for col in ("index_count", "max_open_contracts", "nombre_entidad", "ciudad")],
+    "SELECT 'monthly_count', strftime(date_trunc('month', fecha_de_firma), '%Y-%m'), CAST(count(*) AS DOUBLE) FROM clean GROUP BY 2",
+    "SELECT 'monthly_value', strftime(date_trunc('month', fecha_de_firma), '%Y-%m'), CAST(sum(valor_del_contrato) AS DOUBLE) "
+    "FROM clean GROUP BY 2",
+    "SELECT 'yearly_count', CAST(year(fecha_de_firma) AS VARCHAR), CAST(count(*) AS DOUBLE) FROM clean GROUP BY 2",
+    "SELECT 'extended_share', tipodocproveedor, round(avg(CAST(dias_adicionados > 0 AS DOUBLE)), 6) FROM clean GROUP BY 2",
+    "SELECT 'extension_days', tipodocproveedor, round(avg(CASE WHEN dias_adicionados > 0 THEN dias_adicionados END), 6) "
+    "FROM clean GROUP BY 2",
+    """SELECT 'word', word, CAST(n AS DOUBLE) FROM (
+      SELECT word, count(*) AS n FROM (SELECT unnest(string_split(full_contract_description, ' ')) AS word FROM clean)
+      WHERE word <> '' GROUP BY 1 ORDER BY n DESC, word LIMIT 20)""",
+    """SELECT 'log_value_bin', CAST(g.bin AS VARCHAR), CAST(coalesce(h.n, 0) AS DOUBLE)
+    FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 21)) g LEFT JOIN (
+      SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((x - lo) / ((hi - lo) / 20)) + 1, 20) END AS INTEGER) AS bin,
+             count(*) AS n
+      FROM (SELECT log_valor_del_contrato AS x FROM clean),
+           (SELECT min(log_valor_del_contrato) AS lo, max(log_valor_del_contrato) AS hi FROM clean) GROUP BY 1) h
+    ON g.bin = h.bin""",
+])
+
+
+@register("eda_report", with_clean(_REPORT_SQL, *PROFILE_CTES))
 def q_eda_report(spark, sf):
-    """The report's headline shares in one long table (section, value, share)."""
+    """Every table of the report in one long table: shares, profiles, months, extensions, words, histogram."""
     c = clean(spark, sf)
-    parts = []
-    for section, col in (("provider_type", "tipodocproveedor"), ("method", "modalidad_de_contratacion")):
-        parts.append(eda.percent_distribution(c, col).select(F.lit(section).alias("section"),
-                                                             F.col(col).alias("value"), "pct"))
-    prof = people(spark, sf)
-    for section, col in (("contracts_per_provider", "index_count"), ("max_simultaneous", "max_open_contracts")):
-        parts.append(eda.percent_distribution(prof, col).select(F.lit(section).alias("section"),
-                                                                F.col(col).cast("string").alias("value"), "pct"))
+    prof = provider_profile(c)
+    month = F.date_format("fecha_de_firma", "yyyy-MM")
+
+    def part(section, df, value, metric):
+        return df.select(F.lit(section).alias("section"), F.col(value).cast("string").alias("value"),
+                         metric.cast("double").alias("metric"))
+
+    def shares(section, df, col):
+        return part(section, eda.group_share(df, col), col, F.round("share", 6))
+
+    extension = eda.share_and_conditional_mean(c, "dias_adicionados", by=["tipodocproveedor"])
+    parts = [
+        shares("provider_type", c, "tipodocproveedor"), shares("method", c, "modalidad_de_contratacion"),
+        *[shares(f"{name}:{col}", prof.filter(F.col("tipodocproveedor") == doc), col)
+          for name, doc in _KINDS for col in ("index_count", "max_open_contracts", "nombre_entidad", "ciudad")],
+        part("monthly_count", c.groupBy(month.alias("m")).agg(F.count(F.lit(1)).alias("n")), "m", F.col("n")),
+        part("monthly_value", c.groupBy(month.alias("m")).agg(F.sum("valor_del_contrato").alias("n")), "m", F.col("n")),
+        part("yearly_count", c.groupBy(F.year("fecha_de_firma").alias("y")).agg(F.count(F.lit(1)).alias("n")), "y",
+             F.col("n")),
+        part("extended_share", extension, "tipodocproveedor", F.round("share_positive", 6)),
+        part("extension_days", extension, "tipodocproveedor", F.round("mean_positive", 6)),
+        part("word", eda.word_frequency(c, "full_contract_description").orderBy(F.col("n").desc(), "word").limit(20),
+             "word", F.col("n")),
+        part("log_value_bin", eda.histogram(c, P.TARGET, 20), "bin", F.col("n")),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

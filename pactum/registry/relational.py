@@ -14,7 +14,7 @@ from pactum.plans.cleaning import not_interadministrative, prepare_economy
 from pactum.registry import register
 from pactum.registry.common import clean, eco, raw
 from pactum.registry.jobs import PROFILE_CTES
-from pactum.registry.oracle import ECO_CTE, fold, parse_int_sql, recode_sql, with_clean, with_raw
+from pactum.registry.oracle import CLEAN_COLUMNS, ECO_CTE, fold, parse_int_sql, recode_sql, with_clean, with_raw
 from pactum.functions import rules as R
 from pactum.sources import fixtures
 from pactum.sources.fixtures import duck_sql
@@ -218,19 +218,49 @@ register("distinct_rows", with_raw(f"SELECT DISTINCT {fold('departamento')} AS d
                                             S.lower_fold("orden").alias("orden"), "estado_contrato").dropDuplicates())
 
 
-@register("schema_diff")
+def _value_counts(df, columns):
+    """(column, n_values): non-null values per column, one pass."""
+    wide = df.agg(*[F.count(c).alias(c) for c in columns])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_values"))
+                                           for c in columns])).alias("s")).select("s.*")
+
+
+RAW_COLUMNS = ("id", "nombre_entidad", "nit_entidad", "departamento", "ciudad", "orden", "proceso_de_compra",
+               "referencia_del_contrato", "estado_contrato", "descripcion_del_proceso", "modalidad_de_contratacion",
+               "fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato", "tipodocproveedor",
+               "documento_proveedor", "proveedor_adjudicado", "valor_del_contrato", "objeto_del_contrato",
+               "dias_adicionados")
+RAW_DATES = ("fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato")
+
+
+def _counts_sql(columns, view, status):
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{status}' AS status, count({c}) AS n_values FROM {view}"
+                              for c in columns)
+
+
+_BOTH_SQL = _counts_sql([c for c in RAW_COLUMNS if c in CLEAN_COLUMNS], "v", "both")
+
+
+@register("schema_diff", with_clean(" UNION ALL ".join([
+    _counts_sql(["id"], "v", "only_raw"), _counts_sql([c for c in CLEAN_COLUMNS if c not in RAW_COLUMNS], "clean",
+                                                      "only_clean"), _BOTH_SQL])))
 def q_schema_diff(spark, sf):
-    """Column-name set difference/intersection of raw vs clean (schema metadata only)."""
-    r, c = set(raw(spark, sf).columns), set(clean(spark, sf).columns)
-    rows = [(n, "only_raw") for n in sorted(r - c)] + [(n, "only_clean") for n in sorted(c - r)] \
-        + [(n, "both") for n in sorted(r & c)]
-    return spark.createDataFrame(rows, "column string, status string")
+    """Columns of raw and clean by where they occur, with their non-null values."""
+    r, c = raw(spark, sf), clean(spark, sf)
+    only_clean = [n for n in c.columns if n not in r.columns]
+    here = _value_counts(r, r.columns).withColumn("status", F.when(F.col("column").isin(*c.columns), "both")
+                                                  .otherwise("only_raw"))
+    there = _value_counts(c, only_clean).withColumn("status", F.lit("only_clean"))
+    return here.unionByName(there).select("column", "status", "n_values")
 
 
-register("schema_intersect")(lambda spark, sf: q_schema_diff(spark, sf).filter(F.col("status") == "both"))
+register("schema_intersect", with_raw(_BOTH_SQL))(
+    lambda spark, sf: q_schema_diff(spark, sf).filter(F.col("status") == "both"))
 
 
-@register("columns_by_type")
+@register("columns_by_type", with_raw(_counts_sql([c for c in RAW_COLUMNS if c not in (*RAW_DATES, "id")], "v", "string")))
 def q_columns_by_type(spark, sf):
+    """The string columns of the raw contracts, with their non-null values."""
     df = raw(spark, sf)
-    return spark.createDataFrame([(n, t) for n, t in df.dtypes], "column string, type string")
+    strings = [n for n, t in df.dtypes if t == "string"]
+    return _value_counts(df, strings).select("column", F.lit("string").alias("status"), "n_values")

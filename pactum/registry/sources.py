@@ -142,7 +142,7 @@ _CONFORMED = ", ".join(["id"] + [f"coalesce({c}, '') AS {c}" for c in _STRING_CO
 def landed(spark, sf):
     r = raw(spark, sf)
     path = scratch_path(spark, "pages")
-    ingest.land_pages(r, path, ["id"])
+    ingest.land_pages(r, path)
     return r.schema, path
 
 

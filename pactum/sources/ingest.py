@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
-from pactum.operators.indexing import dense_index
-
 PAGE_ROWS = 4000   # rows per landed page (API page size)
 
 
@@ -25,15 +23,13 @@ def text_schema(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def land_pages(df: DataFrame, path: str, order: Sequence[str], page_rows: int = PAGE_ROWS) -> None:
-    """Write ``df`` as JSON pages of ``page_rows`` rows each (deterministic by ``order``).
+def land_pages(df: DataFrame, path: str, page_rows: int = PAGE_ROWS) -> None:
+    """Write ``df`` as JSON pages (files) of at most ``page_rows`` rows each; no sort, no folder per page.
 
     Every value is written as text, dates as ISO strings, like an API page.
     """
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    indexed = dense_index(as_text, list(order), out="__row")
-    pages = indexed.withColumn("__page", (F.col("__row") / page_rows).cast("long")).drop("__row")
-    pages.repartition("__page").write.mode("errorifexists").partitionBy("__page").json(path)
+    as_text.write.mode("errorifexists").option("maxRecordsPerFile", page_rows).json(path)
 
 
 def conform_schema(df: DataFrame, schema: StructType, date_format: str | None = None,
