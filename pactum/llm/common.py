@@ -45,13 +45,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+TASK_ROWS = 100_000
+
+
+def durable(df: DataFrame, name: str, rows: int | None = None, per_task: int = TASK_ROWS) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage at files every executor can read, so a lost executor
     costs a re-read and not a recomputation, and gives the optimiser the real
-    size of the table when it picks a join.
+    size of the table when it picks a join.  Where the number of rows has a
+    known bound, ``rows`` over ``per_task`` sets how many tasks write them.
     """
+    if rows is not None:
+        df = df.coalesce(rows // per_task + 1)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -56,7 +56,8 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_doc = held.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
     over = per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper")) \
         .where(F.col("n_docs") >= min_docs)
-    over = durable(over.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), "keeper"), "frequent-lines")
+    over = durable(over.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), "keeper"), "frequent-lines",
+                   docs.count())
     gone = held.join(over, (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2"))) \
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))
     return gone.groupBy("doc", "t1", "t2").agg(F.collect_list("at").alias("at")).select(

@@ -115,7 +115,8 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     counts = document_counts(docs, id_col, text_col, host_col)
     lines = host_lines(docs, id_col, text_col, host_col)
-    frequent = durable(frequent_lines(lines, max_docs).select("host", "h1", "h2", "home"), "frequent-lines")
+    frequent = durable(frequent_lines(lines, max_docs).select("host", "h1", "h2", "home"), "frequent-lines",
+                       docs.count())
     f = frequent.select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), "home")
     hit = lines.join(f, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))
                      & F.col("host").eqNullSafe(F.col("f_host"))) \
