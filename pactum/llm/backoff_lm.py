@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.blocks import column, from_runs, n_blocks, packed, unpack
+from pactum.llm.blocks import column, from_runs, measure, n_blocks, packed, unpack
 from pactum.llm.common import n_words, text_or_empty
 from pactum.llm.tokens import Words, gram_hashes, slices, words_of
 
@@ -150,8 +150,9 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_words, score) per row; score is the sum of log10 S; null ids are ``blocks.NULL_ID``."""
     spark = docs.sparkSession
     bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
-    corpus = docs.agg(F.sum(n_words(text_or_empty(text_col)))).first()[0] or 0
-    blocks = packed(docs, n_blocks(docs), id_col, text_col)
+    size = measure(docs, text_col, F.sum(n_words(text_or_empty(text_col))).alias("words"))
+    corpus = size["words"] or 0
+    blocks = packed(docs, n_blocks(size["bytes"]), id_col, text_col)
     asked = blocks.groupBy("k").applyInArrow(_ask(order, bits), "k int, bucket int, gram binary, n binary")
     totals = asked.groupBy("bucket").applyInArrow(_total, "k int, bucket int, total binary")
     return blocks.groupBy("k").cogroup(totals.groupBy("k")).applyInArrow(

@@ -7,20 +7,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 NULL_ID = -(2 ** 63)  # a null id sorts before all others
-BLOCK_DOCS = 1000
+BLOCK_BYTES = 4 << 20
 
 
 def ids_of(id_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
 
 
-def n_blocks(docs: DataFrame) -> int:
-    """Blocks of about a thousand documents; grows with the table."""
-    return max(1, docs.count() // BLOCK_DOCS)
+def measure(docs: DataFrame, text_col: str, *more) -> Row:
+    """Rows and text bytes of the table, and whatever aggregates ``more`` names, in one pass."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"),
+                    *more).first()
+
+
+def n_blocks(text_bytes: int) -> int:
+    """Blocks of about four MB of text (a longer single document makes its own larger); grows with the table."""
+    return max(1, text_bytes // BLOCK_BYTES)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
