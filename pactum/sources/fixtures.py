@@ -19,9 +19,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Fixed fixture text: the contract-shaped view (raw platform contracts).  A
 # document's whole text becomes the description (first half) and the object
-# (the rest) of its contracts.
+# (the rest) of its contracts; whole texts are no broadcast side, so they are
+# merge-joined (the hint is a comment to DuckDB).
 CONTRACTS_SQL = """
-SELECT
+SELECT /*+ MERGE(d) */
   o.o_orderkey AS id,
   CASE WHEN o.o_orderkey % 997 = 0 THEN c.c_name
        ELSE concat('Entidad Básica ', CAST(o.o_orderkey % 97 AS STRING)) END AS nombre_entidad,
