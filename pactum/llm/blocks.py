@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 NULL_ID = -(2 ** 63)  # a null id sorts before all others
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def ids_of(id_col: str):
@@ -26,7 +26,7 @@ def measure(docs: DataFrame, text_col: str, *more) -> Row:
 
 
 def n_blocks(text_bytes: int) -> int:
-    """Blocks of about four MB of text (a longer single document makes its own larger); grows with the table."""
+    """Blocks of about two MB of text (a longer single document makes its own larger); grows with the table."""
     return max(1, text_bytes // BLOCK_BYTES)
 
 
