@@ -10,6 +10,8 @@ import zstandard
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from pactum.llm.common import fingerprint
+
 NULL_ID = -(2 ** 63)  # a null id sorts before all others
 BLOCK_BYTES = 2 << 20
 
@@ -33,16 +35,23 @@ def n_blocks(text_bytes: int) -> int:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        z = [squeeze.compress((t or "").encode()) for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], ["k", "id", "z"])
+        z = [squeeze.compress((t or "").encode()) for t in b.column(b.num_columns - 1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(z, pa.binary())], [*b.schema.names[:-1], "z"])
+
 
+def packed(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str = "text",
+           prints: bool = False) -> DataFrame:
+    """(k, id, z): block number, id and zstd-compressed text of every row; no shuffle.
 
-def packed(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k, id, z): block number, id and zstd-compressed text of every row; no shuffle."""
+    With ``prints`` (k, id, t1, t2, z), for callers that tell the texts of one id apart: t1 and t2 are the
+    text's fingerprint.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    t1, t2 = fingerprint(text)
     keyed = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(blocks)).cast("int").alias("k"),
-                        ids_of(id_col).alias("id"), text.alias("text"))
-    return keyed.mapInArrow(_pack, "k int, id long, z binary")
+                        ids_of(id_col).alias("id"), *([t1.alias("t1"), t2.alias("t2")] if prints else []),
+                        text.alias("text"))
+    return keyed.mapInArrow(_pack, f"k int, id long, {'t1 long, t2 long, ' if prints else ''}z binary")
 
 
 def unpack(z: pa.Array) -> pa.Array:

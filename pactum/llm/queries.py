@@ -41,8 +41,7 @@ def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return out.select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_shingles", "component_id")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

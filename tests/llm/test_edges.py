@@ -167,3 +167,17 @@ def test_stages_keep_the_columns_of_documents(spark):
         out = stage(spark, df, "/root/testdata/sf0.001")
         assert out.dtypes == df.dtypes, name
         assert stage(spark, df.limit(0), "/root/testdata/sf0.001").collect() == [], name
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(None, a), (11, a), (None, b), (12, b), (None, c), (13, f"{c} x"), (None, f"{a} {b} {c}"), (None, ""), (14, a)]
+    rows += [(20, " ".join(f"d{i}" for i in range(60))), (20, " ".join(f"f{i}" for i in range(60)))]
+    rows += [(21, rows[-1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r["id"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()), key=repr)
+    null = blocks.NULL_ID
+    assert got == sorted([(null, 11), (11, 11), (14, 11), (null, 12), (12, 12), (null, 13), (13, 13), (null, None),
+                          (null, None), (20, 20), (20, 20), (21, 20)], key=repr)
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.keep_first(df).collect()), key=repr)
+    assert kept == sorted([(None, a), (None, b), (None, c), (None, f"{a} {b} {c}"), (None, ""), rows[9], rows[11]], key=repr)
