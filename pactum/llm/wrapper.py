@@ -7,10 +7,11 @@ order-preserving match of the children of two equal nodes) and merged into one
 template.  A text that fills its template node on nearly all pages is part of
 the template; a node whose text varies is a slot.
 
-The main text is what fills slots inside the article: the largest ``article``
-(else ``main``, else an element marked as the body), without elements whose
-role is known (menus, footers, forms, adverts, comments and so on).  Where no
-element is so marked, it is the text of all slots that are not mostly links.
+The main text is what fills slots inside the article: all ``article`` elements
+in page order (else all ``main``), without elements whose role is known (menus,
+footers, forms, adverts, comments and so on).  Where a page has neither, it is
+the text of all slots that are not mostly links; inside an element marked as
+the body by its class, id or role, link texts and headers' headings stay too.
 
 A host's pages are dealt into groups of about ``GROUP`` by a hash, each with
 its own template, so a host with a third of all pages is many small groups.
@@ -247,7 +248,7 @@ def _blocks(node: Node, out: list, inside_skip: bool, in_body: bool) -> None:
         if parts:
             text = _clean("".join(t for t, _ in parts))
             if text:
-                linked = sum(len(t) for t, a in parts if a)
+                linked = 0 if in_body else sum(len(t) for t, a in parts if a)
                 out.append((text, node.place.merged, linked / max(1, sum(len(t) for t, _ in parts))))
             parts.clear()
 
@@ -260,33 +261,25 @@ def _blocks(node: Node, out: list, inside_skip: bool, in_body: bool) -> None:
                     if isinstance(h, Node) and h.tag in HEADINGS:
                         _blocks(h, out, inside_skip, in_body)
             elif not kid.skip:
-                _blocks(kid, out, inside_skip, in_body)
+                _blocks(kid, out, inside_skip, in_body or kid.body)
         else:
             parts.append(kid)
     flush()
 
 
-def _bodies(node: Node, out: list[Node]) -> None:
+def _outermost(node: Node, tag: str, out: list[Node]) -> list[Node]:
     for kid in node.kids:
         if isinstance(kid, Node) and not kid.skip:
-            if kid.body:
+            if kid.tag == tag:
                 out.append(kid)
-            _bodies(kid, out)
-
-
-def _weight(node: Node) -> int:
-    return sum(_weight(k) if isinstance(k, Node) else len(k[0]) for k in node.kids if not isinstance(k, Node) or not k.skip)
+            else:
+                _outermost(kid, tag, out)
+    return out
 
 
-def _root(page: Node) -> Node | None:
-    """The element that holds the article, if one is marked."""
-    found: list[Node] = []
-    _bodies(page, found)
-    for kind in (lambda x: x.tag == "article", lambda x: x.tag == "main", lambda x: True):
-        of = [x for x in found if kind(x)]
-        if of:
-            return max(of, key=_weight)
-    return None
+def _roots(page: Node) -> list[Node]:
+    """The elements that hold the article, in page order: none inside another; empty if there are none."""
+    return _outermost(page, "article", []) or _outermost(page, "main", [])
 
 
 def extract_group(pages: list[str]) -> list[str]:
@@ -306,12 +299,13 @@ def extract_group(pages: list[str]) -> list[str]:
                 template = _adopt(skeleton)
             else:
                 align(template, skeleton, {})
-        body = _root(root)
+        bodies = _roots(root)
         out: list = []
-        _blocks(body or root, out, False, body is not None)
-        parsed.append((body, out))
+        for node in bodies or [root]:
+            _blocks(node, out, False, bool(bodies))
+        parsed.append(out)
     seen_pages = set()
-    for _, out in parsed:
+    for out in parsed:
         key = hash(tuple(t for t, _, _ in out))
         if key in seen_pages:
             continue
@@ -322,10 +316,10 @@ def extract_group(pages: list[str]) -> list[str]:
             place.texts[text] += 1
     trusted = len(seen_pages) >= TRUSTED
     result = []
-    for body, out in parsed:
+    for out in parsed:
         kept = [t for t, place, linked in out
                 if not (trusted and place.texts[t] >= max(TRUSTED, CONSTANT_SHARE * len(seen_pages)))
-                and (body is not None or linked <= 0.5)]
+                and linked <= 0.5]
         result.append("\n\n".join(kept))
     return result
 

@@ -278,6 +278,17 @@ def test_wrapper_needs_evidence():
     assert wrapper.extract_group(["", "plain text", "<p>open <b", "<a<b>>x"])[:2] == ["", "plain text"]
 
 
+def test_all_marked_parts_of_a_page_stay():
+    two = ("<body><nav>Menu</nav><main><article><header><h2>Part {i}</h2></header><p>Short {i}</article>"
+           "<article><p>The longer part {i} of the page</article></main><footer>Foot {i}</footer>")
+    got = wrapper.extract_group([two.format(i=i) for i in range(8)])
+    assert got == [f"Part {i}\n\nShort {i}\n\nThe longer part {i} of the page" for i in range(8)]
+    classed = ("<body><div class='logo'>Site</div><div><p class='text'>One {i}<p class='text'>The second one {i} is longer"
+               "<table><tr><td class='content'>Cell {i}<td>Plain {i}</table></div><div><a href='/{i}'>Next {i}</a></div>")
+    want = [f"One {i}\n\nThe second one {i} is longer\n\nCell {i}\n\nPlain {i}" for i in range(8)]
+    assert wrapper.extract_group([classed.format(i=i) for i in range(8)]) == want
+
+
 def test_tree_matching_is_the_largest_ordered_match():
     def tree(spec):
         place = wrapper.Place(spec[0])
