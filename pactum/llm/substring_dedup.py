@@ -24,9 +24,11 @@ one); windows are judged on the input.
 Segments are equal when two independent 64-bit hashes are.
 
 Nulls and edge cases: null and empty texts have no words; texts under 20 words
-lose nothing; a null id sorts before all others; rows sharing an id count as
-one document (equal starts in them are no repeats); an empty table gives an
-empty result.  Other columns are never read.
+lose nothing; a null id sorts before all others; a document is an id and a
+text, known by the text's two 64-bit hashes, so rows without an id, or with one
+id and different texts, are documents of their own, in order of the hashes;
+repeated rows count as one document (equal starts in them are no repeats); an
+empty table gives an empty result.  Other columns are never read.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactum.llm.blocks import column, from_runs, ids_of, packed, unpack
-from pactum.llm.common import durable
+from pactum.llm.common import durable, fingerprint
 from pactum.llm.fm_index import SEPARATOR, FMIndex
 from pactum.llm.tokens import Words, _powers, gram_hashes, mix, slices, words_of
 
@@ -47,7 +49,8 @@ WINDOW = 20
 ANCHOR = 5
 _POSITION = np.uint64((1 << 28) - 1)
 HOT_SHARE = 10
-ENTRY = [("key", np.uint64), ("seg", np.uint64), ("id", np.int64), ("start", np.uint32), ("n", np.uint8)]
+DOC = ("id", "t1", "t2")
+ENTRY = [("key", np.uint64), ("seg", np.uint64), ("id", np.int64), ("t1", np.int64), ("t2", np.int64), ("start", np.uint32), ("n", np.uint8)]
 
 
 def _segment_hash(w: Words, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -91,31 +94,34 @@ def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _entries(part: pa.RecordBatch, hot: np.ndarray) -> dict[str, np.ndarray]:
-    ids = column(part, "id")
+    doc = {c: column(part, c) for c in DOC}
     w = words_of(part.column(1))
     text, first, n, anchor = _segments(w)
     at = first - w.first[text]
     seg = _segment_hash(w, first, n + WINDOW - 1)
     frequent = np.isin(anchor, hot) if len(hot) else np.zeros(len(anchor), bool)
-    cols = {"key": anchor, "seg": seg, "id": ids[text], "start": at, "n": n}
+    cols = {"key": anchor, "seg": seg, "start": at, "n": n, **{c: v[text] for c, v in doc.items()}}
     if frequent.any():
         h = np.flatnonzero(frequent)
         each = np.repeat(h, n[h])
         inner = np.arange(len(each)) - np.repeat(np.cumsum(n[h]) - n[h], n[h])
         single = {"key": _segment_hash(w, first[each] + inner, np.full(len(each), WINDOW)),
                   "seg": gram_hashes(w.hash, WINDOW)[first[each] + inner],
-                  "id": ids[text[each]], "start": at[each] + inner, "n": np.ones(len(each), np.int64)}
+                  "start": at[each] + inner, "n": np.ones(len(each), np.int64),
+                  **{c: v[text[each]] for c, v in doc.items()}}
         cols = {c: np.concatenate((v[~frequent], single[c])) for c, v in cols.items()}
     return {c: cols[c].astype(t) for c, t in ENTRY}
 
 
 def _firsts(e: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (key, seg, id, start); first of each segment; rows at a later place than the first."""
-    order = np.lexsort((e["start"], e["id"], e["seg"], e["key"]))
+    """Order by (key, seg, id, text, start); first of each segment; rows at a later place than the first."""
+    order = np.lexsort((e["start"], e["t2"], e["t1"], e["id"], e["seg"], e["key"]))
     key, seg = e["key"][order], e["seg"][order]
     new = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]))) if len(order) else np.zeros(0, bool)
     head = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
-    later = (e["id"][order] != e["id"][head]) | (e["start"][order] != e["start"][head])
+    later = np.zeros(len(order), bool)
+    for c in (*DOC, "start"):
+        later |= e[c][order] != e[c][head]
     return order, new, later
 
 
@@ -145,11 +151,11 @@ def _send(hot: np.ndarray, bits: int):
 
 
 def _found(kind: int, e: dict[str, np.ndarray], rows: np.ndarray) -> list[np.ndarray]:
-    return [np.full(len(rows), kind, np.int32), e["id"][rows], e["start"][rows].astype(np.int32),
+    return [np.full(len(rows), kind, np.int32), *(e[c][rows] for c in DOC), e["start"][rows].astype(np.int32),
             e["n"][rows].astype(np.int32), e["key"][rows].view(np.int64), e["seg"][rows].view(np.int64)]
 
 
-FOUND = "kind int, id long, start int, n int, key long, seg long"
+FOUND = "kind int, id long, t1 long, t2 long, start int, n int, key long, seg long"
 
 
 def _settle(t: pa.Table) -> pa.Table:
@@ -168,7 +174,7 @@ def _settle(t: pa.Table) -> pa.Table:
         _, group, size = np.unique(e["key"][firsts], return_inverse=True, return_counts=True)
         parts.append(_found(1, e, firsts[size[group] > 1]))
     cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    return pa.table(dict(zip(["kind", "id", "start", "n", "key", "seg"], map(pa.array, cols), strict=True)))
+    return pa.table(dict(zip(["kind", *DOC, "start", "n", "key", "seg"], map(pa.array, cols), strict=True)))
 
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,10 +191,11 @@ def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             same = _segment_hash(w, start, length) == np.array([a["seg"] for a in keep]).view(np.uint64)
             keep = [a for a, ok in zip(keep, same, strict=True) if ok]
             yield pa.RecordBatch.from_arrays([
-                pa.array([a["key"] for a in keep], pa.int64()), pa.array([b.column("id")[i].as_py()] * len(keep), pa.int64()),
+                pa.array([a["key"] for a in keep], pa.int64()),
+                *(pa.array([b.column(c)[i].as_py()] * len(keep), pa.int64()) for c in DOC),
                 pa.array([a["start"] for a in keep], pa.int32()),
                 pa.array([w.hash[a["start"]:a["start"] + a["n"] + WINDOW - 1].tobytes() for a in keep], pa.binary())],
-                ["key", "id", "start", "words"])
+                ["key", *DOC, "start", "words"])
 
 
 def _search_shard(t: pa.Table) -> pa.Table:
@@ -205,34 +212,45 @@ def _search_shard(t: pa.Table) -> pa.Table:
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     place = FMIndex(seq, len(words) + 1, 2 * WINDOW).repeated(seq, at[owner] + offset, WINDOW)
     hit = np.flatnonzero(place >= 0)
-    e = {"key": place[hit].view(np.uint64), "seg": np.zeros(len(hit), np.uint64), "id": column(t, "id")[owner[hit]],
+    e = {"key": place[hit].view(np.uint64), "seg": np.zeros(len(hit), np.uint64),
+         **{c: column(t, c)[owner[hit]] for c in DOC},
          "start": (column(t, "start")[owner[hit]] + offset[hit]).astype(np.uint32)}
     order, _, later = _firsts(e)
     gone = order[later]
-    return pa.table({"id": pa.array(e["id"][gone]), "start": pa.array(e["start"][gone].astype(np.int32)),
+    return pa.table({**{c: pa.array(e[c][gone]) for c in DOC}, "start": pa.array(e["start"][gone].astype(np.int32)),
                      "n": pa.array(np.ones(len(gone), np.int32))})
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start, n): runs of windows (by their first word) that start earlier somewhere else."""
+    """(id, t1, t2, start, n): runs of windows (by their first word) that start earlier somewhere else."""
     spark = docs.sparkSession
     bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
-    texts = docs.select(ids_of(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    t1, t2 = fingerprint(text)
+    texts = docs.select(ids_of(id_col).alias("id"), text.alias("text"))
     counts = durable(texts.mapInArrow(_anchor_counts, "anchor long, n long, total long")
                      .groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "anchors")
     mean = (counts.agg(F.sum("total")).first()[0] or 0) / (1 << bits)
     often = counts.where(F.col("n") > max(100.0, mean / HOT_SHARE)).select("anchor")
     hot = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-    sent = texts.mapInArrow(_send(hot, bits), "bucket int, settled int, key binary, seg binary, id binary, "
-                            "start binary, n binary")
+    entries = docs.select(ids_of(id_col).alias("id"), text.alias("text"), t1.alias("t1"), t2.alias("t2"))
+    sent = entries.mapInArrow(_send(hot, bits), "bucket int, settled int, key binary, seg binary, id binary, "
+                              "t1 binary, t2 binary, start binary, n binary")
     found = durable(sent.groupBy("bucket").applyInArrow(_settle, FOUND), "settled")
-    asked = found.where("kind = 1").groupBy("id").agg(
-        F.collect_list(F.struct("start", "n", "key", "seg")).alias("asked")).withColumnRenamed("id", "a_id")
-    cut = packed(docs, 1, id_col, text_col).join(asked, F.col("id") == F.col("a_id")).select("id", "z", "asked") \
-        .mapInArrow(_cut_segments, "key long, id long, start int, words binary")
+    asked = found.where("kind = 1").groupBy(*DOC).agg(
+        F.collect_list(F.struct("start", "n", "key", "seg")).alias("asked"))
+    cut = _with_runs(docs, asked, id_col, text_col, "inner").select(*DOC, "z", "asked") \
+        .mapInArrow(_cut_segments, "key long, id long, t1 long, t2 long, start int, words binary")
     searched = cut.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(1 << bits)).cast("int")) \
-        .groupBy("shard").applyInArrow(_search_shard, "id long, start int, n int")
-    return found.where("kind = 0").select("id", "start", "n").unionByName(durable(searched, "searched"))
+        .groupBy("shard").applyInArrow(_search_shard, "id long, t1 long, t2 long, start int, n int")
+    return found.where("kind = 0").select(*DOC, "start", "n").unionByName(durable(searched, "searched"))
+
+
+def _with_runs(docs: DataFrame, runs: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """The compressed documents with the runs found in their own text."""
+    r = runs.select(*[F.col(c).alias(f"r_{c}") for c in DOC], *[c for c in runs.columns if c not in DOC])
+    return packed(docs, 1, id_col, text_col, prints=True).join(
+        r, (F.col("id") == F.col("r_id")) & (F.col("t1") == F.col("r_t1")) & (F.col("t2") == F.col("r_t2")), how)
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,8 +285,8 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, spans, kept) per row; ``spans`` are the removed word intervals."""
-    gone = repeated_windows(docs, id_col, text_col).groupBy("id").agg(
-        F.collect_list(F.struct("start", "n")).alias("gone")).withColumnRenamed("id", "g_id")
-    joined = packed(docs, 1, id_col, text_col).join(gone, F.col("id") == F.col("g_id"), "left")
+    gone = repeated_windows(docs, id_col, text_col).groupBy(*DOC).agg(
+        F.collect_list(F.struct("start", "n")).alias("gone"))
+    joined = _with_runs(docs, gone, id_col, text_col, "left")
     return joined.select("id", "z", "gone").mapInArrow(
         _apply, "id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, kept string")

@@ -181,3 +181,21 @@ def test_rows_without_an_id_are_documents_of_their_own(spark):
                           (null, None), (20, 20), (20, 20), (21, 20)], key=repr)
     kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.keep_first(df).collect()), key=repr)
     assert kept == sorted([(None, a), (None, b), (None, c), (None, f"{a} {b} {c}"), (None, ""), rows[9], rows[11]], key=repr)
+
+
+def test_repeats_go_only_from_the_text_they_were_found_in(spark):
+    def words(x, n=100):
+        return " ".join(f"{x}{i}" for i in range(n))
+
+    passage = words("p", 70)
+    rows = [(1, f"{words('a')} {passage}"), (None, f"{words('b')} {words('c')}"), (None, f"{words('d')} {words('e')}"),
+            (2, f"{words('f')} {passage}"), (2, f"{words('g')} {words('h')}"),
+            (3, f"{words('c')} tail"), (None, words("q", 40)), (None, f"{words('q', 40)} more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["id"], r["kept"], r["n_removed"]) for r in substring_dedup.remove_repeats(df).collect()}
+    null = blocks.NULL_ID
+    sure = {(1, rows[0][1], 0), (null, rows[1][1], 0), (null, rows[2][1], 0), (2, words("f"), 70), (2, rows[4][1], 0),
+            (3, "tail", 100)}
+    # Of the two null-id texts with one start the first by fingerprint keeps its words.
+    assert got - sure in ({(null, rows[6][1], 0), (null, "more", 40)}, {(null, "", 40), (null, rows[7][1], 0)})
+    assert len(got) == len(rows) and sure <= got
