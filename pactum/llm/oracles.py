@@ -172,6 +172,40 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(score, 0), 6)
 FROM d LEFT JOIN t USING (doc_id)
 """
 
+OP5_TRIGRAM = rf"""
+WITH d AS (
+  SELECT doc_id, [{_lower('x')} FOR x IN regexp_extract_all(coalesce(text, ''), '{WORD}')] AS w FROM documents),
+x AS (
+  SELECT doc_id, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v, CASE WHEN i > 2 THEN w[i - 2] END AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+total AS (SELECT count(*) AS n FROM x),
+size AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
+ud AS (SELECT doc_id, w, count(*) AS c FROM x GROUP BY doc_id, w),
+u AS (SELECT w, sum(c) AS c FROM ud GROUP BY w),
+bd AS (SELECT doc_id, v, w, count(*) AS c FROM x WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+b AS (SELECT v, w, sum(c) AS c FROM bd GROUP BY v, w),
+td AS (SELECT doc_id, t, v, w, count(*) AS c FROM x WHERE t IS NOT NULL GROUP BY doc_id, t, v, w),
+t3 AS (SELECT t, v, w, sum(c) AS c FROM td GROUP BY t, v, w),
+uo AS (SELECT doc_id, w, CAST(u.c - ud.c AS BIGINT) AS c FROM ud JOIN u USING (w)),
+bo AS (SELECT doc_id, v, w, CAST(b.c - bd.c AS BIGINT) AS c FROM bd JOIN b USING (v, w)),
+tri AS (SELECT doc_id, t, v, w, CAST(t3.c - td.c AS BIGINT) AS c FROM td JOIN t3 USING (t, v, w)),
+p AS (
+  SELECT x.doc_id, x.v, x.t, uo.c AS c1, vo.c AS c1v, bo.c AS c2, tv.c AS c2v, tri.c AS c3, total.n - size.n AS rest
+  FROM x CROSS JOIN total JOIN size ON size.doc_id = x.doc_id
+  JOIN uo ON uo.doc_id = x.doc_id AND uo.w = x.w
+  LEFT JOIN uo AS vo ON vo.doc_id = x.doc_id AND vo.w = x.v
+  LEFT JOIN bo ON bo.doc_id = x.doc_id AND bo.v = x.v AND bo.w = x.w
+  LEFT JOIN bo AS tv ON tv.doc_id = x.doc_id AND tv.v = x.t AND tv.w = x.v
+  LEFT JOIN tri ON tri.doc_id = x.doc_id AND tri.t = x.t AND tri.v = x.v AND tri.w = x.w),
+s1 AS (SELECT *, CASE WHEN c1 > 0 THEN c1 / rest ELSE 1.0::DOUBLE / (rest + 1) END AS one FROM p),
+s2 AS (SELECT *, CASE WHEN v IS NULL THEN one WHEN c2 > 0 THEN c2 / c1v ELSE 0.4::DOUBLE * one END AS two FROM s1),
+s3 AS (SELECT *, CASE WHEN t IS NULL THEN two WHEN c3 > 0 THEN c3 / c2v ELSE 0.4::DOUBLE * two END AS three FROM s2),
+s AS (SELECT doc_id, sum(log10(three)) AS score FROM s3 GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(score, 0), 6) AS log10_score,
+       round(CASE WHEN len(w) > 0 THEN score / len(w) END, 6) AS mean_log10
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
 OP10 = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 win AS (
@@ -204,5 +238,5 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
-ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op7_quality_rules": OP7, "op8_source_mix": OP8, "op9_warc": OP9,
+ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op5_trigram_scores": OP5_TRIGRAM, "op7_quality_rules": OP7, "op8_source_mix": OP8, "op9_warc": OP9,
            "op10_substring_dedup": OP10}

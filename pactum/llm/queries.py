@@ -32,13 +32,21 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = backoff_lm.backoff_scores(table(spark, sf_dir, "documents"))
+def _backoff(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
+    out = backoff_lm.backoff_scores(table(spark, sf_dir, "documents"), order=order)
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words",
                       F.round("score", 6).alias("log10_score"),
                       F.round(F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")), 6).alias("mean_log10"))
 
 
+def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _backoff(spark, sf_dir, 2)
+
+
+def op5_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _backoff(spark, sf_dir, 3)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_shingles", "component_id")
@@ -69,6 +77,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_main_text, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op6_jaccard_join, op7_quality_rules,
-    op8_source_mix, op9_warc, op10_substring_dedup)}
+    op1_url_filter, op2_main_text, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op5_trigram_scores,
+    op6_jaccard_join, op7_quality_rules, op8_source_mix, op9_warc, op10_substring_dedup)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
