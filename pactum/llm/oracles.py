@@ -238,5 +238,113 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
-ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op5_trigram_scores": OP5_TRIGRAM, "op7_quality_rules": OP7, "op8_source_mix": OP8, "op9_warc": OP9,
-           "op10_substring_dedup": OP10}
+
+def _crc32(x: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit (DuckDB has no such function)."""
+    bit = f"(ascii(substr({x}, CAST(i // 8 AS BIGINT) + 1, 1)) >> CAST(i % 8 AS INT)) & 1"
+    step = "xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)"
+    return (f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(8 * length({x})),"
+            f" lambda i: CAST({bit} AS BIGINT))), lambda c, b: {step}))")
+
+
+OP11 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r FROM conversations),
+own AS (SELECT c, list(x ORDER BY r) AS q, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM t GROUP BY c),
+whole AS (
+  SELECT own.c, list_concat(coalesce(d.q[1:own.h], []), own.q[own.h + 1:]) AS q
+  FROM own LEFT JOIN own d ON d.c = own.c - own.c % 5),
+node AS (
+  SELECT q[1:d] AS p, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(q) = d), '')) AS ends_sha256
+  FROM (SELECT c, q, unnest(range(0, len(q) + 1)) AS d FROM whole) GROUP BY ALL),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+one AS (
+  SELECT node.p, d, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf,
+         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(node.p[d].text) END AS saved
+  FROM node LEFT JOIN kids ON node.p = kids.p),
+up AS (
+  SELECT p[1:k] AS p, sum(leaf) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT p, leaf, saved, unnest(range(0, d + 1)) AS k FROM one) GROUP BY ALL)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(kids.n, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens,
+       node.ends_sha256
+FROM node JOIN up ON up.p = node.p LEFT JOIN kids ON kids.p = node.p
+LEFT JOIN node parent ON node.d > 0 AND parent.p = node.p[1:node.d - 1]
+"""
+
+# States: 0 nothing, 1 after s, 2 after u, 3 after a; a value is the cost in six digits and then the audit.
+OP13 = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS how
+  FROM conversations),
+hurt AS (
+  SELECT c, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE how <> 0),
+rows AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         lag(left(role, 1)) OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) || left(role, 1) AS two,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS solid FROM hurt),
+f AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                 WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM rows),
+moves(frm, role, dest) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+ins(frm, dest, n) AS (VALUES (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (1, 2, 1), (3, 2, 1), (2, 3, 1),
+                             (0, 3, 2), (1, 3, 2), (2, 2, 2), (3, 3, 2)),
+edit AS (
+  SELECT c, i, s.st AS frm, s.st AS dest, 4 AS cost, 'D' AS op FROM f, (VALUES (0), (1), (2), (3)) s(st)
+  UNION ALL
+  SELECT c, i, frm, dest, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, 'K'
+  FROM f JOIN moves ON left(f.role, 1) = moves.role WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT c, i, frm, dest, 3 + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, 'R'
+  FROM f, moves WHERE moves.role <> 's' AND fault NOT IN ('blank', 'duplicate')),
+step AS (
+  SELECT c, i, ins.frm, edit.dest, min(lpad(CAST(3 * n + cost AS VARCHAR), 6, '0') || repeat('I', n) || op) AS v
+  FROM edit JOIN ins ON ins.dest = edit.frm GROUP BY ALL),
+walk(c, i, st, v) AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT), 0, '000000' FROM f
+  UNION ALL
+  SELECT walk.c, step.i, step.dest,
+         min(lpad(CAST(CAST(left(walk.v, 6) AS INT) + CAST(left(step.v, 6) AS INT) AS VARCHAR), 6, '0')
+             || substr(walk.v, 7) || substr(step.v, 7))
+  FROM walk JOIN step ON step.c IS NOT DISTINCT FROM walk.c AND step.i = walk.i + 1 AND step.frm = walk.st
+  GROUP BY walk.c, step.i, step.dest),
+size AS (SELECT c, max(i) AS n FROM f GROUP BY c),
+best AS (
+  SELECT walk.c, min(lpad(CAST(CAST(left(v, 6) AS INT) + 3 * ins.n AS VARCHAR), 6, '0') || substr(v, 7) || repeat('I', ins.n)) AS v
+  FROM walk JOIN size ON size.c IS NOT DISTINCT FROM walk.c AND walk.i = size.n JOIN ins ON ins.frm = walk.st
+  WHERE ins.dest IN (0, 3) GROUP BY walk.c),
+audits AS (
+  SELECT c, CAST(left(v, 6) AS BIGINT) AS cost, substr(v, 7) AS audit,
+         length(replace(substr(v, 7), 'D', '')) % 2 AS with_system FROM best),
+ops AS (SELECT c, with_system, audit, unnest(range(1, length(audit) + 1)) AS k, substr(audit, k, 1) AS op FROM audits),
+placed AS (
+  SELECT c, with_system, k, op, length(replace(left(audit, k), 'I', '')) AS i,
+         length(replace(left(audit, k), 'D', '')) - 1 - with_system AS nr FROM ops),
+mended AS (
+  SELECT placed.c, sha256(string_agg(
+    CASE WHEN op = 'K' THEN f.role WHEN nr % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN op = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY k)) AS sha
+  FROM placed LEFT JOIN f ON f.c IS NOT DISTINCT FROM placed.c AND f.i = placed.i
+  WHERE op <> 'D' GROUP BY placed.c),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (two IS NOT NULL AND two NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY c)
+SELECT raw.c AS conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT c FROM raw) raw LEFT JOIN counts ON counts.c IS NOT DISTINCT FROM raw.c
+LEFT JOIN audits ON audits.c IS NOT DISTINCT FROM raw.c LEFT JOIN mended ON mended.c IS NOT DISTINCT FROM raw.c
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op5_backoff_scores": OP5, "op5_trigram_scores": OP5_TRIGRAM,
+           "op7_quality_rules": OP7, "op8_source_mix": OP8, "op9_warc": OP9, "op10_substring_dedup": OP10,
+           "op11_prefix_trie": OP11, "op13_structure_repair": OP13}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, quality, substring_dedup,
-                        url_filter, warc, wrapper)
+from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, prefix_trie, quality,
+                        structure_repair, substring_dedup, url_filter, warc, wrapper)
 from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
@@ -76,7 +76,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(turns))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair(structure_repair.damaged_rows(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_main_text, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op5_trigram_scores,
-    op6_jaccard_join, op7_quality_rules, op8_source_mix, op9_warc, op10_substring_dedup)}
+    op6_jaccard_join, op7_quality_rules, op8_source_mix, op9_warc, op10_substring_dedup,
+    op11_prefix_trie, op13_structure_repair)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
