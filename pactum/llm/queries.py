@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, prefix_trie, quality,
-                        structure_repair, substring_dedup, url_filter, warc, wrapper)
+from pactum.llm import (backoff_lm, decontaminate, jaccard_join, line_dedup, mixing, pii_crf, prefix_trie,
+                        quality, structure_repair, substring_dedup, url_filter, warc, wrapper)
 from pactum.llm.blocks import NULL_ID
 from pactum.llm.common import table
 from pactum.llm.oracles import ORACLES
@@ -81,6 +81,20 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(turns))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_crf.find_personal(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return out.select("doc_id", *[count(k) for k in pii_crf.KINDS],
+                      F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.repair(structure_repair.damaged_rows(table(spark, sf_dir, "conversations")))
 
@@ -88,5 +102,5 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_main_text, op3_decontaminate, op4_line_dedup, op5_backoff_scores, op5_trigram_scores,
     op6_jaccard_join, op7_quality_rules, op8_source_mix, op9_warc, op10_substring_dedup,
-    op11_prefix_trie, op13_structure_repair)}
+    op11_prefix_trie, op12_personal_data, op13_structure_repair)}
 ORACLE_SQL = {k: v for k, v in ORACLES.items() if k in QUERIES}
