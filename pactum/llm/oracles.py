@@ -98,7 +98,8 @@ FROM c
 
 OP8 = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, coalesce(text, '') AS t, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size
+  FROM documents),
 c AS (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS cls FROM d),
 s0 AS (SELECT source, sum(size) AS source_size FROM c GROUP BY source),
 s1 AS (
@@ -132,7 +133,7 @@ k AS (
          target - sum(CAST(floor(copies) AS INT) * cs) OVER (PARTITION BY source) AS need FROM k6),
 r AS (
   SELECT c.doc_id, c.source, c.size, k.source_size, k.target, k.certain, k.p, k.need,
-         (CAST(('0x' || substr(md5('7|' || coalesce(CAST(c.doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
+         (CAST(('0x' || substr(md5('7|' || coalesce(CAST(c.doc_id AS VARCHAR), '') || '|' || c.t), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
            / 4503599627370496.0::DOUBLE AS u
   FROM c JOIN k ON c.source IS NOT DISTINCT FROM k.source AND c.cls = k.cls),
 q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM r),
