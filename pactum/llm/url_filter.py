@@ -10,9 +10,11 @@ A node is the URL without scheme and fragment, so http/https and anchors of
 one address are one node.
 
 Nulls and edge cases: a null URL, or one without ``://``, has empty host and
-path, fits no rule and has no alias; links that cannot be resolved to a host
-are no edges; repeated rows get equal verdicts; an empty table gives an empty
-result.  Only the named columns are read.
+path, fits no rule and has no alias; links that cannot be resolved to an http
+address, or are longer than 65,536 characters, are no edges; a very long page
+is scanned once and only its link, meta and base tags are kept; repeated rows
+get equal verdicts; an empty table gives an empty result.  Only the named
+columns are read.
 """
 
 from __future__ import annotations
@@ -33,10 +35,11 @@ RULES = (
     ("org/fr/", "allow"),
 )
 
-CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH_URL = r"""(?i)\bcontent\s*=\s*["'][^"']*?\burl\s*=\s*([^"'>]+)"""
+# Elements whose content is no markup of the page, and the named character references that URLs need.
+UNSEEN = (r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|noscript|textarea|title|xmp|iframe)\b[^>]*>.*?"
+          r"(?:</\1\s*>|\z)")
+NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&colon;", ":"), ("&sol;", "/"), ("&amp;", "&"))
+LONGEST_LINK = 65_536
 
 
 def _rest(url: Column) -> Column:
@@ -59,31 +62,99 @@ def url_node(url: Column) -> Column:
     return F.when(F.length(host) > 0, F.concat(host, tail))
 
 
-def resolve(found: DataFrame) -> DataFrame:
-    """(src, dst) from rows (src, link): the absolute address each link names, where it names one."""
-    parts = found.select("src", url_host(F.col("src")).alias("host"), url_path(F.col("src")).alias("path"),
-                         F.btrim(F.replace("link", F.lit("&amp;"), F.lit("&"))).alias("link"))
-    parts = parts.where((F.length("link") > 0) & ~F.startswith(F.col("link"), F.lit("#")))
-    folder = F.regexp_extract("path", r"^(.*/)", 1)
-    parts = parts.withColumn("folder", F.when(F.length(folder) > 0, folder).otherwise(F.lit("/")))
-    site = F.concat(F.lit("http://"), F.col("host"))
-    dst = (F.when(F.locate("://", F.col("link")) > 0, F.col("link"))
-           .when(F.startswith(F.col("link"), F.lit("//")), F.concat(F.lit("http:"), F.col("link")))
-           .when(F.length("host") == 0, F.lit(None))
-           .when(F.startswith(F.col("link"), F.lit("/")), F.concat(site, F.col("link")))
-           .when(F.rlike("link", F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None))
-           .otherwise(F.concat(site, F.col("folder"), F.col("link"))))
-    return parts.select("src", dst.alias("dst")).where(F.col("dst").isNotNull())
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, quoted or not; empty if it is not there."""
+    found = rf"""(?i)(?<![\w-]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, found, i) for i in (1, 2, 3)])
+
+
+def decode_references(c: Column) -> Column:
+    """Numeric character references and those named references that occur in addresses."""
+    def put(text: Column, ref: Column) -> Column:
+        digits = F.regexp_replace(ref, r"[&#;xX]", "")
+        code = F.when(F.rlike(ref, F.lit("[xX]")), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.replace(text, ref, char)
+
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});?"), F.lit(0)))
+    # Longer references first, so that none is cut out of another that lacks its semicolon.
+    refs = F.array_sort(refs, lambda x, y: F.length(y) - F.length(x))
+    out = F.when(F.contains(c, F.lit("&#")), F.aggregate(refs, c, put)).otherwise(c)
+    for name, char in NAMED:
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    parts = F.split(F.regexp_replace(path, r"^/", ""), "/")
+    # A last segment of dots names a folder, so a slash stays behind it.
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    empty = F.array().cast("array<string>")
+    stack = F.aggregate(parts, empty, lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+    tidy = F.concat(F.lit("/"), F.array_join(stack, "/"))
+    return F.when(F.rlike(path, F.lit(r"(?:^|/)\.\.?(?:/|$)")), tidy).otherwise(path)
+
+
+def resolve(base: Column, link: Column) -> Column:
+    """The absolute address that ``link`` names on a page at ``base`` (RFC 3986, without fragment); null if none.
+
+    Only http and https addresses are named; a base without host resolves only absolute links.
+    """
+    link = F.btrim(link, F.lit(" \t\n\f\r"))
+    scheme = F.lower(F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    rest = F.regexp_replace(link, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    site = F.regexp_extract(rest, r"^(//[^/?#]*)", 1)
+    path = F.regexp_extract(rest, r"^(?://[^/?#]*)?([^?#]*)", 1)
+    query = F.regexp_extract(rest, r"^[^?#]*(\?[^#]*)", 1)
+    base_scheme = F.lower(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    base_site = F.concat(F.when(F.length(base_scheme) > 0, base_scheme).otherwise(F.lit("http")), F.lit("://"), url_host(base))
+    base_path = url_path(base)
+    base_query = F.regexp_extract(_rest(base), r"^[^?#]*(\?[^#]*)", 1)
+    folder = F.regexp_extract(base_path, r"^(.*/)", 1)
+    merged = F.concat(F.when(F.length(folder) > 0, folder).otherwise(F.lit("/")), path)
+    whole = F.concat(F.substring_index(base_site, ":", 1), F.lit(":"), site, _without_dots(path), query)
+    return (F.when((F.length(link) == 0) | (F.length(link) > LONGEST_LINK), None)
+            .when(scheme.isin("http", "https") & (F.length(site) > 2),
+                  F.concat(scheme, F.lit(":"), site, _without_dots(path), query))
+            .when(F.length(scheme) > 0, None)
+            .when(F.length(site) > 2, whole)
+            .when(F.length(url_host(base)) == 0, None)
+            .when(F.length(path) == 0, F.concat(base_site, base_path, F.when(F.length(query) > 0, query).otherwise(base_query)))
+            .when(F.startswith(path, F.lit("/")), F.concat(base_site, _without_dots(path), query))
+            .otherwise(F.concat(base_site, _without_dots(merged), query)))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst): canonical links and client redirects found in the pages."""
+    """(src, dst): canonical links and client redirects found in the pages' markup.
+
+    Comments and the content of scripts, styles and the like are no markup.
+    ``rel`` is a list of words; a ``base`` element moves what links start from.
+    """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    canonical = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), REFRESH_URL, 1)
-    found = pages.select(F.col(url_col).alias("src"), F.explode(F.array(canonical, refresh)).alias("link")) \
-        .where(F.length("link") > 0)
-    return resolve(found)
+    tags = pages.select(F.col(url_col).cast("string").alias("src"), F.regexp_replace(html, UNSEEN, " ").alias("h")) \
+        .where(F.col("src").isNotNull()).select(
+        "src", F.regexp_extract_all("h", F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0)).alias("tags")) \
+        .where(F.size("tags") > 0)
+
+    def canonical(tag: Column) -> Column:
+        words = F.split(F.lower(F.btrim(_attribute(tag, "rel"), F.lit(" \t\n\f\r"))), r"\s+")
+        return F.rlike(tag, F.lit(r"(?i)^<link\b")) & F.array_contains(words, "canonical")
+
+    def refresh(tag: Column) -> Column:
+        return F.rlike(tag, F.lit(r"(?i)^<meta\b")) & (F.lower(F.trim(_attribute(tag, "http-equiv"))) == "refresh")
+
+    found = F.concat(
+        F.transform(F.filter("tags", canonical), lambda t: decode_references(_attribute(t, "href"))),
+        F.transform(F.filter("tags", refresh), lambda t: F.regexp_extract(
+            decode_references(_attribute(t, "content")), r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1)))
+    home = F.get(F.filter("tags", lambda t: F.rlike(t, F.lit(r"(?is)^<base\b.*\bhref"))), F.lit(0))
+    links = tags.select("src", decode_references(_attribute(home, "href")).alias("home"), F.explode(found).alias("link"))
+    base = F.coalesce(resolve(F.col("src"), F.col("home")), F.col("src"))
+    links = links.select("src", "link", base.alias("base"))
+    return links.select("src", resolve(F.col("base"), F.col("link")).alias("dst")).where(F.col("dst").isNotNull())
 
 
 def explicit_verdicts(hosts_paths: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
