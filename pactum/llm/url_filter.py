@@ -134,8 +134,9 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     ``rel`` is a list of words; a ``base`` element moves what links start from.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    tags = pages.select(F.col(url_col).cast("string").alias("src"), F.regexp_replace(html, UNSEEN, " ").alias("h")) \
-        .where(F.col("src").isNotNull()).select(
+    # Markup without these words holds no such link; only the other pages are searched further.
+    told = pages.where(F.col(url_col).isNotNull() & F.rlike(html, F.lit("(?i)canonical|refresh")))
+    tags = told.select(F.col(url_col).cast("string").alias("src"), F.regexp_replace(html, UNSEEN, " ").alias("h")).select(
         "src", F.regexp_extract_all("h", F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0)).alias("tags")) \
         .where(F.size("tags") > 0)
 
