@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from pactum.operators.interval_join import overlap_counts
 from pactum.operators.intervals import max_concurrent, running_open_count
 from pactum.operators.profile import provider_profile
 from pactum.registry import register
@@ -52,14 +55,33 @@ FROM (SELECT DISTINCT documento_proveedor, day FROM (
 """)
 
 
+@register("running_open_count", _OPEN_SQL)
 def q_open_counts(spark, sf):
     """Open contracts on every start / day-after-end of each provider (sweep form)."""
     return running_open_count(clean(spark, sf), "documento_proveedor",
                               "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato")
 
 
-register("interval_overlap_join", _OPEN_SQL)(q_open_counts)
-register("running_open_count", _OPEN_SQL)(q_open_counts)
+# probe dates that no contract brings about by itself: the 15th of every month in which a provider signed, and the
+# same day half a year later
+_PROBES_CTE = """probes AS (
+  SELECT DISTINCT documento_proveedor, CAST(date_trunc('month', fecha_de_firma) AS DATE) + 14 + k AS probe
+  FROM clean, (VALUES (0), (183)) v(k))"""
+
+
+@register("interval_overlap_join", with_clean("""
+SELECT p.documento_proveedor, p.probe, count(c.index) AS n_open
+FROM probes p LEFT JOIN clean c ON c.documento_proveedor = p.documento_proveedor
+  AND c.fecha_de_inicio_del_contrato <= p.probe AND c.fecha_de_fin_del_contrato >= p.probe
+GROUP BY 1, 2""", _PROBES_CTE))
+def q_interval_overlap(spark, sf):
+    """Open contracts of each provider on given probe dates (dyadic index, equality joins)."""
+    c = clean(spark, sf)
+    middle = F.date_add(F.trunc("fecha_de_firma", "MM"), 14)
+    probes = c.select("documento_proveedor", F.explode(F.array(middle, F.date_add(middle, 183))).alias("probe"))
+    return overlap_counts(c, probes, "documento_proveedor", "fecha_de_inicio_del_contrato",
+                          "fecha_de_fin_del_contrato", "probe")
+
 
 # ---------------------------------------------------------------- provider_profile
 PROFILE_CTES = (MO_CTE, """prof AS (
