@@ -12,7 +12,7 @@ from pactum.registry.common import clean, clean_plan, eco, raw, table
 from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import ECO_CTE, with_clean, with_raw
 from pactum.session import scratch_path
-from pactum.sources import files, ingest, ledger as L
+from pactum.sources import files, ingest, ledger as L, paged
 from pactum.sources.fixtures import ECONOMY_VALUE_COLUMNS
 from pactum.streaming.incremental import incremental_load, land_by_partition
 
@@ -159,10 +159,28 @@ def landed_schema(spark, sf):
     return raw(spark, sf).schema
 
 
+def landed_by_key(spark, sf):
+    path = scratch_path(spark, "keyed_pages")
+    paged.land_keyed_pages(raw(spark, sf), path, KEY)
+    return path
+
+
 @register("ingest_pages", with_raw(f"SELECT {_CONFORMED} FROM v WHERE {KEY} IN {_BATCH_KEYS}"))
 def q_ingest(spark, sf):
-    schema, path = landed(spark, sf)
-    return ingest.ingest_pages(spark, path, schema, _batch_keys(spark, sf), KEY)
+    """The paged source: only the pages of the next batch of keys are opened."""
+    keys = [r["key"] for r in _batch_keys(spark, sf).collect()]   # bounded: BATCH keys
+    return paged.read_pages(spark, landed_by_key(spark, sf), landed_schema(spark, sf), KEY, keys)
+
+
+@register("ingest_pages_stream", with_raw(f"SELECT {_CONFORMED} FROM v WHERE {KEY} IS NOT NULL"))
+def q_ingest_stream(spark, sf):
+    """The same source as a stream that takes every landed page once."""
+    out = scratch_path(spark, "streamed_pages")
+    stream = paged.stream_pages(spark, landed_by_key(spark, sf), landed_schema(spark, sf), KEY)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "pages_ckpt")) \
+        .trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 _NEXT_KEYS = f"(SELECT key FROM (SELECT DISTINCT {KEY} AS key FROM v) ORDER BY key LIMIT {BATCH} OFFSET {BATCH})"
