@@ -13,6 +13,7 @@ from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import ECO_CTE, with_clean, with_raw
 from pactum.session import scratch_path
 from pactum.sources import files, ingest, ledger as L, paged
+from pactum.sources.snapshots import SnapshotTable
 from pactum.sources.fixtures import ECONOMY_VALUE_COLUMNS
 from pactum.streaming.incremental import incremental_load, land_by_partition
 
@@ -48,6 +49,23 @@ def q_write_partitioned(spark, sf):
     return files.scan_parquet(spark, path, schema=r.schema)
 
 
+@register("write_snapshots", with_raw(
+    f"SELECT * REPLACE (CASE WHEN {KEY} IN {_BATCH_KEYS} THEN 'actualizado' ELSE estado_contrato END "
+    "AS estado_contrato) FROM v"))
+def q_write_snapshots(spark, sf):
+    """The same overwrite as commits of a snapshot table, with a replay and a compaction."""
+    r = raw(spark, sf)
+    target = SnapshotTable(spark, scratch_path(spark, "snapshots"), KEY)
+    target.append(r, ["first extraction"])
+    keys = L.pick_batch(L.discover_keys(r, KEY), BATCH)
+    batch = r.join(keys.select(F.col("key").alias(KEY)), KEY, "left_semi") \
+        .withColumn("estado_contrato", F.lit("actualizado")).select(*r.columns)
+    target.append(batch, ["second extraction"], replace_keys=True)
+    target.append(batch, ["second extraction"])   # a replay adds nothing
+    target.compact()
+    return target.read()
+
+
 @register("write_parquet", with_clean("SELECT * FROM profile", *PROFILE_CTES))
 def q_write_parquet(spark, sf):
     path = scratch_path(spark, "profile")
