@@ -26,7 +26,10 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import ArrayType
+
 from pactum.functions.text import tfidf_tokens
+from pactum.operators.coded import lookup, lookup_vectors
 from pactum.operators.indexing import dense_index
 
 # ------------------------------------------------------------------ one-hot
@@ -215,19 +218,14 @@ def vocabulary_from_frequency(words: DataFrame, k: int, word_col: str = "word",
 
 def vectorize_tokens(df: DataFrame, id_col: str, text_col: str, emb: DataFrame,
                      token_col: str = "word", vec_col: str = "vec", out: str = "seq") -> DataFrame:
-    """Words -> vectors by an equi-join on the embedding table; unknown words dropped;
-    order kept (``posexplode`` + ``array_sort`` of (pos, vec)); no known word -> empty.
+    """(id, out): the values of the text's known words in order; unknown words dropped, no known word -> empty.
 
-    Both sides are joined by word; AQE broadcasts the embedding table where it
-    is small at run time.
+    Words meet the embedding table once per block of texts (``coded.py``).
     """
-    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ", -1)).alias("pos", token_col))
-    # merge hint: the planner's estimate of an exploded token stream is far too small, and would broadcast the tokens
-    hit = toks.hint("merge").join(emb.select(token_col, vec_col), token_col, "inner")
-    seqs = hit.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", vec_col))).alias("__s"))
-    seqs = seqs.select(id_col, F.transform("__s", lambda s: s[vec_col]).alias(out))
-    empty = F.array().cast(seqs.schema[out].dataType)
-    return df.select(id_col).join(seqs, id_col, "left").withColumn(out, F.coalesce(F.col(out), empty))
+    source = df.select(id_col, text_col)
+    if isinstance(emb.schema[vec_col].dataType, ArrayType):
+        return lookup_vectors(source, text_col, emb, token_col, vec_col, out)
+    return lookup(source, text_col, emb, token_col, vec_col, out)
 
 
 def pad_sequences(df: DataFrame, col: str, dim: int) -> DataFrame:

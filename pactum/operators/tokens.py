@@ -2,7 +2,7 @@
 
 No lemmatiser library is used: the lemma step is an equi-join on a
 ``(word, lemma)`` table supplied by the user (unknown words stay as they
-are), re-assembled in token order per document.
+are), which meets the texts in dictionary-coded blocks.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pactum.operators.coded import lookup
 
 
 def lemma_table_from_vocabulary(words: DataFrame, word_col: str = "word") -> DataFrame:
@@ -25,11 +26,6 @@ def lemma_table_from_vocabulary(words: DataFrame, word_col: str = "word") -> Dat
     return plural.join(w.select(F.col("word").alias("lemma")), "lemma", "inner").select("word", "lemma")
 
 
-def lemmatize_text(df: DataFrame, text_col: str, lemmas: DataFrame, id_col: str = "index") -> DataFrame:
-    """Replace every single-space token of ``text_col`` by its lemma (if any), order kept."""
-    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ", -1)).alias("__pos", "__w"))
-    lem = lemmas.select(F.col("word").alias("__w"), F.col("lemma").alias("__l"))
-    mapped = toks.join(lem, "__w", "left").select(id_col, "__pos", F.coalesce("__l", "__w").alias("__t"))
-    texts = mapped.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__pos", "__t"))).alias("__s"))
-    texts = texts.select(id_col, F.array_join(F.transform("__s", lambda s: s["__t"]), " ").alias("__txt"))
-    return df.join(texts, id_col, "left").withColumn(text_col, F.coalesce("__txt", F.lit(""))).drop("__txt")
+def lemmatize_text(df: DataFrame, text_col: str, lemmas: DataFrame) -> DataFrame:
+    """Replace every single-space token of ``text_col`` by its lemma (if any), order kept; null -> ``""``."""
+    return lookup(df, text_col, lemmas, "word", "lemma", text_col, replace=True).select(*df.columns)
