@@ -36,16 +36,17 @@ SMALL_TABLE_BYTES = 4 << 20
 ROWS = 1000  # texts coded at once
 
 
-def _tokens(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+def split_tokens(texts: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     """(tokens, offsets): the single-space split of every text, null texts as no token."""
-    lists = pc.split_pattern(texts.combine_chunks().cast(pa.string()), " ")
+    whole = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    lists = pc.split_pattern(whole.cast(pa.string()), " ")
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     return pc.list_flatten(lists), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
 
 def _known_values(left: pa.Table, right: pa.Table, text_col: str) -> pa.Array:
     """Per text the values of its known words, in order."""
-    tokens, offsets = _tokens(left.column(text_col))
+    tokens, offsets = split_tokens(left.column(text_col))
     at = pc.index_in(tokens, value_set=right.column("__word").combine_chunks().cast(pa.string()))
     known = at.is_valid().to_numpy(zero_copy_only=False)
     kept = np.concatenate([[0], np.cumsum(known, dtype=np.int64)])[offsets]
@@ -55,7 +56,7 @@ def _known_values(left: pa.Table, right: pa.Table, text_col: str) -> pa.Array:
 
 def _replaced_words(left: pa.Table, right: pa.Table, text_col: str) -> pa.Array:
     """Per text its words, those of the dictionary replaced, joined by single spaces."""
-    tokens, offsets = _tokens(left.column(text_col))
+    tokens, offsets = split_tokens(left.column(text_col))
     at = pc.index_in(tokens, value_set=right.column("__word").combine_chunks().cast(pa.string()))
     other = right.column("__value").combine_chunks().cast(pa.string()).take(at)
     words = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pc.if_else(at.is_valid(), other, tokens))

@@ -6,7 +6,7 @@ Design notes
   held on the driver like any fitted ML model.  Rows never are.
 * TF-IDF follows the classic smooth-idf definition (``ln((1+n)/(1+df)) + 1``,
   raw term counts, L2 row norm, vocabulary = N most frequent terms); the
-  long form (doc, term, weight) is plain DataFrame code, the vector form uses
+  long form (doc, term, weight) is made row by row in Arrow, the vector form uses
   Spark ML's ``CountVectorizerModel`` + ``ElementwiseProduct`` + ``Normalizer``
   (JVM side, sparse).
 * Scaling uses the population standard deviation; a constant column scales to 0.
@@ -18,18 +18,21 @@ Design notes
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from pactum.functions.text import tfidf_tokens
-from pactum.operators.coded import lookup, lookup_vectors
+from pactum.operators.coded import lookup, lookup_vectors, split_tokens
 from pactum.operators.indexing import dense_index
 
 # ------------------------------------------------------------------ one-hot
@@ -84,40 +87,62 @@ def group_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.7, 0.15
 
 # ------------------------------------------------------------------ TF-IDF
 
-def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(term, total, df): occurrences and documents per term.
+def term_totals(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, total): occurrences per term; the only shuffle is by term, after partial aggregation."""
+    return docs.select(F.explode(tfidf_tokens(text_col)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
 
-    A document's tokens are sorted inside its row, so the first of each term
-    marks a document; the only shuffle is by term, after partial aggregation.
-    """
-    def marked(tokens: Column) -> Column:
-        return F.transform(tokens, lambda t, i: F.struct(
-            t.alias("term"), F.when(F.get(tokens, i - 1) == t, 0).otherwise(1).alias("first")))
 
-    # the one-element array binds the sorted tokens, so they are sorted once per row
-    pairs = F.flatten(F.transform(F.array(F.array_sort(tfidf_tokens(text_col))), marked))
-    return docs.select(F.explode(pairs).alias("t")).groupBy("t.term").agg(
-        F.count(F.lit(1)).alias("total"), F.sum("t.first").alias("df"))
+def document_counts(docs: DataFrame, text_col: str, terms: Sequence[str]) -> DataFrame:
+    """(term, df): documents that hold each of the given terms (a bounded list, as a vocabulary is)."""
+    held = F.array_distinct(F.filter(tfidf_tokens(text_col), lambda t: t.isin(list(terms))))
+    return docs.select(F.explode(held).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_terms: int) -> DataFrame:
-    """Vocabulary table (term, df, idf, col) fitted on ``docs``; col = alphabetical position."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    top = term_counts(docs, text_col).orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
-    idf = F.ln((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
-    w = Window.orderBy("term")   # over at most n_terms rows
-    return top.select("term", "df", idf.alias("idf"), (F.row_number().over(w) - 1).cast("long").alias("col"))
+    """Vocabulary table (term, df, idf, col) fitted on ``docs``; col = alphabetical position.
+
+    The terms are picked by their totals first; only theirs are then counted by
+    document.  The result is fitted once: ``n_terms`` rows, held like any model.
+    """
+    spark, columns = docs.sparkSession, "term string, df long, idf double, col long"
+    top = term_totals(docs, text_col).orderBy(F.col("total").desc(), F.col("term")).limit(n_terms)
+    terms = sorted(r["term"] for r in top.collect())   # bounded: n_terms rows
+    if not terms:
+        return spark.createDataFrame([], columns)
+    held = {r["term"]: r["df"] for r in document_counts(docs, text_col, terms).collect()}   # bounded: n_terms rows
+    n_docs = docs.count()
+    return spark.createDataFrame([(t, held[t], math.log((1 + n_docs) / (1 + held[t])) + 1.0, i)
+                                  for i, t in enumerate(terms)], columns)
 
 
 def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Long form (id, term, col, weight): the non-zero entries of ``tfidf_vectors``, exploded row by row."""
-    terms = [r["term"] for r in vocab.orderBy("col").select("term").collect()]   # bounded: n_terms rows
-    if not terms:
-        return docs.select(id_col, F.lit("").alias("term"), F.lit(0).alias("col"), F.lit(0.0).alias("weight")).limit(0)
-    vec = tfidf_vectors(docs.select(id_col, text_col), vocab, text_col, out="__v")
-    rows = vec.select(id_col, F.posexplode(vector_to_array("__v")).alias("col", "weight")).filter(F.col("weight") != 0)
-    names = F.array(*[F.lit(t) for t in terms])
-    return rows.select(id_col, F.get(names, F.col("col")).alias("term"), F.col("col").cast("long").alias("col"), "weight")
+    """Long form (id, term, col, weight): the non-zero entries of the documents' L2-normed vectors.
+
+    A row's tokens are looked up, counted and weighted inside the row (Arrow, NumPy); only non-zero entries ever exist.
+    """
+    rows = vocab.orderBy("col").select("term", "idf").collect()   # bounded: n_terms rows
+    kind = docs.schema[id_col].dataType
+    schema = StructType([StructField(id_col, kind), StructField("term", StringType()), StructField("col", LongType()),
+                         StructField("weight", DoubleType())])
+    if not rows:
+        return docs.sparkSession.createDataFrame([], schema)
+    terms, idf = pa.array([r["term"] for r in rows], pa.string()), np.array([r["idf"] for r in rows])
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, offsets = split_tokens(b.column(1))
+            code = pc.index_in(words, value_set=terms)
+            known = code.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), np.diff(offsets))[known]
+            place, tf = np.unique(row * len(idf) + code.drop_null().to_numpy(), return_counts=True)
+            row, col = np.divmod(place, len(idf))
+            weight = tf * idf[col]
+            weight /= np.sqrt(np.bincount(row, weight * weight, b.num_rows))[row]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), terms.take(pa.array(col)), pa.array(col, pa.int64()),
+                                              pa.array(weight)], schema.names)
+
+    joined = docs.select(id_col, F.array_join(tfidf_tokens(text_col), " ").alias("__t"))
+    return joined.mapInArrow(entries, schema)
 
 
 def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str, n_terms: int):
