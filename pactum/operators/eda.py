@@ -8,12 +8,13 @@ single-partition windows over raw rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactum.operators.indexing import exact_quantiles_multi
+from pactum.operators.quantiles import Rank, exact_order_statistics, interpolated, numbers, positions, summary
 
 
 def group_count(df: DataFrame, *cols: str, out: str = "n") -> DataFrame:
@@ -50,20 +51,42 @@ def null_fraction(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return long.filter(F.col("null_fraction") > 0)
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, count, mean, std, min, q25, q50, q75, max): pandas ``describe`` with exact quartiles.
+    """(column, count, mean, std, min, q25, q50, q75, max): pandas ``describe`` with exact quartiles, in two scans.
 
-    Moments of every column come from one aggregate pass (unpivoted), the
-    quartiles of every column from one shared distributed sort.
+    NaN counts as missing, like null.  A column without values has count 0 and
+    nulls, a single value no std; with infinities mean, std and the quartiles
+    next to them are what IEEE arithmetic makes of them.
+    """
+    x = numbers(df, cols)
+    first = summary(x, cols, QUARTILES, lambda c: (
+        F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")))
+    stats = exact_order_statistics(x, first, cols, QUARTILES)
+    rows = []
+    for c in cols:
+        m, n = first[c], first[c]["count"]
+        around = [positions(n, p) for p in QUARTILES] if n else []
+        quartiles = [interpolated(stats[Rank(c, lo)], stats[Rank(c, hi)], way) for lo, hi, way in around] or [None] * 3
+        rows.append((c, n, m["mean"], m["std"], m["min"], *quartiles, m["max"]))
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, "
+                                                 "q25 double, q50 double, q75 double, max double")
+
+
+def automatic_bins(df: DataFrame, col: str) -> int:
+    """Bins of ``col`` by the larger of two rules: Sturges (log2 n + 1) and Freedman-Diaconis (2 IQR / n^(1/3) wide).
+
+    1 for an empty or a constant column, and where the range is not finite.
     """
-    moments = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                                F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-                                F.max(F.col(c).cast("double")).alias("max")).alias(c) for c in cols])
-    long = moments.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("m"))
-                                              for c in cols])).alias("r")).select("r.column", "r.m.*")
-    q = exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75)).groupBy("column") \
-        .pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF("column", "q25", "q50", "q75")
-    return long.join(q, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    d = describe_table(df, [col]).first()
+    span = d["max"] - d["min"] if d["count"] else 0.0
+    if not span or not math.isfinite(span):
+        return 1
+    sturges = span / (math.log2(d["count"]) + 1)
+    diaconis = 2 * (d["q75"] - d["q25"]) / d["count"] ** (1 / 3)
+    return math.ceil(span / (min(sturges, diaconis) if diaconis > 0 else sturges))
 
 
 def global_min_max(df: DataFrame, col: str) -> DataFrame:
@@ -101,14 +124,16 @@ def _bin_grid(keys: DataFrame, bins: int) -> DataFrame:
     return keys.select(*keys.columns, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
 
 
-def histogram(df: DataFrame, col: str, bins: int, *, group: str | None = None,
+def histogram(df: DataFrame, col: str, bins: int | None = None, *, group: str | None = None,
               lo: float | None = None, hi: float | None = None, density_by_group: bool = False) -> DataFrame:
     """Equal-width histogram; one bin grid shared by every group.
 
     Output: ``[group,] bin, bin_lo, bin_hi, n`` and, with ``density_by_group``,
     ``probability`` = n / rows of the group (seaborn ``common_norm=False``).
-    Bounds default to the min/max of ``col`` (scalar subqueries).
+    Bounds default to the min/max of ``col`` (scalar subqueries), the number of
+    bins to ``automatic_bins``.
     """
+    bins = bins or automatic_bins(df, col)
     x = F.col(col).cast("double")
     vals = df.filter(x.isNotNull())
     lo_c = F.lit(float(lo)) if lo is not None else vals.select(F.min(x)).scalar()

@@ -253,12 +253,32 @@ def vectorize_tokens(df: DataFrame, id_col: str, text_col: str, emb: DataFrame,
     return lookup(source, text_col, emb, token_col, vec_col, out)
 
 
-def pad_sequences(df: DataFrame, col: str, dim: int) -> DataFrame:
-    """Zero-pad every sequence to the longest one (max length as a scalar subquery)."""
-    longest = df.select(F.max(F.size(col))).scalar()
+def length_batches(df: DataFrame, id_col: str, seq_col: str, batch_rows: int) -> DataFrame:
+    """(id, batch, n_steps): rows in order of their length, ``batch_rows`` to a batch; n_steps = the batch's longest.
+
+    Rows of like length share a batch, so padding a batch to its longest adds
+    little.  Only ids and lengths are ranked (range partitions); a batch's
+    longest row is the one of its last rank.
+    """
+    sizes = df.select(F.col(id_col).alias("__id"), F.size(seq_col).alias("__size"))
+    ranked = dense_index(sizes, ["__size", "__id"], out="__rank")
+    batch = F.floor(F.col("__rank") / F.lit(batch_rows))
+    longest = ranked.groupBy(batch.alias("__b")).agg(F.max("__size").alias("n_steps"))
+    # merge hint: one row per batch, a table that grows with the data
+    return ranked.withColumn("batch", batch).join(longest.hint("merge"), F.col("batch") == F.col("__b")).select(
+        "__id", "batch", "n_steps")
+
+
+def pad_sequences(df: DataFrame, id_col: str, col: str, dim: int, batch_rows: int = 256) -> DataFrame:
+    """Zero-pad every sequence to the longest of its batch; adds ``batch``.  ``id_col`` is unique.
+
+    Batches are of like length (``length_batches``), so one long row pads its own batch and no other.
+    """
     zero = F.array_repeat(F.lit(0.0).cast(df.schema[col].dataType.elementType.elementType), dim)
-    pad = F.array_repeat(zero, (longest - F.size(col)).cast("int"))
-    return df.withColumn(col, F.concat(F.col(col), pad))
+    dealt = length_batches(df, id_col, col, batch_rows).hint("merge")
+    pad = F.array_repeat(zero, F.col("n_steps") - F.size(col))
+    return df.join(dealt, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn(col, F.concat(F.col(col), pad)).drop(
+        "__id", "n_steps")
 
 
 def sequence_with_static(df: DataFrame, seq_col: str, static_cols: Sequence[str]) -> DataFrame:

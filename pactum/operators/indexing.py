@@ -1,4 +1,4 @@
-"""Dense row numbering and exact quantiles without a single-partition window.
+"""Dense row numbering without a single-partition window.
 
 ``dense_index`` gives 0..n-1 in a sort order.  A global ``row_number()``
 window would pull every row into one task; instead the frame is range
@@ -53,78 +53,3 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], out: str = "index"
         .withColumn(out, (F.col("__off") + F.col("__pos")).cast("bigint"))
         .drop("__pid", "__pos", "__off")
     )
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """(p, value): linear-interpolation quantiles (numpy/pandas/DuckDB ``quantile_cont``).
-
-    One count job, one distributed sort; only the two order statistics around
-    each requested position are kept, then interpolated.
-    """
-    # a unique tie-break spreads a hot value over many range partitions
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()) \
-        .withColumn("__t", F.monotonically_increasing_id())
-    n = vals.count()
-    spark = df.sparkSession
-    if n == 0:
-        return spark.createDataFrame([(float(p), None) for p in probs], "p double, value double")
-    pos = []
-    for p in probs:
-        h = p * (n - 1)
-        lo = int(h // 1)
-        hi = min(lo + 1, n - 1)
-        pos.append((float(p), lo, hi, float(h - lo)))
-    want = spark.createDataFrame(pos, "p double, lo long, hi long, frac double")
-    idx = dense_index(vals, ["x", "__t"], out="i")
-    needed = sorted({i for _, lo, hi, _ in pos for i in (lo, hi)})
-    picked = idx.filter(F.col("i").isin(needed))
-    lo_v = picked.select(F.col("i").alias("lo"), F.col("x").alias("x_lo"))
-    hi_v = picked.select(F.col("i").alias("hi"), F.col("x").alias("x_hi"))
-    return (
-        want.join(lo_v, "lo").join(hi_v, "hi")
-        .select("p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
-    )
-
-
-BINS = 1024
-
-
-def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(column, p, value) for several columns without sorting or shuffling any value.
-
-    Each wanted order statistic lies in an interval, at first the column's
-    range.  One aggregate counts the values of all intervals in equal-width
-    bins; each interval shrinks to the least and greatest value of the bin that
-    holds its rank, until the two agree.  Only bin counts leave the tasks.
-    """
-    spark = df.sparkSession
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    seen = x.agg(*[f for c in cols for f in (F.count(c), F.min(c), F.max(c))]).first()
-    want, open_ = [], {}     # open_: (column, rank) -> [low, high, values below low]
-    for i, c in enumerate(cols):
-        n, low, high = seen[3 * i:3 * i + 3]
-        for p in probs if n else ():
-            at = p * (n - 1)
-            lo = int(at // 1)
-            hi = min(lo + 1, n - 1)
-            want.append((c, float(p), lo, hi, at - lo))
-            open_.update({(c, k): [low, high, 0] for k in (lo, hi)})
-    while any(low < high for low, high, _ in open_.values()):
-        spans = sorted({(c, low, high) for (c, _), (low, high, _) in open_.items() if low < high})
-        hits = F.filter(F.array(*[F.when(F.col(c).between(low, high), F.struct(
-            F.lit(i).alias("i"), F.col(c).alias("x"),
-            F.least(F.floor((F.col(c) - low) / (high - low) * BINS), F.lit(BINS - 1)).alias("b")))
-            for i, (c, low, high) in enumerate(spans)]), lambda h: h.isNotNull())
-        rows = x.select(F.explode(hits).alias("h")).groupBy("h.i", "h.b").agg(
-            F.count(F.lit(1)).alias("n"), F.min("h.x").alias("low"), F.max("h.x").alias("high")).collect()
-        bins = {}
-        for r in sorted(rows, key=lambda r: (r["i"], r["b"])):
-            bins.setdefault(spans[r["i"]], []).append(r)
-        for (c, k), (low, high, below) in list(open_.items()):
-            for r in bins.get((c, low, high), ()) if low < high else ():
-                if k < below + r["n"]:
-                    open_[c, k] = [r["low"], r["high"], below]
-                    break
-                below += r["n"]
-    out = [(c, p, open_[c, lo][0] + (open_[c, hi][0] - open_[c, lo][0]) * f) for c, p, lo, hi, f in want]
-    return spark.createDataFrame(out, "column string, p double, value double")

@@ -21,6 +21,17 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
+    """Rows whose key falls under the threshold: ``md5(key # seed)``, read as a number in [0, 1), is below ``fraction``.
+
+    The choice is the key's alone, so it does not depend on partitions, order
+    or engine, a larger fraction holds every smaller one, and all rows of one
+    key stay together.  A null key is the empty text.
+    """
+    digits = F.substring(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}")).cast("binary")), 1, 12)
+    return df.filter(F.conv(digits, 16, 10).cast("double") / F.lit(float(16 ** 12)) < F.lit(float(fraction)))
+
+
 def fraction_by_order(df: DataFrame, order: Sequence[str], fraction: float,
                       from_top: bool = False) -> DataFrame:
     """The first ``floor(fraction * n)`` rows in ascending ``order`` (the last, ``from_top``).

@@ -160,8 +160,20 @@ register("histogram_by_group", _hist_sql("log_valor_del_contrato", 20, group="mo
 register("histogram_probability_by_group",
          _hist_sql("duration_days", 15, group="tipodocproveedor", prob=True))(
     lambda spark, sf: _hist(spark, sf, "duration_days", 15, group="tipodocproveedor", prob=True))
-register("histogram_filtered", _hist_sql("dias_adicionados", 10, where="dias_adicionados > 0"))(
-    lambda spark, sf: _hist(spark, sf, "dias_adicionados", 10, where=F.col("dias_adicionados") > 0))
+# the larger of Sturges' and Freedman and Diaconis' number of bins, from exact quartiles
+_AUTO_SQL = with_clean("""
+SELECT CAST(g.bin AS INTEGER) AS bin, coalesce(h.n, 0) AS n, round(b.lo + (g.bin - 1) * ((b.hi - b.lo) / b.bins), 6) AS bin_lo,
+       round(b.lo + g.bin * ((b.hi - b.lo) / b.bins), 6) AS bin_hi
+FROM b CROSS JOIN (SELECT unnest(range(1, b.bins + 1)) AS bin FROM b) g LEFT JOIN h ON h.bin = g.bin""",
+    "src AS (SELECT CAST(dias_adicionados AS DOUBLE) AS x FROM clean WHERE dias_adicionados > 0)",
+    """s AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM src)""",
+    """b AS (SELECT lo, hi, CASE WHEN hi = lo THEN 1 ELSE CAST(ceil((hi - lo) / CASE WHEN iqr > 0
+                THEN least((hi - lo) / (log2(n) + 1), 2 * iqr / pow(n, 1.0 / 3)) ELSE (hi - lo) / (log2(n) + 1) END) AS BIGINT) END
+              AS bins FROM s WHERE n > 0)""",
+    """h AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 1 ELSE least(floor((x - b.lo) / ((b.hi - b.lo) / b.bins)) + 1, b.bins) END
+              AS INTEGER) AS bin, count(*) AS n FROM src, b GROUP BY 1)""")
+register("histogram_filtered", _AUTO_SQL)(
+    lambda spark, sf: _hist(spark, sf, "dias_adicionados", None, where=F.col("dias_adicionados") > 0))
 
 
 # flattened word lists of all contracts: every occurrence is a row before it is counted

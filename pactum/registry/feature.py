@@ -120,36 +120,65 @@ register("token_embedding_join", with_clean(
     "SELECT c.index, coalesce(seq.ids, []) AS ids FROM clean c LEFT JOIN seq USING (index)", *_EMB_CTES))(
     lambda spark, sf: _sequences(spark, sf, "vec_id").withColumnRenamed("seq", "ids"))
 
-register("vectorize_tokens", with_clean("""
-SELECT c.index, CAST(coalesce(len(seq.vecs), 0) AS INTEGER) AS n_steps,
-       round(coalesce(list_sum(list_transform(seq.vecs, lambda v: CAST(v[1] AS DOUBLE))), 0.0), 4) AS first_dim_sum
+# every entry counts: the sum of all of them, and a sum that weighs steps and dimensions by their places
+_SUMS_SQL = """round(coalesce(list_sum(list_transform({v}, lambda v: list_sum(list_transform(v, lambda x: CAST(x AS DOUBLE))))), 0.0), 3)
+         AS total,
+       round(coalesce(list_sum(list_transform({v}, lambda v, i: i * list_sum(list_transform(v,
+         lambda x, j: j * CAST(x AS DOUBLE))))), 0.0) / 1000, 3) AS by_place"""
+
+
+def _sums(col):
+    def dims(v, weigh):
+        each = F.transform(v, lambda x, j: x.cast("double") * (j + 1)) if weigh else F.transform(v, lambda x: x.cast("double"))
+        return F.aggregate(each, F.lit(0.0), lambda acc, x: acc + x)
+
+    def over(steps):
+        return F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + x)
+
+    return [F.round(over(F.transform(col, lambda v: dims(v, False))), 3).alias("total"),
+            F.round(over(F.transform(col, lambda v, i: (i + 1) * dims(v, True))) / 1000, 3).alias("by_place")]
+
+
+register("vectorize_tokens", with_clean(f"""
+SELECT c.index, CAST(coalesce(len(seq.vecs), 0) AS INTEGER) AS n_steps, {_SUMS_SQL.format(v="seq.vecs")}
 FROM clean c LEFT JOIN seq USING (index)""", *_EMB_CTES))(
-    lambda spark, sf: _sequences(spark, sf, "vec").select(
-        "index", F.size("seq").alias("n_steps"),
-        F.round(F.aggregate("seq", F.lit(0.0), lambda acc, v: acc + v[0].cast("double")), 4).alias("first_dim_sum")))
+    lambda spark, sf: _sequences(spark, sf, "vec").select("index", F.size("seq").alias("n_steps"), *_sums("seq")))
 
 
-@register("pad_sequences", with_clean("""
-SELECT c.index, CAST((SELECT max(len(vecs)) FROM seq) AS INTEGER) AS n_steps,
-       CAST((SELECT max(len(vecs)) FROM seq) - coalesce(len(seq.vecs), 0) AS INTEGER) AS n_padding
-FROM clean c LEFT JOIN seq USING (index)""", *_EMB_CTES))
+
+def _entry_sum(col, place):
+    """Sum over the steps of the entry at one place (from the end, where negative)."""
+    return F.aggregate(F.transform(col, lambda v: F.element_at(v, place).cast("double")), F.lit(0.0), lambda acc, x: acc + x)
+
+
+PAD_ROWS = 256
+
+
+@register("pad_sequences", with_clean(f"""
+SELECT index, batch, CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS n_steps,
+       CAST(max(n) OVER (PARTITION BY batch) - n AS INTEGER) AS n_padding, 64 AS width, {_SUMS_SQL.format(v="vecs")}
+FROM (SELECT c.index, coalesce(len(seq.vecs), 0) AS n, seq.vecs,
+             (row_number() OVER (ORDER BY coalesce(len(seq.vecs), 0), c.index) - 1) // {PAD_ROWS} AS batch
+      FROM clean c LEFT JOIN seq USING (index))""", *_EMB_CTES))
 def q_pad(spark, sf):
     seqs = _sequences(spark, sf, "vec").withColumn("orig", F.size("seq"))
-    padded = Fe.pad_sequences(seqs, "seq", 64)
-    return padded.select("index", F.size("seq").alias("n_steps"),
-                         (F.size("seq") - F.col("orig")).cast("int").alias("n_padding"))
+    padded = Fe.pad_sequences(seqs, "index", "seq", 64, PAD_ROWS)
+    width = F.coalesce(F.array_max(F.transform("seq", lambda v: F.size(v))), F.lit(64))
+    return padded.select("index", "batch", F.size("seq").alias("n_steps"),
+                         (F.size("seq") - F.col("orig")).cast("int").alias("n_padding"), width.alias("width"), *_sums("seq"))
 
 
 register("sequence_with_static", with_clean("""
-SELECT c.index, CAST(CASE WHEN seq.vecs IS NULL THEN NULL ELSE 66 END AS INTEGER) AS step_width,
-       round(CAST(c.duration_days AS DOUBLE), 4) AS last_a, round(CAST(c.days_ref AS DOUBLE), 4) AS last_b
+SELECT c.index, CAST(coalesce(len(seq.vecs), 0) AS INTEGER) AS n_steps,
+       CASE WHEN len(seq.vecs) > 0 THEN 66 END AS min_width, CASE WHEN len(seq.vecs) > 0 THEN 66 END AS max_width,
+       round(coalesce(len(seq.vecs), 0) * CAST(c.duration_days AS DOUBLE), 3) AS sum_a,
+       round(coalesce(len(seq.vecs), 0) * CAST(c.days_ref AS DOUBLE), 3) AS sum_b
 FROM clean c LEFT JOIN seq USING (index)""", *_EMB_CTES))(
     lambda spark, sf: (lambda d: d.select(
-        "index", F.when(F.size("seq") > 0, F.size(F.get("seq", 0))).cast("int").alias("step_width"),
-        F.round(F.coalesce(F.element_at(F.get("seq", 0), -2), F.col("duration_days").cast("float")).cast("double"), 4)
-        .alias("last_a"),
-        F.round(F.coalesce(F.element_at(F.get("seq", 0), -1), F.col("days_ref").cast("float")).cast("double"), 4)
-        .alias("last_b")))(
+        "index", F.size("seq").alias("n_steps"),
+        F.array_min(F.transform("seq", lambda v: F.size(v))).alias("min_width"),
+        F.array_max(F.transform("seq", lambda v: F.size(v))).alias("max_width"),
+        F.round(_entry_sum("seq", -2), 3).alias("sum_a"), F.round(_entry_sum("seq", -1), 3).alias("sum_b")))(
         Fe.sequence_with_static(
             _sequences(spark, sf, "vec").join(clean(spark, sf).select("index", "duration_days", "days_ref"), "index"),
             "seq", ["duration_days", "days_ref"])))

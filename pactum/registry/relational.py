@@ -193,8 +193,10 @@ register("top_fraction_words", with_clean(_FRACTION_SQL.format(d="DESC")))(
         Rel.fraction_by_order(clean(spark, sf), ["valor_del_contrato", "index"], 0.2, from_top=True),
         "full_contract_description"))
 
-register("sample_fraction")(
-    lambda spark, sf: clean(spark, sf).sample(fraction=0.01, seed=7).select("index", "valor_del_contrato"))
+register("sample_fraction", with_clean("""
+SELECT index, valor_del_contrato FROM clean
+WHERE CAST(CAST('0x' || substr(md5(coalesce(CAST(index AS VARCHAR), '') || '#7'), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 < 0.01"""))(
+    lambda spark, sf: Rel.sample_fraction(clean(spark, sf), "index", 0.01, seed=7).select("index", "valor_del_contrato"))
 
 # ------------------------------------------------------------------ set operations
 _UNION_SQL = with_clean("""

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from pactum.operators import features as Fe
 from pactum.operators.dbscan import block_pairs, dbscan, spatial_blocks
-from pactum.operators.indexing import dense_index, exact_quantiles
+from pactum.operators.indexing import dense_index
+from pactum.operators.quantiles import exact_quantiles
 from pactum.operators.intervals import max_concurrent
 from pactum.registry.common import clean
 
@@ -121,7 +122,7 @@ def test_dense_index_is_dense_and_deterministic(spark):
 
 def test_exact_quantiles_match_numpy(spark):
     c = clean(spark, SMALL).select("duration_days")
-    got = {r["p"]: r["value"] for r in exact_quantiles(c, "duration_days", (0.1, 0.25, 0.5, 0.9)).collect()}
+    got = {r["p"]: r["value"] for r in exact_quantiles(c, ["duration_days"], (0.1, 0.25, 0.5, 0.9)).collect()}
     x = np.array([r[0] for r in c.collect()], dtype=float)
     for p, v in got.items():
         assert abs(v - np.quantile(x, p)) < 1e-9
