@@ -5,14 +5,10 @@
   validation RMSE on a fixed validation split, so this is a seeded driver
   loop over ``fit`` on cached frames, not ``CrossValidator``.
 * RMSE / MSE are one aggregate each.
-* Permutation importance (in place of SHAP): one feature's values are
-  permuted across rows, and the RMSE increase is reported; rows are ranked once
-  and all features are scored in one pass.
 """
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Sequence
 
@@ -21,8 +17,6 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.operators.indexing import dense_index
-
 # --- fixed values: the reference's random-search space -----------------------
 DEPTH_CHOICES = (2, 5, 7, 10, 15, 20)
 TREES_LOG10 = (1.0, 2.5)          # number of trees = int(10 ** U(1, 2.5))
@@ -82,39 +76,3 @@ def rf_random_search(train: DataFrame, valid: DataFrame, label: str, n_draws: in
         rows.append((i, p["trees"], p["depth"], p["leaf"], float(p["feature_share"]), float(err)))
     return spark.createDataFrame(rows, "draw int, trees int, depth int, leaf int, feature_share double, "
                                        "valid_rmse double")
-
-
-def permuted_partner(df: DataFrame, id_col: str, cols: Sequence[str], seed: int = 0) -> DataFrame:
-    """``df`` plus ``__p_<col>``: the values of another row, by one permutation of the rows' ranks.
-
-    Rows are ranked once (dense index of the ids); the permutation is the
-    formula (a r + b) mod n with a coprime to n, so no second sort is needed.
-    """
-    n = df.count()
-    rng = random.Random(seed)
-    a = next((x for x in iter(lambda: rng.randrange(1, max(2, n)), None) if math.gcd(x, n) == 1), 1) if n else 1
-    b = rng.randrange(max(1, n))
-    ranks = dense_index(df.select(id_col), [id_col], out="__r")
-    ranked = df.join(ranks, id_col)
-    other = df.select(F.col(id_col).alias("__o_id"), *[F.col(c).alias(f"__p_{c}") for c in cols]).join(
-        ranks.select(F.col(id_col).alias("__o_id"), F.col("__r").alias("__o")), "__o_id").drop("__o_id")
-    return ranked.withColumn("__o", (F.col("__r") * a + b) % max(1, n)).join(other, "__o").drop("__o", "__r")
-
-
-def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], id_col: str, label: str,
-                           assemble, seed: int = 0) -> DataFrame:
-    """(feature, rmse_increase) of every feature, scored in one pass.
-
-    Each row is exploded into one copy as it is and one per feature with that
-    feature's permuted value (``assemble`` rebuilds the vector); the increase
-    is against the copy as it is.
-    """
-    kept = [c for c in df.columns if c not in feature_cols]
-    wide = permuted_partner(df, id_col, feature_cols, seed)
-    copies = F.array(*[F.struct(F.lit(name).alias("feature"), *[
-        F.col(f"__p_{c}" if c == name else c).alias(c) for c in feature_cols]) for name in ("", *feature_cols)])
-    rows = wide.select(*kept, F.explode(copies).alias("__c")).select(*kept, "__c.*")
-    scored = model.transform(assemble(rows)).groupBy("feature").agg(
-        F.sqrt(F.avg((F.col("prediction") - F.col(label)) ** 2)).alias("rmse"))
-    base = scored.where("feature = ''").select("rmse").scalar()
-    return scored.where("feature <> ''").select("feature", (F.col("rmse") - base).alias("rmse_increase"))

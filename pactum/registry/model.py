@@ -10,6 +10,7 @@ from pactum.operators import features as Fe
 from pactum.operators import models as M
 from pactum.operators import relational as Rel
 from pactum.operators.dbscan import cluster_summary, dbscan
+from pactum.operators.importance import permutation_importance
 from pactum.operators.profile import provider_profile
 from pactum.plans import modeling as P
 from pactum.plans.cleaning import clean_integrated, clean_processes
@@ -173,14 +174,15 @@ def q_price_model(spark, sf):
 
 @register("permutation_importance")
 def q_perm(spark, sf):
+    """All numeric features and all text terms, scored on the validation part."""
     parts = splits(spark, sf)
-    train = parts["train_tfidf"]
-    cv = parts["cv_tfidf"]
-    feats = [c for c in train.columns if c not in ("index", P.TARGET)]
-    asm = lambda d: M.assemble_features(d, feats)
-    model, _ = M.rf_fit_predict(asm(train), asm(cv), P.TARGET, trees=15, depth=6, leaf=5, seed=2)
-    numeric = [c for c in feats if c != "tfidf"]
-    return M.permutation_importance(model, cv, numeric, "index", P.TARGET, asm, seed=5)
+    train, cv = parts["train_tfidf"], parts["cv_tfidf"]
+    numeric = [c for c in train.columns if c not in ("index", P.TARGET, "tfidf")]
+    train, cv = (durable(M.assemble_features(d, [*numeric, "tfidf"]).select("index", P.TARGET, "features"), "importance")
+                 for d in (train, cv))
+    model, _ = M.rf_fit_predict(train, cv, P.TARGET, trees=15, depth=6, leaf=5, seed=2)
+    terms = [f"feat_text_{i + 1}" for i in range(model.numFeatures - len(numeric))]
+    return permutation_importance(model, cv, [*numeric, *terms], "index", P.TARGET, seed=5)
 
 
 # ---- a deterministic baseline predictor (mean log value of the method on train) to check metrics
