@@ -2,21 +2,26 @@
 
 * Random forest regression of the log contract value (executor-parallel tree
   induction).  The reference's random search keeps the draw with the lowest
-  validation RMSE on a fixed validation split, so this is a seeded driver
-  loop over ``fit`` on cached frames, not ``CrossValidator``.
+  validation RMSE on a fixed validation split, so this is seeded, concurrent
+  ``fit`` calls on stored frames with a ledger, not ``CrossValidator``.
 * RMSE / MSE are one aggregate each.
 """
 
 from __future__ import annotations
 
 import random
+import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from pactum.session import scratch_path
+
 # --- fixed values: the reference's random-search space -----------------------
 DEPTH_CHOICES = (2, 5, 7, 10, 15, 20)
 TREES_LOG10 = (1.0, 2.5)          # number of trees = int(10 ** U(1, 2.5))
@@ -65,14 +70,48 @@ def random_params(n: int, seed: int = 0) -> list[dict]:
     return out
 
 
+DRAW_COLUMNS = "draw int, trees int, depth int, leaf int, feature_share double, valid_rmse double"
+LEDGER_COLUMNS = f"{DRAW_COLUMNS}, seed long, started double, finished double"
+
+
+def _finished_draws(spark: SparkSession, ledger: str, seed: int) -> dict[int, Row]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return {}
+    reader = spark.read.schema(LEDGER_COLUMNS).option("recursiveFileLookup", "true")
+    return {r["draw"]: r for r in reader.parquet(ledger).where(F.col("seed") == seed).collect()}   # one row per draw
+
+
 def rf_random_search(train: DataFrame, valid: DataFrame, label: str, n_draws: int, seed: int = 0,
-                     features: str = "features") -> DataFrame:
-    """(draw, trees, depth, leaf, feature_share, valid_rmse) for every draw (best = min rmse)."""
+                     features: str = "features", ledger: str | None = None, parallel: int = 4) -> DataFrame:
+    """(draw, trees, depth, leaf, feature_share, valid_rmse) for every draw (best = min rmse).
+
+    ``parallel`` draws are fitted at a time, each from a thread of its own and
+    in its own scheduler pool, so that small fits fill the cluster together
+    (sessions with ``spark.scheduler.mode=FAIR`` share it evenly).  A finished
+    draw is a row in ``ledger`` (a folder; by default a fresh one): a search
+    that is started again with the same ledger and seed fits the others only.
+    A draw's result depends on its parameters and seed alone.
+    """
     spark = train.sparkSession
-    rows = []
-    for i, p in enumerate(random_params(n_draws, seed)):
-        _, pred = rf_fit_predict(train, valid, label, features, seed=seed + i, **p)
-        err = rmse(pred, "prediction", label).first()["rmse"]
-        rows.append((i, p["trees"], p["depth"], p["leaf"], float(p["feature_share"]), float(err)))
-    return spark.createDataFrame(rows, "draw int, trees int, depth int, leaf int, feature_share double, "
-                                       "valid_rmse double")
+    ledger = ledger or scratch_path(spark, "draws")
+    draws = random_params(n_draws, seed)
+    done = {i: r for i, r in _finished_draws(spark, ledger, seed).items()
+            if i < n_draws and all(r[k] == v for k, v in draws[i].items())}
+
+    def fit(i: int) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"draw-{i % parallel}")
+        began = time.time()
+        _, pred = rf_fit_predict(train, valid, label, features, seed=seed + i, **draws[i])
+        error = float(rmse(pred, "prediction", label).first()["rmse"])
+        p = draws[i]
+        row = (i, p["trees"], p["depth"], p["leaf"], float(p["feature_share"]), error, seed, began, time.time())
+        spark.createDataFrame([row], LEDGER_COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/{seed}-{i}")
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(fit), i) for i in range(n_draws) if i not in done]
+    for w in waiting:
+        w.result()   # a failed draw is raised once the others are in the ledger
+    done |= {i: r for i, r in _finished_draws(spark, ledger, seed).items() if i not in done}
+    columns = [c.split()[0] for c in DRAW_COLUMNS.split(", ")]
+    return spark.createDataFrame([tuple(done[i][c] for c in columns) for i in range(n_draws)], DRAW_COLUMNS)
