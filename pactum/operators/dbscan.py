@@ -2,28 +2,33 @@
 
 1. **Collapse** identical vectors into one weighted point (many providers have
    identical profiles), so a hot value never multiplies pairs.
-2. **Blocks in space**: points are rotated to their principal axes (a d x d sum
-   over all points) and cut at medians of the widest axis, by a k-d tree built
-   from a bounded sample of them; the sample only decides where blocks end.
-   Each block keeps its bounding box.  Block pairs are found by an equi-join on
-   slabs of the first axis and dropped when their boxes are further apart than
-   eps: a projection on orthonormal axes never increases a distance, so no
-   neighbour is lost.  Distances themselves use the original vectors.
+2. **Blocks in space**: a point's coordinates are its leading principal axes (a
+   d x d sum over all points) and its distances to a few pivots (sample points
+   far from each other).  Points are cut at medians of the widest coordinate,
+   by a k-d tree built from a bounded sample; the sample only decides where
+   blocks end.  A block that is still too large is cut into slabs along its own
+   widest coordinate, round by round, where its points are.  Each block keeps
+   its bounding box.  Block pairs are found by an equi-join on slabs of the
+   first axis and rings around the first pivot, and dropped when their boxes
+   are further apart than eps: a projection on orthonormal axes never increases
+   a distance, and by the triangle inequality distances to a pivot differ by no
+   more than the points' own, so no neighbour is lost.  Distances themselves
+   use the original vectors.
 3. **Core points** (pass 1): a NumPy kernel per block pair computes exact
    distances and emits only per-point neighbour *weights*, summed per point:
    core = weight (itself included) >= ``min_pts``.
 4. **Links** (pass 2): the same kernel emits a spanning forest of the
    core-core links of its block pair (fewer edges than points) and each
    border point's links to core points (fewer than ``min_pts`` each).  No
-   all-pairs list ever leaves a task.  **Components** over the forest links:
-   min-label propagation with pointer jumping, one reliable checkpoint per
-   round (lineage stays short; a lost executor recomputes one round).
+   all-pairs list ever leaves a task.  **Components** over the forest links
+   by star contraction with salted roots (``components.py``).
 5. **Border points** take the smallest cluster id among their core neighbours;
    the rest are noise (-1).
 
 Cluster ids are the smallest point id of the component (stable, independent
 of partitioning and row order).  Data without structure at the scale of eps
-(say, unit vectors spread evenly in 64 dimensions) has nothing to prune: then
+(say, unit vectors spread evenly in 64 dimensions, where all distances are
+nearly one) has nothing to prune, neither in space nor around pivots: then
 every block pair is compared, which is quadratic.
 """
 
@@ -34,6 +39,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pactum.operators.components import connected_components
 from pactum.session import ensure_checkpoint_dir
 
 NOISE = -1
@@ -44,7 +50,15 @@ BLOCK = 1024   # points per block: a block pair holds at most 2 x BLOCK points i
 
 AXES = 8             # principal axes used for blocks and boxes
 SAMPLE = 100_000     # points that place the block borders (a documented bound; every point gets a block)
-LEAVES = 65_536      # beyond it, a leaf is cut by hash
+LEAVES = 65_536      # leaves of the tree; larger ones are cut further by their own boxes
+PIVOTS = 4           # points whose distances are coordinates
+
+
+def matrix(lists, dim: int):
+    """Rows of an Arrow list column as a matrix."""
+    import numpy as np
+
+    return np.asarray(lists.flatten(), float).reshape(len(lists), dim)
 
 
 def principal_axes(points: DataFrame, vec_col: str, dim: int):
@@ -55,7 +69,7 @@ def principal_axes(points: DataFrame, vec_col: str, dim: int):
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dim + 1, dim + 1))
         for b in batches:
-            x = np.asarray(b.column(0).to_pylist(), float).reshape(b.num_rows, dim)
+            x = matrix(b.column(0), dim)
             x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["i", "v"])
@@ -99,8 +113,30 @@ def kd_tree(sample, leaf_size: int, leaves: int):
     return root, [np.array(c, t) for c, t in zip(columns, (int, float, int, int), strict=True)]
 
 
-def _place(tree, mean, axes):
-    """mapInArrow: adds the leading coordinates ``x`` and the leaf of each point."""
+def far_points(sample, k: int):
+    """``k`` points of the sample, each as far as can be from those before it."""
+    import numpy as np
+
+    if not len(sample):
+        return sample
+    chosen = [int(((sample - sample.mean(0)) ** 2).sum(1).argmax())]
+    near = ((sample - sample[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < min(k, len(sample)):
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, ((sample - sample[chosen[-1]]) ** 2).sum(1))
+    return sample[chosen]
+
+
+def coordinates(v, mean, axes, pivots):
+    """Leading principal axes, then distances to the pivots."""
+    import numpy as np
+
+    rings = [np.sqrt(((v - p) ** 2).sum(1)) for p in pivots]
+    return np.column_stack([(v - mean) @ axes, *rings])
+
+
+def _place(tree, mean, axes, pivots):
+    """mapInArrow: adds the coordinates ``x`` and the leaf of each point."""
     import numpy as np
     import pyarrow as pa
 
@@ -108,8 +144,8 @@ def _place(tree, mean, axes):
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = np.asarray(b.column(1).to_pylist(), float).reshape(b.num_rows, len(mean))
-            x = (v - mean) @ axes
+            v = matrix(b.column(1), len(mean))
+            x = coordinates(v, mean, axes, pivots)
             at = np.full(len(x), root)
             while (inner := np.flatnonzero(at >= 0)).size:
                 node = at[inner]
@@ -131,36 +167,76 @@ def spatial_blocks(points: DataFrame, eps: float, block: int) -> tuple[DataFrame
     mean, axes = principal_axes(points, "vec", dim)
     every = max(1, -(-n // SAMPLE))
     rows = points.where(F.pmod(F.xxhash64("pid"), F.lit(every)) == 0).select("vec").collect()
-    sample = (np.asarray([r["vec"] for r in rows], float).reshape(len(rows), dim) - mean) @ axes
-    tree = kd_tree(sample, max(1, block // every), LEAVES)
+    vectors = np.asarray([r["vec"] for r in rows], float).reshape(len(rows), dim)
+    pivots = far_points(vectors, PIVOTS)
+    tree = kd_tree(coordinates(vectors, mean, axes, pivots), max(1, block // every), LEAVES)
     placed = points.select("pid", "vec", "w").mapInArrow(
-        _place(tree, mean, axes), "pid long, vec array<double>, w long, x array<double>, leaf long")
-    counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("__n"))
-    nblk = F.ceil(F.col("__n") / F.lit(block)).cast("int")
-    tagged = placed.join(counts.select("leaf", nblk.alias("__nb")), "leaf") \
-        .withColumn("blk", F.concat_ws("-", "leaf", F.pmod(F.xxhash64("pid"), F.col("__nb")))) \
-        .select("pid", "vec", "w", "x", "blk").checkpoint()
-    r = axes.shape[1]
-    box = tagged.groupBy("blk").agg(F.array(*[F.min(F.col("x")[i]) for i in range(r)]).alias("lo"),
-                                    F.array(*[F.max(F.col("x")[i]) for i in range(r)]).alias("hi"))
-    return tagged.drop("x"), block_pairs(box, eps)
-
-
-def block_pairs(box: DataFrame, eps: float) -> DataFrame:
-    """(pair, blk_a, blk_b), blk_a <= blk_b, of the boxes at most eps apart; equi-join on slabs of the first axis."""
+        _place(tree, mean, axes, pivots), "pid long, vec array<double>, w long, x array<double>, leaf long")
+    placed = placed.select("pid", "vec", "w", "x", F.col("leaf").cast("string").alias("blk")).checkpoint()
+    tagged, box = refined(placed, axes.shape[1] + len(pivots), block)
+    return tagged.drop("x"), block_pairs(box, eps, axes.shape[1])
+
+
+def boxes(tagged: DataFrame, dims: int) -> DataFrame:
+    """(blk, n, lo, hi): points and bounding box of every block."""
+    return tagged.groupBy("blk").agg(F.count(F.lit(1)).alias("n"),
+                                     F.array(*[F.min(F.col("x")[i]) for i in range(dims)]).alias("lo"),
+                                     F.array(*[F.max(F.col("x")[i]) for i in range(dims)]).alias("hi"))
+
+
+def refined(tagged: DataFrame, dims: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of more than twice ``block`` points cut into slabs along their widest coordinate, until none is left.
+
+    A cut separates the block's least and greatest points, so each round makes
+    progress.  Points with equal coordinates cannot be told apart in space;
+    a block of those alone is cut by hash.
+    """
+    while True:
+        box = boxes(tagged, dims).checkpoint()
+        spread = F.zip_with("hi", "lo", lambda h, lo: h - lo)
+        widest = F.array_max(spread)
+        big = box.where(F.col("n") > 2 * block).select(
+            F.col("blk").alias("__blk"), F.ceil(F.col("n") / F.lit(block)).cast("int").alias("__pieces"), widest.alias("__width"),
+            (F.array_position(spread, widest) - 1).cast("int").alias("__axis"), "lo")
+        if big.isEmpty():
+            return tagged, box.drop("n")
+        at = F.floor((F.get("x", F.col("__axis")) - F.get("lo", F.col("__axis"))) / F.col("__width") * F.col("__pieces"))
+        piece = F.when(F.col("__width") > 0, F.least(at, F.col("__pieces") - 1)).otherwise(
+            F.pmod(F.xxhash64("pid"), F.col("__pieces")))
+        cut = tagged.join(big, F.col("blk") == F.col("__blk"), "left")
+        tagged = cut.select("pid", "vec", "w", "x", F.when(F.col("__pieces").isNotNull(), F.concat_ws(".", "blk", piece))
+                            .otherwise(F.col("blk")).alias("blk")).checkpoint()
+
+
+def block_pairs(box: DataFrame, eps: float, n_axes: int = 1000) -> DataFrame:
+    """(pair, blk_a, blk_b), blk_a <= blk_b, of the boxes at most eps apart.
+
+    Boxes meet by equality of a slab of the first axis and a ring around the first pivot.  Their first ``n_axes``
+    coordinates (by default all) are apart as in space, each further one by itself.
+    """
     reach = eps * (1 + 1e-9) + 1e-9
-    ends = box.agg(F.min(F.col("lo")[0]), F.max(F.col("hi")[0]), F.count(F.lit(1))).first()
-    # Slabs about as wide as eps, but no more of them than blocks, so wide boxes stay few rows.
-    width = max(reach, (ends[1] - ends[0]) / max(1, ends[2])) if ends[2] else reach
-    slab = lambda c: F.floor(c / F.lit(width)).cast("long")
-    a = box.select(F.col("blk").alias("blk_a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"),
-                   F.explode(F.sequence(slab(F.col("lo")[0] - reach), slab(F.col("hi")[0] + reach))).alias("slab"))
-    b = box.select(F.col("blk").alias("blk_b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"),
-                   F.explode(F.sequence(slab(F.col("lo")[0]), slab(F.col("hi")[0]))).alias("slab"))
+    ends = box.agg(F.min(F.col("lo")[0]), F.max(F.col("hi")[0]), F.min(F.get("lo", F.lit(n_axes))),
+                   F.max(F.get("hi", F.lit(n_axes))), F.count(F.lit(1))).first()
+
+    def cells(name: str, place: int, low: float, high: float, wide: float):
+        # Cells about as wide as eps, but no more of them than blocks, so wide boxes stay few rows.
+        width = max(reach, (high - low) / max(1, ends[4])) if ends[4] and low is not None else reach
+
+        def cell(c):
+            return F.floor(F.coalesce(c, F.lit(0.0)) / F.lit(width)).cast("long")
+
+        return F.explode(F.sequence(cell(F.get("lo", F.lit(place)) - wide), cell(F.get("hi", F.lit(place)) + wide))).alias(name)
+
+    def keyed(side: str, wide: float):
+        slabs = box.select("*", cells("slab", 0, ends[0], ends[1], wide))
+        rings = slabs.select("*", cells("ring", n_axes, ends[2], ends[3], wide))
+        return rings.select(*[F.col(c).alias(f"{c}_{side}") for c in ("blk", "lo", "hi")], "slab", "ring")
+
     gaps = F.zip_with(F.arrays_zip("lo_a", "hi_a"), F.arrays_zip("lo_b", "hi_b"), lambda p, q: F.greatest(
         F.lit(0.0), p["lo_a"] - q["hi_b"], q["lo_b"] - p["hi_a"]))
-    apart = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
-    near = a.join(b, "slab").where((F.col("blk_a") <= F.col("blk_b")) & (apart <= F.lit(reach * reach)))
+    near = keyed("a", reach).join(keyed("b", 0.0), ["slab", "ring"]).where(F.col("blk_a") <= F.col("blk_b")).withColumn("gaps", gaps)
+    apart = F.aggregate(F.slice("gaps", 1, n_axes), F.lit(0.0), lambda acc, g: acc + g * g)
+    near = near.where((apart <= F.lit(reach * reach)) & (F.array_max("gaps") <= F.lit(reach)))
     return near.select(F.concat_ws("|", "blk_a", "blk_b").alias("pair"), "blk_a", "blk_b").distinct()
 
 
@@ -268,32 +344,6 @@ def core_links(tagged: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
     return groups.groupBy("pair").applyInPandas(kernel, "src long, dst long, kind string")
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(v, label): label = smallest vertex id of the component (undirected ``edges``)."""
-    spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) \
-        .distinct().checkpoint()
-    labels = vertices.select(F.col("v"), F.col("v").alias("label")).checkpoint()
-    def step(cur):
-        nbr_min = both.join(cur.withColumnRenamed("v", "dst"), "dst") \
-            .groupBy("src").agg(F.min("label").alias("m"))
-        prop = cur.join(nbr_min.withColumnRenamed("src", "v"), "v", "left") \
-            .select("v", F.least("label", F.coalesce("m", "label")).alias("label"))
-        # pointer jumping: adopt the label of my label
-        return prop.alias("a").join(prop.alias("b"), F.col("a.label") == F.col("b.v"), "left") \
-            .select(F.col("a.v").alias("v"), F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label")))
-                    .alias("label"))
-
-    while True:   # every round lowers a label or ends
-        jumped = step(step(labels)).checkpoint()   # two min-label steps per checkpoint
-        changed = jumped.join(labels.withColumnRenamed("label", "old"), "v") \
-            .filter(F.col("label") != F.col("old")).limit(1).count()
-        labels = jumped
-        if changed == 0:
-            return labels
-
-
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_pts: int, block: int = BLOCK) -> DataFrame:
     """(id, cluster, is_core): DBSCAN labels, -1 for noise."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -12,7 +12,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pactum.functions import scalars as S
 from pactum.operators import features as Fe
 from pactum.operators import models as M
-from pactum.operators.dbscan import connected_components, dbscan
+from pactum.operators.components import connected_components
+from pactum.operators.dbscan import dbscan
 from pactum.plans import cleaning, modeling
 from pactum.registry.common import clean, eco, raw
 from pactum.session import materialized, scratch_path
