@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per application.
+
+    Workers import the package by name (``mapInArrow``, ``applyInArrow``), also
+    where it is not installed on them.  Where it is (``pip install``, or
+    ``--py-files`` with the wheel or a zip of the folder), this is not needed
+    and does no harm.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="pactum-ship-"), "pactum-package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith((".py", ".txt")):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("pactum", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext
