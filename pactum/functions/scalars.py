@@ -40,9 +40,13 @@ def blank_to_null(c) -> Column:
     return F.nullif(_c(c), F.lit(""))
 
 
-def parse_int_or(c, default: int = 0) -> Column:
-    """Delete every '.', trim, parse a 64-bit integer; anything else -> default."""
-    s = F.trim(F.replace(_c(c), F.lit("."), F.lit("")))
+def parse_int_or(c, default: int = 0, decimal: bool = False) -> Column:
+    """Delete every '.', trim, parse a 64-bit integer; anything else -> default.
+
+    ``decimal``: a last '.' with one or two digits behind it is a decimal point, and what follows it is cut off.
+    """
+    text = F.regexp_replace(F.trim(_c(c)), r"\.[0-9]{1,2}$", "") if decimal else _c(c)
+    s = F.trim(F.replace(text, F.lit("."), F.lit("")))
     parsed = F.when(s.rlike(INT_PATTERN), s.try_cast("bigint"))
     return F.coalesce(parsed, F.lit(default).cast("bigint"))
 

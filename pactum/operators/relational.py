@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactum.operators.eda import group_count
@@ -55,24 +55,23 @@ def fraction_by_order(df: DataFrame, order: Sequence[str], fraction: float,
     return df.filter(cmp)
 
 
-def frequency_table(df: DataFrame, col: str, value_name: str = "value") -> DataFrame:
-    """(value, share) of one column, nulls dropped."""
-    src = df.filter(F.col(col).isNotNull())
-    total = src.select(F.count(F.lit(1))).scalar()
-    return group_count(src, col).select(F.col(col).alias(value_name), (F.col("n") / total).alias(col))
+def frequency_tables(df: DataFrame, cols: Sequence[str], value_name: str = "value") -> DataFrame:
+    """(column, value, n, share) of several columns of one type, nulls dropped, in one pass over ``df``.
 
+    Each row gives one cell per column; after partial aggregation a task sends
+    one row per distinct value.  Totals run over the grouped table.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias(value_name)) for c in cols])
+    counts = df.select(F.explode(cells).alias("c")).select("c.*").where(F.col(value_name).isNotNull()) \
+        .groupBy("column", value_name).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("column")))
 
-def aligned_topn_report(df: DataFrame, cols: Sequence[str], n: int = 10, value_name: str = "value") -> DataFrame:
-    """Share tables of several columns aligned on the first column's top-n values.
 
-    Each frequency table is a grouped result (one row per distinct value); the
-    top-n of the first is a bounded ``limit``; the rest are left-joined on value.
-    """
-    first = frequency_table(df, cols[0], value_name)
-    out = first.orderBy(F.col(cols[0]).desc(), F.col(value_name)).limit(n)
-    for c in cols[1:]:
-        out = out.join(frequency_table(df, c, value_name), value_name, "left")
-    return out
+def aligned_topn_report(df: DataFrame, cols: Sequence[str], n: int = 10, value_name: str = "value") -> DataFrame:
+    """Share tables of several columns aligned on the first column's top-n values, in one pass over ``df``."""
+    shares = frequency_tables(df, cols, value_name)
+    wide = shares.groupBy(value_name).agg(*[F.max(F.when(F.col("column") == c, F.col("share"))).alias(c) for c in cols])
+    return wide.where(F.col(cols[0]).isNotNull()).orderBy(F.col(cols[0]).desc(), F.col(value_name)).limit(n)
 
 
 def relabel(df: DataFrame, col: str, mapping: DataFrame, keep: Sequence = (-1,)) -> DataFrame:

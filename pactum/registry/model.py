@@ -14,6 +14,7 @@ from pactum.operators.importance import permutation_importance
 from pactum.operators.profile import provider_profile
 from pactum.plans import modeling as P
 from pactum.plans.cleaning import clean_integrated, clean_processes
+from pactum.plans.report import eda_report
 from pactum.registry import register
 from pactum.registry.common import clean, table
 from pactum.registry.feature import _ORDER_CTE, _SPLIT_CTE
@@ -309,39 +310,33 @@ _REPORT_SQL = " UNION ALL ".join([
       FROM (SELECT log_valor_del_contrato AS x FROM clean),
            (SELECT min(log_valor_del_contrato) AS lo, max(log_valor_del_contrato) AS hi FROM clean) GROUP BY 1) h
     ON g.bin = h.bin""",
+    """SELECT 'method_log_value_bin', m.method || ':' || g.bin, CAST(coalesce(h.n, 0) AS DOUBLE)
+    FROM (SELECT DISTINCT modalidad_de_contratacion AS method FROM clean) m
+    CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 21)) g LEFT JOIN (
+      SELECT method, CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((x - lo) / ((hi - lo) / 20)) + 1, 20) END AS INTEGER) AS bin,
+             count(*) AS n
+      FROM (SELECT modalidad_de_contratacion AS method, log_valor_del_contrato AS x FROM clean),
+           (SELECT min(log_valor_del_contrato) AS lo, max(log_valor_del_contrato) AS hi FROM clean) GROUP BY 1, 2) h
+    ON g.bin = h.bin AND h.method = m.method""",
+    """SELECT 'extension_bin', CAST(g.bin AS VARCHAR), CAST(coalesce(h.n, 0) AS DOUBLE) FROM (
+      SELECT unnest(range(1, bins + 1)) AS bin FROM ext) g LEFT JOIN (
+      SELECT least(floor((x - lo) / ((hi - lo) / bins)) + 1, bins) AS bin, count(*) AS n
+      FROM (SELECT CAST(dias_adicionados AS DOUBLE) AS x FROM clean WHERE dias_adicionados > 0), ext GROUP BY 1) h ON g.bin = h.bin""",
+    *[f"""SELECT '{name}:aligned:{col}', CAST(t.value AS VARCHAR), round(x.share, 6) FROM (
+      SELECT index_count AS value, count(*) AS n FROM profile WHERE tipodocproveedor = '{doc}' GROUP BY 1
+      ORDER BY n DESC, value LIMIT 10) t JOIN (
+      SELECT {col} AS value, count(*) / sum(count(*)) OVER () AS share FROM profile
+      WHERE tipodocproveedor = '{doc}' AND {col} IS NOT NULL GROUP BY 1) x USING (value)"""
+      for name, doc in _KINDS for col in ("index_count", "max_open_contracts", "nombre_entidad", "ciudad")],
 ])
+_EXT_CTE = """ext AS (SELECT lo, hi, CAST(ceil((hi - lo) / CASE WHEN iqr > 0 THEN least((hi - lo) / (log2(n) + 1), 2 * iqr / pow(n, 1.0 / 3))
+                                        ELSE (hi - lo) / (log2(n) + 1) END) AS BIGINT) AS bins
+  FROM (SELECT count(*) AS n, min(CAST(dias_adicionados AS DOUBLE)) AS lo, max(CAST(dias_adicionados AS DOUBLE)) AS hi,
+               quantile_cont(CAST(dias_adicionados AS DOUBLE), 0.75) - quantile_cont(CAST(dias_adicionados AS DOUBLE), 0.25) AS iqr
+        FROM clean WHERE dias_adicionados > 0))"""
 
 
-@register("eda_report", with_clean(_REPORT_SQL, *PROFILE_CTES))
+@register("eda_report", with_clean(_REPORT_SQL, *PROFILE_CTES, _EXT_CTE))
 def q_eda_report(spark, sf):
-    """Every table of the report in one long table: shares, profiles, months, extensions, words, histogram."""
-    c = clean(spark, sf)
-    prof = provider_profile(c)
-    month = F.date_format("fecha_de_firma", "yyyy-MM")
-
-    def part(section, df, value, metric):
-        return df.select(F.lit(section).alias("section"), F.col(value).cast("string").alias("value"),
-                         metric.cast("double").alias("metric"))
-
-    def shares(section, df, col):
-        return part(section, eda.group_share(df, col), col, F.round("share", 6))
-
-    extension = eda.share_and_conditional_mean(c, "dias_adicionados", by=["tipodocproveedor"])
-    parts = [
-        shares("provider_type", c, "tipodocproveedor"), shares("method", c, "modalidad_de_contratacion"),
-        *[shares(f"{name}:{col}", prof.filter(F.col("tipodocproveedor") == doc), col)
-          for name, doc in _KINDS for col in ("index_count", "max_open_contracts", "nombre_entidad", "ciudad")],
-        part("monthly_count", c.groupBy(month.alias("m")).agg(F.count(F.lit(1)).alias("n")), "m", F.col("n")),
-        part("monthly_value", c.groupBy(month.alias("m")).agg(F.sum("valor_del_contrato").alias("n")), "m", F.col("n")),
-        part("yearly_count", c.groupBy(F.year("fecha_de_firma").alias("y")).agg(F.count(F.lit(1)).alias("n")), "y",
-             F.col("n")),
-        part("extended_share", extension, "tipodocproveedor", F.round("share_positive", 6)),
-        part("extension_days", extension, "tipodocproveedor", F.round("mean_positive", 6)),
-        part("word", eda.word_frequency(c, "full_contract_description").orderBy(F.col("n").desc(), "word").limit(20),
-             "word", F.col("n")),
-        part("log_value_bin", eda.histogram(c, P.TARGET, 20), "bin", F.col("n")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every table of the report in one long table: shares, profiles, months, extensions, words, histograms."""
+    return eda_report(clean(spark, sf))

@@ -53,9 +53,11 @@ over_raw("map_doc_type",
 over_raw("parse_int_or",
          {"valor": lambda: S.parse_int_or("valor_del_contrato"),
           "documento": lambda: S.parse_int_or("documento_proveedor"),
-          "dias": lambda: S.parse_int_or("dias_adicionados")},
+          "dias": lambda: S.parse_int_or("dias_adicionados"),
+          "documento_decimal": lambda: S.parse_int_or("documento_proveedor", decimal=True)},
          {"valor": parse_int_sql("valor_del_contrato"), "documento": parse_int_sql("documento_proveedor"),
-          "dias": parse_int_sql("dias_adicionados")})
+          "dias": parse_int_sql("dias_adicionados"),
+          "documento_decimal": parse_int_sql("regexp_replace(trim(documento_proveedor), '\\.[0-9]{1,2}$', '')")})
 over_raw("cast_int_strict",
          {"nit": lambda: S.cast_int_strict("nit_entidad")},
          {"nit": "CAST(trim(nit_entidad) AS BIGINT)"})
