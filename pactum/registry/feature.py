@@ -235,13 +235,23 @@ register("provider_cluster_features", _PCF_SQL)(
         provider_profile(clean(spark, sf)).filter(F.col("tipodocproveedor") == "cedula de ciudadania")))
 
 
-@register("join_row_features")
+_ROW_TERMS = 100
+
+
+@register("join_row_features", with_clean("""
+SELECT c.index, round(c.log_valor_del_contrato, 6) AS log_valor_del_contrato, """ + ", ".join(
+    f"round(coalesce(f{i}, 0), 6) AS feat_text_{i}" for i in range(1, _ROW_TERMS + 1)) + """
+FROM clean c LEFT JOIN (SELECT index, """ + ", ".join(f"max(w) FILTER (col = {i - 1}) AS f{i}" for i in range(1, _ROW_TERMS + 1)) + """
+  FROM (SELECT tf.index, voc.col, tf.tf * voc.idf / sqrt(sum(tf.tf * voc.idf * tf.tf * voc.idf) OVER (PARTITION BY tf.index)) AS w
+        FROM tf JOIN voc USING (term)) GROUP BY index) x USING (index)""", _VOCAB_CTE))
 def q_join_row_features(spark, sf):
     """Dense ``feat_text_i`` columns stay on their own contract row (no index merge)."""
-    c = clean(spark, sf).select("index", "log_valor_del_contrato", "full_contract_description")
-    vocab = Fe.tfidf_fit(c, "index", "full_contract_description", 100)
+    c = clean(spark, sf).select("index", F.round("log_valor_del_contrato", 6).alias("log_valor_del_contrato"),
+                                "full_contract_description")
+    vocab = Fe.tfidf_fit(c, "index", "full_contract_description", _ROW_TERMS)
     vec = Fe.tfidf_vectors(c, vocab, "full_contract_description")
-    return Fe.expand_vector(vec.drop("full_contract_description"), "tfidf", "feat_text_", 100)
+    wide = Fe.expand_vector(vec.drop("full_contract_description"), "tfidf", "feat_text_", _ROW_TERMS)
+    return wide.withColumns({f"feat_text_{i}": F.round(f"feat_text_{i}", 6) for i in range(1, _ROW_TERMS + 1)})
 
 
 # ------------------------------------------------------------------ provider date scalars

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from pactum.operators import eda
@@ -17,9 +17,9 @@ from pactum.plans.cleaning import clean_integrated, clean_processes
 from pactum.plans.report import eda_report
 from pactum.registry import register
 from pactum.registry.common import clean, table
-from pactum.registry.feature import _ORDER_CTE, _SPLIT_CTE
+from pactum.registry.feature import METHOD_LEVELS, ORDEN_LEVELS, TOKEN_SQL, _ORDER_CTE, _SPLIT_CTE, _onehot_sql
 from pactum.registry.jobs import PROFILE_CTES
-from pactum.registry.oracle import fold, with_clean
+from pactum.registry.oracle import CLEAN_COLUMNS, fold, with_clean
 from pactum.functions import rules as R
 from pactum.session import durable, materialized
 from pactum.sources import fixtures
@@ -80,8 +80,14 @@ SELECT vec_id, CAST(coalesce(new, -1) AS BIGINT) AS cluster, is_core FROM lab LE
     lab, "cluster")))(emb_labels(spark, sf)))
 register("cluster_scatter_frame")(outliers_frame)
 register("provider_outliers")(outliers_frame)
-register("outlier_top_k")(lambda spark, sf: outliers_frame(spark, sf).filter(F.col("cluster") == -1)
-                          .orderBy(F.col("index_count").desc(), "kind", "documento_proveedor").limit(20))
+register("outlier_top_k", _DBSCAN_CTES + """SELECT vec_id, round(e[1], 6) AS x FROM lab JOIN p USING (vec_id)
+WHERE cluster = -1 ORDER BY e[1] DESC, vec_id LIMIT 20""")(
+    lambda spark, sf: emb_labels(spark, sf).filter(F.col("cluster") == -1)
+    .join(table(spark, sf, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("e")), "vec_id")
+    .orderBy(F.col("e").desc(), "vec_id").limit(20).select("vec_id", F.round("e", 6).alias("x")))
+register("provider_outlier_top_k")(
+    lambda spark, sf: outliers_frame(spark, sf).filter(F.col("cluster") == -1)
+    .orderBy(F.col("index_count").desc(), "kind", "documento_proveedor").limit(20))
 
 
 @register("pca")
@@ -92,8 +98,16 @@ def q_pca(spark, sf):
 
 @register("provider_secondary_features")
 def q_secondary(spark, sf):
-    """Means of the ten components per person."""
-    return profiles(spark, sf)["people"].select("documento_proveedor", *[f"pca_{i}" for i in range(10)])
+    """Means of the ten components per provider, fitted for people and companies apart."""
+    return _both_kinds(profiles(spark, sf)).select("kind", "documento_proveedor", *[f"pca_{i}" for i in range(10)])
+
+
+@register("provider_cluster_matrix")
+def q_cluster_matrix(spark, sf):
+    """What the provider clusters are made from: the eighteen features of people and of companies."""
+    pcs = [f"pca_{i}" for i in range(10)]
+    return _both_kinds({kind: P.provider_features(p, AS_OF, pcs) for kind, p in profiles(spark, sf).items()}).select(
+        "kind", "documento_proveedor", *P.CLUSTER_FEATURES, *pcs)
 
 
 register("prepare_provider_profiles")(lambda spark, sf: _both_kinds(profiles(spark, sf)))
@@ -116,32 +130,64 @@ def q_value_pca(spark, sf):
     return M.assemble_features(proj, [P.TARGET, *[f"pca_{i}" for i in range(20)]], out="matrix").select("index", "matrix")
 
 
+CONTRACT_SETTINGS = ((0.2, 5), (0.4, 4))     # fixed values: the reference's two runs
+
+
 @register("contract_clusters")
 def q_contract_clusters(spark, sf):
+    """Both settings over the same components."""
     feats = P.prepare_contract_clusters(clean(spark, sf))
     cols = [c for c in feats.columns if c not in ("index", P.TARGET, "tfidf")]
-    vec = M.assemble_features(feats, [*cols, "tfidf"], out="x")
-    return P.contract_clusters(vec, "x", eps=0.4, min_pts=4, n_pca=20)
+    vec = durable(M.assemble_features(feats, [*cols, "tfidf"], out="x").select("index", P.TARGET, "x"), "contract-features")
+    runs = [P.contract_clusters(vec, "x", eps=eps, min_pts=n, n_pca=20).withColumn("setting", F.lit(f"{eps}/{n}"))
+            for eps, n in CONTRACT_SETTINGS]
+    return runs[0].unionByName(runs[1])
 
 
 def splits(spark, sf, n_terms=400):
     return P.split_contract_value(clean(spark, sf), n_terms=n_terms)
 
 
-_SPLIT_SQL = with_clean("""
-SELECT c.index, s.split, c.duration_days, c.dias_adicionados, c.days_ref,
-       CAST(c.orden = 'nacional' AS INTEGER) AS orden_nacional, CAST(c.orden = 'territorial' AS INTEGER) AS orden_territorial
-FROM clean c JOIN s USING (proceso_de_compra)""", _ORDER_CTE, _SPLIT_CTE)
+_SPLIT_COLUMNS = tuple(c for c in CLEAN_COLUMNS if c not in P.CONTRACT_COLUMNS)
+_SPLIT_DUMMIES = tuple(f"{c}_{v}" for c, levels in (("orden", ORDEN_LEVELS), ("modalidad_de_contratacion", METHOD_LEVELS))
+                       for v in levels[1:])
+_TRAIN_VOCAB = f"""tok AS (SELECT c.index, s.split, unnest({TOKEN_SQL}) AS term FROM clean c JOIN s USING (proceso_de_compra)),
+tf AS (SELECT index, split, term, count(*) AS tf FROM tok GROUP BY 1, 2, 3),
+st AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf WHERE split = 'train' GROUP BY 1),
+voc AS (SELECT term, ln((1 + (SELECT count(*) FROM clean JOIN s USING (proceso_de_compra) WHERE split = 'train')) / (1 + df)) + 1 AS idf,
+               row_number() OVER (ORDER BY term) AS col
+        FROM (SELECT * FROM st ORDER BY total DESC, term LIMIT 400)),
+w AS (SELECT index, col, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY index)) AS w FROM tf JOIN voc USING (term)),
+wide AS (SELECT index, count(*) AS n_terms, sum(w) AS total, sum(col * w) AS by_place FROM w GROUP BY 1)"""
+# every column of the six outputs: the text ones as they are, the TF-IDF vectors by count, sum and a sum that weighs places
+_SPLIT_SQL = with_clean(f"""
+SELECT c.index, s.split, round(c.{P.TARGET}, 6) AS {P.TARGET}, sha256(c.{P.TEXT}) AS text_sha256, c.duration_days, c.dias_adicionados,
+       c.days_ref, {", ".join(f"round(CAST(c.{x} AS DOUBLE), 6) AS {x}" for x in _SPLIT_COLUMNS)},
+       {_onehot_sql("orden", ORDEN_LEVELS)}, {_onehot_sql("modalidad_de_contratacion", METHOD_LEVELS)},
+       CAST(coalesce(n_terms, 0) AS INTEGER) AS tfidf_terms, round(coalesce(wide.total, 0), 4) AS tfidf_total,
+       round(coalesce(by_place, 0) / 100, 4) AS tfidf_by_place
+FROM clean c JOIN s USING (proceso_de_compra) LEFT JOIN wide ON wide.index = c.index""", _ORDER_CTE, _SPLIT_CTE, _TRAIN_VOCAB)
 
 
 @register("split_contract_value", _SPLIT_SQL)
 def q_split(spark, sf):
+    """The six outputs in one table: text and TF-IDF form of a part beside each other."""
     parts = splits(spark, sf)
-    cols = ["index", "duration_days", "dias_adicionados", "days_ref", "orden_nacional", "orden_territorial"]
     out = None
     for name in ("train", "cv", "test"):
-        p = parts[f"{name}_text"].select(*cols).withColumn("split", F.lit(name))
-        out = p if out is None else out.unionByName(p)
+        weights = vector_to_array("tfidf")
+        vec = parts[f"{name}_tfidf"].select(F.col("index").alias("__i"), weights.alias("w")).select(
+            "__i", F.size(F.filter("w", lambda x: x != 0)).alias("tfidf_terms"),
+            F.round(F.aggregate("w", F.lit(0.0), lambda acc, x: acc + x), 4).alias("tfidf_total"),
+            F.round(F.aggregate(F.transform("w", lambda x, i: x * (i + 1)), F.lit(0.0), lambda acc, x: acc + x) / 100, 4)
+            .alias("tfidf_by_place"))
+        text = parts[f"{name}_text"]
+        rows = text.join(vec.hint("merge"), F.col("index") == F.col("__i")).select(
+            "index", F.lit(name).alias("split"), F.round(P.TARGET, 6).alias(P.TARGET),
+            F.sha2(F.col(P.TEXT).cast("binary"), 256).alias("text_sha256"), "duration_days", "dias_adicionados", "days_ref",
+            *[F.round(F.col(c).cast("double"), 6).alias(c) for c in _SPLIT_COLUMNS], *[F.col(f"`{c}`") for c in _SPLIT_DUMMIES],
+            "tfidf_terms", "tfidf_total", "tfidf_by_place")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

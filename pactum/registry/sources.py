@@ -73,7 +73,9 @@ def q_write_parquet(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("skip_empty_write")
+@register("skip_empty_write", with_clean("""
+SELECT 'empty' AS "case", (SELECT count(*) > 0 FROM clean WHERE valor_del_contrato < 0) AS written
+UNION ALL SELECT 'one_column', false UNION ALL SELECT 'full', (SELECT count(*) > 0 FROM clean)"""))
 def q_skip_empty(spark, sf):
     c = clean(spark, sf)
     cases = {"empty": c.filter(F.col("valor_del_contrato") < 0), "one_column": c.select("index"), "full": c}
@@ -217,7 +219,10 @@ register("filter_keys_in", with_raw(f"SELECT id, {KEY} FROM v WHERE {KEY} IN {_B
     .select("id", KEY))
 
 
-@register("empty_batch")
+@register("empty_batch", with_raw(f"""
+SELECT 'missing-' || key AS key, CAST(row_number() OVER (ORDER BY 'missing-' || key) - 1 AS BIGINT) AS ord, 1 AS req,
+       '{NOW}' AS date, 0 AS success, CAST(0 AS BIGINT) AS n_rows
+FROM (SELECT DISTINCT {KEY} AS key FROM v WHERE {KEY} IS NOT NULL)"""))
 def q_empty_batch(spark, sf):
     """A batch whose keys have no rows: an empty frame with the full schema, success 0."""
     schema, path = landed(spark, sf)
