@@ -14,7 +14,10 @@ Each block of documents explodes its distinct n-grams with their counts and
 sends them, packed, to the bucket of their hash; there the count table is
 built and joined to the blocks' n-grams; each block gets its totals back in
 the order it sent them and sums the logarithms per document.  A frequent
-n-gram is one entry per block.  An n-gram is known by bucket and 48 more bits.
+n-gram is one entry per block.  Buckets follow the table's bytes (8 MB of text
+and order each).  An n-gram is known by its whole 64-bit hash: of n distinct
+n-grams about n^2 / 2^65 pairs share one and are counted together (none
+expected below 10^9, one pair in 10^7 n-grams at 10^12).
 
 Nulls and edge cases: a null or empty text has no words, score 0 and a null
 mean; a null id stays null; repeated rows are separate documents; an empty
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.blocks import column, from_runs, measure, n_blocks, packed, unpack
+from pactum.llm.blocks import bucket_bits, column, cuts, filled, from_runs, measure, n_blocks, packed, unpack
 from pactum.llm.common import n_words, text_or_empty
 from pactum.llm.tokens import Words, gram_hashes, slices, words_of
 
@@ -63,48 +66,54 @@ def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(every[every != 0], return_counts=True)
 
 
-def _cuts(hashes: np.ndarray, bits: int) -> np.ndarray:
-    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-    return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
+def _bytes_left(bits: int) -> int:
+    """Bytes of a 64-bit hash beside the bits that number its bucket."""
+    return -(-(64 - bits) // 8)
 
 
-def _six_bytes(hashes: np.ndarray, bits: int) -> bytes:
-    low = (hashes << np.uint64(bits)) >> np.uint64(16)
-    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _planes(hashes: np.ndarray, bits: int) -> bytes:
+    """Sorted hashes without their bucket's bits, byte plane by byte plane (the first planes change slowly)."""
+    left = (hashes << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :_bytes_left(bits)]
+    return np.ascontiguousarray(left.T).tobytes()
 
 
-def _from_six(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return wide.reshape(-1).view("<u8")
+def _from_planes(raw: bytes, bits: int) -> np.ndarray:
+    width = _bytes_left(bits)
+    wide = np.zeros((len(raw) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
 def _ask(order: int, bits: int):
     def ask(t: pa.Table) -> pa.Table:
         _, docs = _block_grams(t, order)
         hashes, n = _distinct(docs)
-        cut, n = _cuts(hashes, bits), n.astype("<u4")
-        rows = [b for b in range(1 << bits) if cut[b] < cut[b + 1]]
+        cut, n = cuts(hashes, bits), n.astype("<u4")
+        rows = filled(cut)
         return pa.table({"k": pa.array([t.column("k")[0].as_py()] * len(rows), pa.int32()),
                          "bucket": pa.array(rows, pa.int32()),
-                         "gram": pa.array([_six_bytes(hashes[cut[b]:cut[b + 1]], bits) for b in rows], pa.binary()),
+                         "gram": pa.array([_planes(hashes[cut[b]:cut[b + 1]], bits) for b in rows], pa.binary()),
                          "n": pa.array([n[cut[b]:cut[b + 1]].tobytes() for b in rows], pa.binary())})
 
     return ask
 
 
-def _total(t: pa.Table) -> pa.Table:
-    counts = t.column("n").to_pylist()
-    gram, n = _from_six(b"".join(t.column("gram").to_pylist())), from_runs(counts, "<u4").astype(np.int64)
-    order = np.argsort(gram, kind="stable")
-    s = gram[order]
-    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    total = np.empty(len(gram), np.int64)
-    total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.concatenate((first, [len(s)]))))
-    ends = np.cumsum([len(c) // 4 for c in counts])
-    return pa.table({"k": t.column("k"), "bucket": t.column("bucket"),
-                     "total": pa.array([total[e - len(c) // 4:e].tobytes() for e, c in zip(ends, counts, strict=True)],
-                                       pa.binary())})
+def _total(bits: int):
+    def total_of(t: pa.Table) -> pa.Table:
+        counts = t.column("n").to_pylist()
+        gram = np.concatenate([_from_planes(g, bits) for g in t.column("gram").to_pylist()])
+        n = from_runs(counts, "<u4").astype(np.int64)
+        order = np.argsort(gram, kind="stable")
+        s = gram[order]
+        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        total = np.empty(len(gram), np.int64)
+        total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.concatenate((first, [len(s)]))))
+        ends = np.cumsum([len(c) // 4 for c in counts])
+        return pa.table({"k": t.column("k"), "bucket": t.column("bucket"),
+                         "total": pa.array([total[e - len(c) // 4:e].tobytes() for e, c in zip(ends, counts, strict=True)],
+                                           pa.binary())})
+
+    return total_of
 
 
 def _document_score(grams: np.ndarray, others: np.ndarray, rest: int) -> float:
@@ -125,7 +134,7 @@ def _score(order: int, bits: int, corpus: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, docs = _block_grams(left, order)
         hashes, _ = _distinct(docs)
-        cut = _cuts(hashes, bits)
+        cut = cuts(hashes, bits)
         total = np.zeros(len(hashes) + 1, np.int64)
         for b, run in zip(right.column("bucket").to_pylist(), right.column("total").to_pylist(), strict=True):
             total[cut[b]:cut[b + 1]] = np.frombuffer(run, np.int64)
@@ -148,12 +157,10 @@ def _score(order: int, bits: int, corpus: int):
 
 def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """(id, n_words, score) per row; score is the sum of log10 S; null ids are ``blocks.NULL_ID``."""
-    spark = docs.sparkSession
-    bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     size = measure(docs, text_col, F.sum(n_words(text_or_empty(text_col))).alias("words"))
-    corpus = size["words"] or 0
+    corpus, bits = size["words"] or 0, bucket_bits(order * size["bytes"])
     blocks = packed(docs, n_blocks(size["bytes"]), id_col, text_col)
     asked = blocks.groupBy("k").applyInArrow(_ask(order, bits), "k int, bucket int, gram binary, n binary")
-    totals = asked.groupBy("bucket").applyInArrow(_total, "k int, bucket int, total binary")
+    totals = asked.groupBy("bucket").applyInArrow(_total(bits), "k int, bucket int, total binary")
     return blocks.groupBy("k").cogroup(totals.groupBy("k")).applyInArrow(
         _score(order, bits, corpus), "id long, n_words long, score double")

@@ -14,6 +14,7 @@ from pactum.llm.common import fingerprint
 
 NULL_ID = -(2 ** 63)  # a null id sorts before all others
 BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def ids_of(id_col: str):
@@ -32,6 +33,23 @@ def n_blocks(text_bytes: int) -> int:
     return max(1, text_bytes // BLOCK_BYTES)
 
 
+def bucket_bits(text_bytes: int) -> int:
+    """Bits of a hash that number the buckets of the corpus, so that one bucket gets the share of at most
+    ``BUCKET_BYTES`` of text; follows the table's bytes and no setting."""
+    return max(0, -(-text_bytes // BUCKET_BYTES) - 1).bit_length()
+
+
+def cuts(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Where the buckets of sorted hashes begin, by their first ``bits`` bits, and the end."""
+    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
+
+
+def filled(cut: np.ndarray) -> list[int]:
+    """The buckets that hold anything."""
+    return np.flatnonzero(cut[1:] > cut[:-1]).tolist()
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1)
     for b in batches:

@@ -19,9 +19,12 @@ one); windows are judged on the input.
    repeat, whose earliest place stays.
 4. Anchors so frequent that their edges alone would load one bucket (over a
    tenth of the mean) are found by a counting pass and dealt by window instead
-   of by anchor.  Their list is bounded by ten per bucket.
+   of by anchor.  Their list is bounded by ten per bucket and by a million.
 
-Segments are equal when two independent 64-bit hashes are.
+Segments are equal when their anchor (a 64-bit hash of five words) and their
+64-bit hash over all words are.  Both are made from one 64-bit hash per word,
+so of n different segments under one anchor about n^2 / 2^65 pairs would be
+taken for equal.  Buckets follow the table's bytes (8 MB of text each).
 
 Nulls and edge cases: null and empty texts have no words; texts under 20 words
 lose nothing; a null id sorts before all others; a document is an id and a
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.blocks import column, from_runs, ids_of, packed, unpack
+from pactum.llm.blocks import bucket_bits, column, from_runs, ids_of, measure, packed, unpack
 from pactum.llm.common import durable, fingerprint
 from pactum.llm.fm_index import SEPARATOR, FMIndex
 from pactum.llm.tokens import Words, _powers, gram_hashes, mix, slices, words_of
@@ -49,6 +52,7 @@ WINDOW = 20
 ANCHOR = 5
 _POSITION = np.uint64((1 << 28) - 1)
 HOT_SHARE = 10
+HOT_MOST = 1_000_000
 DOC = ("id", "t1", "t2")
 ENTRY = [("key", np.uint64), ("seg", np.uint64), ("id", np.int64), ("t1", np.int64), ("t2", np.int64), ("start", np.uint32), ("n", np.uint8)]
 
@@ -139,7 +143,7 @@ def _send(hot: np.ndarray, bits: int):
             bucket = (e["key"][sent] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sent), np.int64)
             by = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
-            groups = [(x, 0, sent[by[cut[x]:cut[x + 1]]]) for x in range(1 << bits) if cut[x] < cut[x + 1]]
+            groups = [(x, 0, sent[by[cut[x]:cut[x + 1]]]) for x in np.flatnonzero(cut[1:] > cut[:-1]).tolist()]
             if len(settled):  # any bucket will do: they only pass through
                 groups.append((int(e["id"][settled[0]]) % (1 << bits), 1, settled))
             yield pa.RecordBatch.from_arrays(
@@ -223,15 +227,14 @@ def _search_shard(t: pa.Table) -> pa.Table:
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, t1, t2, start, n): runs of windows (by their first word) that start earlier somewhere else."""
-    spark = docs.sparkSession
-    bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    bits = bucket_bits(measure(docs, text_col)["bytes"])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     t1, t2 = fingerprint(text)
     texts = docs.select(ids_of(id_col).alias("id"), text.alias("text"))
     counts = durable(texts.mapInArrow(_anchor_counts, "anchor long, n long, total long")
                      .groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "anchors")
-    mean = (counts.agg(F.sum("total")).first()[0] or 0) / (1 << bits)
-    often = counts.where(F.col("n") > max(100.0, mean / HOT_SHARE)).select("anchor")
+    total = counts.agg(F.sum("total")).first()[0] or 0
+    often = counts.where(F.col("n") > max(100.0, total / (1 << bits) / HOT_SHARE, total / HOT_MOST)).select("anchor")
     hot = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
     entries = docs.select(ids_of(id_col).alias("id"), text.alias("text"), t1.alias("t1"), t2.alias("t2"))
     sent = entries.mapInArrow(_send(hot, bits), "bucket int, settled int, key binary, seg binary, id binary, "
