@@ -63,6 +63,16 @@ def durable(df: DataFrame, name: str, rows: int | None = None, per_task: int = T
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrowed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in as few files as its rows need.
+
+    It is computed and written at full width first; only the stored rows, once
+    counted, are rewritten by fewer tasks.
+    """
+    wide = durable(df, name)
+    return durable(wide, name, wide.count())
+
+
 def fresh(df: DataFrame) -> DataFrame:
     """The same columns under new identities, for meeting another frame of the same origin."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

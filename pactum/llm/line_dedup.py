@@ -1,9 +1,11 @@
 """Line dedup that returns keep bitmaps instead of text (DataFrame functions only).
 
 Line hashes are range-partitioned by (hash, document) and sorted inside each
-partition, so a line held by a third of all documents is spread over many
-ranges while equal hashes of one document stay together.  The first
-occurrences per document stream into the count of documents per line.  Keys of
+partition by document, text and position, so a line held by a third of all
+documents is spread over many ranges while equal hashes of one document stay
+together.  A window over that very order streams through each partition and
+marks the first occurrence of a line in a document (no further shuffle or sort,
+no group in memory); first occurrences are what counts documents.  Keys of
 at least ``min_chars`` code points found in at least ``min_docs`` documents
 lose all their lines except in the largest document id that holds them.
 
@@ -13,16 +15,18 @@ no runs.
 
 Nulls and edge cases: a null or empty text is one empty line; a null id counts
 as one document, smaller than all others; repeated rows share one key (id and
-text fingerprint) and get the same bitmap; an empty table gives an empty
-result.  Other columns are never read.
+text fingerprint) and get the same bitmap; a very long text is split where it
+is read and travels as hashes; an empty table gives an empty result.  Other
+columns are not read; ``__n_lines`` and ``__n_dropped`` of the input are
+replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactum.llm.common import WHITE, ascii_lower, durable, fingerprint, let, text_or_empty
+from pactum.llm.common import WHITE, ascii_lower, durable, fingerprint, let, narrowed, text_or_empty
 
 
 def _line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -48,20 +52,17 @@ def _runs(positions: Column) -> Column:
 def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(doc, t1, t2, dropped): the dropped runs of each document that drops a line."""
-    ranged = _line_keys(docs, id_col, text_col, min_chars) \
-        .repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
-    # The range partitioning already clusters these keys, so neither step adds a shuffle.
-    held = ranged.groupBy("h1", "h2", "doc", "t1", "t2").agg(F.collect_set("pos").alias("at"))
-    held = durable(held, "line-holders")
-    per_doc = held.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
-    over = per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper")) \
+    ranged = _line_keys(docs, id_col, text_col, min_chars).repartitionByRange("h1", "h2", "doc") \
+        .sortWithinPartitions("h1", "h2", "doc", "t1", "t2", "pos")
+    in_doc = Window.partitionBy("h1", "h2", "doc").orderBy("t1", "t2", "pos")
+    held = durable(ranged.withColumn("first", F.row_number().over(in_doc) == 1), "line-holders")
+    over = held.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper")) \
         .where(F.col("n_docs") >= min_docs)
-    over = durable(over.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), "keeper"), "frequent-lines",
-                   docs.count())
+    over = narrowed(over.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), "keeper"), "frequent-lines")
     gone = held.join(over, (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2"))) \
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))
-    return gone.groupBy("doc", "t1", "t2").agg(F.collect_list("at").alias("at")).select(
-        "doc", "t1", "t2", _runs(F.array_sort(F.array_distinct(F.flatten("at")))).alias("dropped"))
+    return gone.groupBy("doc", "t1", "t2").agg(F.collect_set("pos").alias("at")).select(
+        "doc", "t1", "t2", _runs(F.array_sort("at")).alias("dropped"))
 
 
 def _kept_lines(lines: Column, dropped: Column) -> Column:

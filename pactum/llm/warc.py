@@ -4,8 +4,8 @@ A payload is streamed as rows (record, chunk number, running digest, text) of
 at most 64 KiB; a payload of one chunk is one record, a longer one a
 ``response`` segment followed by ``continuation`` records, as the WARC format
 has it.  Each chunk row carries the SHA-1 of the payload up to and including
-it, so neither writer nor reader ever holds or re-hashes a whole payload.
-Spark's text writer stores the rows, one record per row, as gzip files of a
+it, made by the one pass that hashes payloads, so the writer copies and the
+reader holds one chunk at a time beside Spark's own row.  Spark's text writer stores the rows, one record per row, as gzip files of a
 bounded number of rows in the shared folder; the record terminator is the line
 separator.
 
@@ -30,16 +30,18 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm.common import durable
+from pactum.llm.common import durable, fingerprint
 from pactum.llm.tokens import utf8
 from pactum.session import scratch_path
 
 CHUNK = 64 * 1024
 FILE_ROWS = 2048
+BATCH_BYTES = 8 << 20
 END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,8 +51,8 @@ def _base32(sha) -> str:
     return base64.b32encode(sha.digest()).decode()
 
 
-def _chunks(payload: bytes) -> Iterator[bytes]:
-    """Pieces of at most CHUNK bytes that end between characters; one empty piece for an empty payload."""
+def _chunks(payload: np.ndarray) -> Iterator[np.ndarray]:
+    """Views of at most CHUNK bytes that end between characters; one empty view for an empty payload."""
     at = 0
     while True:
         stop = min(at + CHUNK, len(payload))
@@ -62,23 +64,28 @@ def _chunks(payload: bytes) -> Iterator[bytes]:
             return
 
 
-def _payloads(b: pa.RecordBatch, name: str) -> Iterator[bytes]:
+def _payloads(b: pa.RecordBatch, name: str) -> Iterator[np.ndarray]:
+    """Views of the payloads' bytes in the batch; nothing is copied."""
     data, offsets = utf8(b.column(b.schema.get_field_index(name)))
     for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        yield data[a:z].tobytes()
+        yield data[a:z]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The one pass that hashes payloads: size, digest, and the running digest after each chunk but the last."""
     for b in batches:
-        digest, size = [], []
+        digest, size, running = [], [], []
         for p in _payloads(b, "payload"):
-            sha = hashlib.sha1()
+            sha, steps = hashlib.sha1(), []
             for c in _chunks(p):
                 sha.update(c)
-            digest.append(_base32(sha))
+                steps.append(_base32(sha))
+            digest.append(steps[-1])
+            running.append(steps[:-1])
             size.append(len(p))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.string())],
-                                         ["id", "n_bytes", "digest"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(size, pa.int64()), pa.array(digest, pa.string()),
+                                          pa.array(running, pa.list_(pa.string()))],
+                                         ["id", "t1", "t2", "n_bytes", "digest", "running"])
 
 
 def _line(name: str, value) -> str:
@@ -97,69 +104,74 @@ def _record(kind: str, name: str, key, url, extra: str, body: str, n_bytes: int)
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per WARC record: a revisit, a whole response, or one chunk of a segmented response."""
+    """One row per WARC record: a revisit, a whole response, or one chunk of a segmented response.
+
+    Rows are sent on whenever they hold ``BATCH_BYTES``, also between the chunks of one payload.
+    """
+    rows: list[str] = []
+    size = 0
+
+    def ready():
+        nonlocal rows, size
+        out = pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+        rows, size = [], 0
+        return out
+
     for b in batches:
-        rows: list[str] = []
-        size = 0
-        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("id", "url", "n_bytes", "digest", "refers")]
-        for key, url, n, digest, refers, payload in zip(*cols, _payloads(b, "payload"), strict=True):
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("id", "url", "n_bytes", "digest", "running", "refers")]
+        for key, url, n, digest, running, refers, payload in zip(*cols, _payloads(b, "payload"), strict=True):
             whole = _line("WARC-Payload-Digest", f"sha1:{digest}")
             if refers is not None:
                 extra = whole + _line("X-Payload-Bytes", n) + _line("WARC-Profile", PROFILE) \
                     + _line("WARC-Refers-To", _uri(refers))
                 rows.append(_record("revisit", _uri(key), key, url, extra, "", 0))
                 continue
-            if n <= CHUNK:
-                rows.append(_record("response", _uri(key), key, url, whole, payload.decode(), n))
-            else:
-                sha, sent = hashlib.sha1(), 0
-                for number, c in enumerate(_chunks(payload), 1):
-                    sha.update(c)
-                    sent += len(c)
-                    extra = _line("WARC-Segment-Number", number) + _line("X-Running-Digest", f"sha1:{_base32(sha)}")
+            steps = [*running, digest]
+            sent = 0
+            for number, c in enumerate(_chunks(payload), 1):
+                sent += len(c)
+                if len(steps) == 1:
+                    extra, name = whole, _uri(key)
+                else:
+                    extra = _line("WARC-Segment-Number", number) + _line("X-Running-Digest", f"sha1:{steps[number - 1]}")
                     name = _uri(key) if number == 1 else f"<urn:page:{'' if key is None else key}:{number}>"
                     extra += whole + ("" if number == 1 else _line("WARC-Segment-Origin-ID", _uri(key)))
-                    if sent == len(payload):
+                    if number == len(steps):
                         extra += _line("WARC-Segment-Total-Length", sent)
-                    rows.append(_record("response" if number == 1 else "continuation", name, key,
-                                        url, extra, c.decode(), len(c)))
-            size += n
-            if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
-                rows, size = [], 0
+                rows.append(_record("response" if number == 1 else "continuation", name, key, url, extra,
+                                    str(memoryview(c), "utf-8"), len(c)))
+                size += len(c)
+                if size > BATCH_BYTES:
+                    yield ready()
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+            yield ready()
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0) -> None:
     """Write one WARC record per row below ``path``."""
-    p = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
-                     F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
-    digests = durable(p.select("id", "payload").mapInArrow(_digests, "id long, n_bytes long, digest string"), "digests")
+    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
+    # Rows that share an id keep apart by their payload's fingerprint.
+    t1, t2 = fingerprint(payload)
+    p = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), t1.alias("t1"),
+                     t2.alias("t2"), payload.alias("payload"))
+    digests = durable(p.select("id", "t1", "t2", "payload").mapInArrow(
+        _digests, "id long, t1 long, t2 long, n_bytes long, digest string, running array<string>"), "digests")
     equal = digests.where(F.col("n_bytes") >= min_bytes).groupBy("digest", "n_bytes").agg(
         F.max("id").alias("refers"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
         F.col("digest").alias("e_digest"), F.col("n_bytes").alias("e_bytes"), "refers")
     equal = durable(equal, "equal-payloads")
     named = digests.join(equal, (F.col("digest") == F.col("e_digest")) & (F.col("n_bytes") == F.col("e_bytes")), "left")
     refers = F.when(F.col("id").isNull() | (F.col("id") != F.col("refers")), F.col("refers"))
-    roles = durable(named.select(F.col("id").alias("r_id"), "n_bytes", "digest", refers.alias("refers")).distinct(),
-                    "record-roles")
-    # Rows that share an id keep apart by their payload's digest.
-    own = F.sha1(F.col("payload").cast("binary"))
-    r = roles.withColumn("hex", _hex("digest"))
-    rows = p.withColumn("own", own).join(r, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("own") == F.col("hex")))
-    rows.select("id", "url", "payload", "n_bytes", "digest", "refers").mapInArrow(_records, "value string") \
+    roles = named.groupBy(F.col("id").alias("r_id"), F.col("t1").alias("r1"), F.col("t2").alias("r2")).agg(
+        F.first("n_bytes").alias("n_bytes"), F.first("digest").alias("digest"), F.first("running").alias("running"),
+        F.first(refers).alias("refers"))
+    r = durable(roles, "record-roles")
+    rows = p.join(r, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("t1") == F.col("r1")) & (F.col("t2") == F.col("r2")))
+    rows.select("id", "url", "payload", "n_bytes", "digest", "running", "refers").mapInArrow(_records, "value string") \
         .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
-def _hex(col: str):
-    """Base32 as lower-case hex: every 8 characters are 40 bits, 10 hex digits."""
-    digits = "0123456789abcdefghijklmnopqrstuv"
-    plain = F.translate(F.col(col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", digits)
-    return F.lower(F.concat(*[F.lpad(F.conv(F.substring(plain, 8 * i + 1, 8), 32, 16), 10, "0") for i in range(4)]))
-
-
 class _Stream:
     """Bytes of one gzip file, inflated as they are asked for."""
 

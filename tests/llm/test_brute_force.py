@@ -346,3 +346,24 @@ def test_blocks_round_trip(spark):
     out = blocks.packed(spark.createDataFrame(rows, DOCS), 3).toArrow()
     assert sorted(zip(out.column("id").to_pylist(), blocks.unpack(out.column("z").combine_chunks()).to_pylist())) == [
         (blocks.NULL_ID, ""), (1, "É\n"), (3, "")]
+
+
+def test_warc_rows_of_one_payload_leave_in_batches():
+    """A payload of many chunks is sent on while it is cut; its digests come from the first pass."""
+    import hashlib
+
+    import pyarrow as pa
+
+    text = "é" * 10_000_000
+    first = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([3]), pa.array([text])], ["id", "t1", "t2", "payload"])
+    digests = next(warc._digests(iter([first])))
+    assert digests["n_bytes"][0].as_py() == 20_000_000
+    assert digests["digest"][0].as_py() == warc._base32(hashlib.sha1(text.encode()))
+    assert len(digests["running"][0]) == -(-20_000_000 // warc.CHUNK) - 1
+    rows = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["u"]), pa.array([text]), digests["n_bytes"], digests["digest"],
+                                       digests["running"], pa.array([None], pa.int64())],
+                                      ["id", "url", "payload", "n_bytes", "digest", "running", "refers"])
+    batches = list(warc._records(iter([rows])))
+    assert len(batches) == 3 and max(b.nbytes for b in batches) < warc.BATCH_BYTES + 2 * warc.CHUNK + 500 * 400
+    body = "".join(v.split("\r\n\r\n", 1)[1] for b in batches for v in b.column(0).to_pylist())
+    assert body == text
