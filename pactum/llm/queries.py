@@ -49,7 +49,7 @@ def op5_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
-    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_shingles", "component_id")
+    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

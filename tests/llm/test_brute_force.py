@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pactum.llm import (blocks, decontaminate, fm_index, jaccard_join, substring_dedup, tokens, url_filter, warc,
+from pactum.llm import (blocks, decontaminate, fm_index, jaccard_join, link_counts, substring_dedup, tokens, url_filter, warc,
                         wrapper)
 from pactum.llm.components import connected_components
 
@@ -56,7 +56,7 @@ def brute_jaccard(rows, k=5):
     pairs = [(a, b) for a, b in itertools.combinations(sets, 2)
              if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     found = components(pairs, sets)
-    return {i: (len(sets[i]), found[i]) for i in sets}
+    return {i: (len(sets[i]), found[i], sum(i in p for p in pairs)) for i in sets}
 
 
 def jaccard_rows():
@@ -78,15 +78,42 @@ def jaccard_rows():
 @pytest.mark.parametrize("cell", [30_000, 700])
 def test_jaccard_components_match_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(jaccard_join, "CELL_SHINGLES", cell)  # small: cells are dealt in many chunks
+    monkeypatch.setattr(link_counts, "CHUNK_SHINGLES", cell)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 20 * cell)     # small: copies lie in several blocks
     rows = jaccard_rows()
     out = jaccard_join.jaccard_components(spark.createDataFrame(rows, DOCS).repartition(5))
-    got = {r["id"]: (r["n_shingles"], r["component"]) for r in out.collect()}
+    got = {r["id"]: (r["n_shingles"], r["component"], r["n_links"]) for r in out.collect()}
     assert got == brute_jaccard(rows)
 
 
+@pytest.mark.parametrize("gain", [0, 10 ** 9])
+@pytest.mark.parametrize("slab", [50, 4_000_000])
+def test_link_counts_by_postings_and_by_products(monkeypatch, gain, slab):
+    """Both ways of counting common shingles, in small and in large steps, with copies and with two sides."""
+    import numpy as np
+
+    monkeypatch.setattr(link_counts, "GEMM_GAIN", gain)
+    monkeypatch.setattr(link_counts, "SLAB", slab)
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2 ** 63, 40, np.uint64)
+    sets = [np.unique(np.concatenate((rng.choice(base, 40 - int(rng.integers(0, 12)), replace=False),
+                                      rng.integers(0, 2 ** 63, int(rng.integers(0, 6)), np.uint64)))) for _ in range(60)]
+    sets += [rng.integers(0, 2 ** 63, 3, np.uint64) for _ in range(5)]
+    copies = rng.integers(1, 4, len(sets))
+    plain = [frozenset(s.tolist()) for s in sets]
+
+    def linked(a, b):
+        return 100 * len(plain[a] & plain[b]) >= 80 * len(plain[a] | plain[b])
+
+    for side in (None, rng.integers(0, 2, len(sets))):
+        want = [sum(int(copies[j]) for j in range(len(sets)) if j != i and linked(i, j)
+                    and (side is None or side[i] != side[j])) for i in range(len(sets))]
+        assert link_counts.degrees(sets, copies, side, 80).tolist() == want
+
+
 def test_keep_first_leaves_one_of_each_group(spark):
     rows = [*jaccard_rows(), (1, "another text under a used id", "dup")]
-    want = {c for _, c in brute_jaccard(rows[:-1]).values()}
+    want = {c for _, c, _ in brute_jaccard(rows[:-1]).values()}
     out = jaccard_join.keep_first(spark.createDataFrame(rows, DOCS))
     ids = [r["doc_id"] for r in out.collect()]
     assert out.columns == ["doc_id", "text", "source"]
