@@ -176,8 +176,9 @@ def _keep_clean(block: list[tuple[int, str]], share: float, place: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(block, share)
         for b in batches:
-            clean = [not matcher.find(t) for t in b.column(place).to_pylist()]
-            yield b.filter(pa.array(clean, pa.bool_()))
+            for part in slices(b, place):
+                clean = [not matcher.find(t) for t in part.column(place).to_pylist()]
+                yield part.filter(pa.array(clean, pa.bool_()))
 
     return keep
 
