@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactum.llm.common import WHITE, WHITE_CLASS, ascii_lower, fingerprint, let, narrowed, text_or_empty
+from pactum.llm.common import WHITE, WHITE_CLASS, ascii_lower, durable, fingerprint, fresh, let, narrowed, text_or_empty
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -114,9 +114,10 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lines AQE splits.  The verdict joins on the row's own key.
     """
     counts = document_counts(docs, id_col, text_col, host_col)
-    lines = host_lines(docs, id_col, text_col, host_col)
+    # Written once: the texts are split into lines for the counts and for these hashes, and never again.
+    lines = durable(host_lines(docs, id_col, text_col, host_col), "host-lines")
     frequent = narrowed(frequent_lines(lines, max_docs).select("host", "h1", "h2", "home"), "frequent-lines")
-    f = frequent.select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), "home")
+    f = fresh(frequent).select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), "home")
     hit = lines.join(f, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))
                      & F.col("host").eqNullSafe(F.col("f_host"))) \
         .where(~F.col("doc_id").eqNullSafe(F.col("home")))
