@@ -10,6 +10,7 @@ from pactum.functions import text as T
 from pactum.registry import register
 from pactum.registry.common import clean, raw
 from pactum.registry.oracle import with_clean, with_raw
+from pactum.sources.schema import RAW_COLUMNS
 
 
 def _r6(df, *cols):
@@ -55,11 +56,7 @@ register("yearly_sum_count", with_clean(
     lambda spark, sf: clean(spark, sf).groupBy("departamento", F.year("fecha_de_firma").alias("anio"))
     .agg(F.sum("valor_del_contrato").alias("valor"), F.count(F.lit(1)).alias("n")))
 
-_RAW_COLS = ("nombre_entidad", "nit_entidad", "departamento", "ciudad", "orden", "proceso_de_compra",
-             "referencia_del_contrato", "estado_contrato", "descripcion_del_proceso", "modalidad_de_contratacion",
-             "fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato", "tipodocproveedor",
-             "documento_proveedor", "proveedor_adjudicado", "valor_del_contrato", "objeto_del_contrato",
-             "dias_adicionados")
+_RAW_COLS = RAW_COLUMNS[1:]
 register("null_fraction", with_raw(
     "SELECT * FROM (SELECT * FROM (SELECT " + ", ".join(f"avg(CAST({c} IS NULL AS DOUBLE)) AS {c}" for c in _RAW_COLS)
     + " FROM v) UNPIVOT (null_fraction FOR \"column\" IN (" + ", ".join(_RAW_COLS) + "))) "

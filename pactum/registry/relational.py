@@ -18,10 +18,8 @@ from pactum.registry.oracle import CLEAN_COLUMNS, ECO_CTE, fold, parse_int_sql,
 from pactum.functions import rules as R
 from pactum.sources import fixtures
 from pactum.sources.fixtures import duck_sql
+from pactum.sources.schema import MODEL_COLUMNS, RAW_COLUMNS, RAW_DATES
 
-MODEL_COLUMNS = ("index", "full_contract_description", "proceso_de_compra", "orden", "modalidad_de_contratacion",
-                 "duration_days", "Poblacion", "PIB", "ValorAgregado", "Impuestos", "log_valor_del_contrato",
-                 "dias_adicionados", "days_ref")
 _MODEL_SQL_COLS = ", ".join(f"round({c}, 6) AS {c}" if c in ("Poblacion", "PIB", "ValorAgregado", "Impuestos",
                                                              "log_valor_del_contrato") else c for c in MODEL_COLUMNS)
 
@@ -227,14 +225,6 @@ def _value_counts(df, columns):
                                            for c in columns])).alias("s")).select("s.*")
 
 
-RAW_COLUMNS = ("id", "nombre_entidad", "nit_entidad", "departamento", "ciudad", "orden", "proceso_de_compra",
-               "referencia_del_contrato", "estado_contrato", "descripcion_del_proceso", "modalidad_de_contratacion",
-               "fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato", "tipodocproveedor",
-               "documento_proveedor", "proveedor_adjudicado", "valor_del_contrato", "objeto_del_contrato",
-               "dias_adicionados")
-RAW_DATES = ("fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato")
-
-
 def _counts_sql(columns, view, status):
     return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{status}' AS status, count({c}) AS n_values FROM {view}"
                               for c in columns)

@@ -13,6 +13,7 @@ from pactum.registry.jobs import PROFILE_CTES
 from pactum.registry.oracle import ECO_CTE, with_clean, with_raw
 from pactum.session import scratch_path
 from pactum.sources import files, ingest, ledger as L, paged
+from pactum.sources.schema import RAW_DATES, TEXT_COLUMNS
 from pactum.sources.snapshots import SnapshotTable
 from pactum.sources.fixtures import ECONOMY_VALUE_COLUMNS
 from pactum.streaming.incremental import incremental_load, land_by_partition
@@ -151,12 +152,8 @@ register("extraction_success_ratio", with_raw(
                                                                                F.round("success_ratio", 6)))
 
 # ------------------------------------------------------------------ landed pages
-_STRING_COLS = ("nombre_entidad", "nit_entidad", "departamento", "ciudad", "orden", "proceso_de_compra",
-                "referencia_del_contrato", "estado_contrato", "descripcion_del_proceso", "modalidad_de_contratacion",
-                "tipodocproveedor", "documento_proveedor", "proveedor_adjudicado", "valor_del_contrato",
-                "objeto_del_contrato", "dias_adicionados")
-_CONFORMED = ", ".join(["id"] + [f"coalesce({c}, '') AS {c}" for c in _STRING_COLS]
-                       + ["fecha_de_firma", "fecha_de_inicio_del_contrato", "fecha_de_fin_del_contrato"])
+_CONFORMED = ", ".join(["id"] + [f"coalesce({c}, '') AS {c}" for c in TEXT_COLUMNS]
+                       + list(RAW_DATES))
 
 
 def landed(spark, sf):
