@@ -20,8 +20,9 @@ n-grams about n^2 / 2^65 pairs share one and are counted together (none
 expected below 10^9, one pair in 10^7 n-grams at 10^12).
 
 Nulls and edge cases: a null or empty text has no words, score 0 and a null
-mean; a null id stays null; repeated rows are separate documents; an empty
-table gives an empty result.  Other columns are never read.
+mean; a null id stays null; a very long text is a block of its own; repeated
+rows are separate documents; an empty table gives an empty result.  Other
+columns, whatever their names, are never read.  Ids are whole numbers.
 """
 
 from __future__ import annotations

@@ -14,8 +14,10 @@ and each block makes one shuffle-free pass over the documents.
 
 Nulls and edge cases: a null or empty item matches nothing; a null text has no
 matches; repeated items are each reported, repeated documents too; a null id
-stays null; an empty table gives an empty result.  Other columns are never
-read, or pass through unchanged (``drop_contaminated``).
+stays null; a very long text is searched whole, in slices of rows of at most
+1 MB of text (a longer one alone); an empty table gives an empty result.  Other
+columns, whatever their names, are never read, or pass through unchanged
+(``drop_contaminated``).  Ids are whole numbers.
 """
 
 from __future__ import annotations

@@ -8,8 +8,11 @@ rejected.  Exact copies of a text count as one document, so a copied article
 is left to the deduplication steps.
 
 Nulls and edge cases: a null text has no words and fails the base rule; a null
-host is a host of its own; repeated rows each get the same verdict; an empty
-table gives an empty result.  Other columns are never read.
+host is a host of its own; a very long text is one row of arrays while it is
+counted and hashes afterwards; repeated rows each get the same verdict; an
+empty table gives an empty result.  Other columns, whatever their names, are
+not read and pass through ``keep_good`` (names with two leading underscores
+are the operator's own).
 """
 
 from __future__ import annotations

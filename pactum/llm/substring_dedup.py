@@ -30,8 +30,10 @@ Nulls and edge cases: null and empty texts have no words; texts under 20 words
 lose nothing; a null id sorts before all others; a document is an id and a
 text, known by the text's two 64-bit hashes, so rows without an id, or with one
 id and different texts, are documents of their own, in order of the hashes;
-repeated rows count as one document (equal starts in them are no repeats); an
-empty table gives an empty result.  Other columns are never read.
+repeated rows count as one document (equal starts in them are no repeats); a
+very long text is cut into segments like any other and held whole only while
+its words are hashed and rebuilt; an empty table gives an empty result.  Other
+columns, whatever their names, are never read.  Ids are whole numbers.
 """
 
 from __future__ import annotations
