@@ -19,9 +19,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Frequent lines go from all documents but the last holder; ``n_chars`` follows the text."""
-    out = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs))
-    return out.drop("__n_lines", "__n_dropped").withColumn("n_chars", F.length("text").cast("long"))
+    """Frequent lines go from all documents but the last holder; ``n_chars``, where there is one, follows the text."""
+    out = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs)).drop("__n_lines", "__n_dropped")
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
