@@ -163,9 +163,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     equal = durable(equal, "equal-payloads")
     named = digests.join(equal, (F.col("digest") == F.col("e_digest")) & (F.col("n_bytes") == F.col("e_bytes")), "left")
     refers = F.when(F.col("id").isNull() | (F.col("id") != F.col("refers")), F.col("refers"))
-    roles = named.groupBy(F.col("id").alias("r_id"), F.col("t1").alias("r1"), F.col("t2").alias("r2")).agg(
-        F.first("n_bytes").alias("n_bytes"), F.first("digest").alias("digest"), F.first("running").alias("running"),
-        F.first(refers).alias("refers"))
+    # All of them follow from id and fingerprint; as keys of a hash aggregate they need no sort.
+    roles = named.select(F.col("id").alias("r_id"), F.col("t1").alias("r1"), F.col("t2").alias("r2"), "n_bytes", "digest",
+                         "running", refers.alias("refers")).distinct()
     r = durable(roles, "record-roles")
     rows = p.join(r, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("t1") == F.col("r1")) & (F.col("t2") == F.col("r2")))
     rows.select("id", "url", "payload", "n_bytes", "digest", "running", "refers").mapInArrow(_records, "value string") \
