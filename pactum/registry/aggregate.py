@@ -8,7 +8,7 @@ from pactum.functions import scalars as S
 from pactum.operators import eda
 from pactum.functions import text as T
 from pactum.registry import register
-from pactum.registry.common import clean, raw
+from pactum.registry.common import described, raw, records
 from pactum.registry.oracle import with_clean, with_raw
 from pactum.sources.schema import RAW_COLUMNS
 
@@ -19,21 +19,21 @@ def _r6(df, *cols):
 
 register("group_count", with_clean(
     "SELECT modalidad_de_contratacion, count(*) AS n FROM clean GROUP BY 1"))(
-    lambda spark, sf: eda.group_count(clean(spark, sf), "modalidad_de_contratacion"))
+    lambda spark, sf: eda.group_count(records(spark, sf), "modalidad_de_contratacion"))
 
 register("group_share", with_clean("""
 SELECT tipodocproveedor, count(*) AS n, round(count(*) / (SELECT count(*) FROM clean WHERE tipodocproveedor IS NOT NULL), 6) AS share
 FROM clean WHERE tipodocproveedor IS NOT NULL GROUP BY 1"""))(
-    lambda spark, sf: _r6(eda.group_share(clean(spark, sf), "tipodocproveedor"), "share"))
+    lambda spark, sf: _r6(eda.group_share(records(spark, sf), "tipodocproveedor"), "share"))
 
 _PCT = """
 SELECT {c}, count(*) AS n,
        CAST(CAST({fn}((count(*) / (SELECT count(*) FROM clean WHERE {c} IS NOT NULL)) * 100{arg}) AS BIGINT) AS VARCHAR) || '%' AS pct
 FROM clean WHERE {c} IS NOT NULL GROUP BY 1"""
 register("percent_distribution", with_clean(_PCT.format(c="tipodocproveedor", fn="round_even", arg=", 0")))(
-    lambda spark, sf: eda.percent_distribution(clean(spark, sf), "tipodocproveedor"))
+    lambda spark, sf: eda.percent_distribution(records(spark, sf), "tipodocproveedor"))
 register("percent_distribution_trunc", with_clean(_PCT.format(c="modalidad_de_contratacion", fn="floor", arg="")))(
-    lambda spark, sf: eda.percent_distribution(clean(spark, sf), "modalidad_de_contratacion", mode="trunc"))
+    lambda spark, sf: eda.percent_distribution(records(spark, sf), "modalidad_de_contratacion", mode="trunc"))
 
 register("daily_count", with_raw(
     "SELECT fecha_de_firma, count(referencia_del_contrato) AS n FROM v WHERE fecha_de_firma IS NOT NULL GROUP BY 1"))(
@@ -42,18 +42,18 @@ register("daily_count", with_raw(
 
 register("monthly_count", with_clean(
     "SELECT CAST(date_trunc('month', fecha_de_firma) AS DATE) AS mes, count(*) AS n FROM clean GROUP BY 1"))(
-    lambda spark, sf: eda.group_count(clean(spark, sf).select(S.first_of_month("fecha_de_firma").alias("mes")), "mes"))
+    lambda spark, sf: eda.group_count(records(spark, sf).select(S.first_of_month("fecha_de_firma").alias("mes")), "mes"))
 
 register("monthly_sum", with_clean(
     "SELECT CAST(date_trunc('month', fecha_de_firma) AS DATE) AS mes, CAST(sum(valor_del_contrato) AS BIGINT) AS valor "
     "FROM clean GROUP BY 1"))(
-    lambda spark, sf: clean(spark, sf).groupBy(S.first_of_month("fecha_de_firma").alias("mes"))
+    lambda spark, sf: records(spark, sf).groupBy(S.first_of_month("fecha_de_firma").alias("mes"))
     .agg(F.sum("valor_del_contrato").alias("valor")))
 
 register("yearly_sum_count", with_clean(
     "SELECT departamento, CAST(year(fecha_de_firma) AS INTEGER) AS anio, CAST(sum(valor_del_contrato) AS BIGINT) AS valor, "
     "count(*) AS n FROM clean GROUP BY 1, 2"))(
-    lambda spark, sf: clean(spark, sf).groupBy("departamento", F.year("fecha_de_firma").alias("anio"))
+    lambda spark, sf: records(spark, sf).groupBy("departamento", F.year("fecha_de_firma").alias("anio"))
     .agg(F.sum("valor_del_contrato").alias("valor"), F.count(F.lit(1)).alias("n")))
 
 _RAW_COLS = RAW_COLUMNS[1:]
@@ -72,7 +72,7 @@ register("describe_table", with_clean(" UNION ALL ".join(
     f"round(CAST(min({c}) AS DOUBLE), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, "
     f"round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75, "
     f"round(CAST(max({c}) AS DOUBLE), 6) AS max FROM clean" for c in _DESC_COLS)))(
-    lambda spark, sf: _r6(eda.describe_table(clean(spark, sf), _DESC_COLS), "min", "q25", "q50", "q75", "max")
+    lambda spark, sf: _r6(eda.describe_table(records(spark, sf), _DESC_COLS), "min", "q25", "q50", "q75", "max")
     .withColumns({"mean": F.round("mean", 3), "std": F.round("std", 3)}))  # moments of 1e9-sized values
 
 register("global_min_max", with_raw(
@@ -84,14 +84,14 @@ SELECT tipodocproveedor, round(avg(CAST(dias_adicionados > 0 AS DOUBLE)), 6) AS
        round(avg(CASE WHEN dias_adicionados > 0 THEN dias_adicionados END), 6) AS mean_positive
 FROM clean WHERE tipodocproveedor IN ('cedula de ciudadania', 'nit') GROUP BY 1"""))(
     lambda spark, sf: _r6(eda.share_and_conditional_mean(
-        clean(spark, sf).filter(F.col("tipodocproveedor").isin("cedula de ciudadania", "nit")), "dias_adicionados",
+        records(spark, sf).filter(F.col("tipodocproveedor").isin("cedula de ciudadania", "nit")), "dias_adicionados",
         by=["tipodocproveedor"]), "share_positive", "mean_positive"))
 
 register("filtered_sum", with_clean("""
 SELECT CAST(sum(CASE WHEN tipodocproveedor = 'nit' THEN valor_del_contrato END) AS BIGINT) AS valor_empresas,
        CAST(sum(CASE WHEN tipodocproveedor = 'cedula de ciudadania' THEN valor_del_contrato END) AS BIGINT) AS valor_personas
 FROM clean"""))(
-    lambda spark, sf: clean(spark, sf).agg(
+    lambda spark, sf: records(spark, sf).agg(
         F.sum(F.when(F.col("tipodocproveedor") == "nit", F.col("valor_del_contrato"))).alias("valor_empresas"),
         F.sum(F.when(F.col("tipodocproveedor") == "cedula de ciudadania", F.col("valor_del_contrato")))
         .alias("valor_personas")))
@@ -104,19 +104,19 @@ FROM v"""))(
         .alias("n_negative")))
 
 register("row_count", with_clean("SELECT count(*) AS n FROM clean"))(
-    lambda spark, sf: clean(spark, sf).agg(F.count(F.lit(1)).alias("n")))
+    lambda spark, sf: records(spark, sf).agg(F.count(F.lit(1)).alias("n")))
 
 register("column_mean_impute", with_clean(
     "SELECT index, round(Poblacion, 6) AS Poblacion, round(PIB, 6) AS PIB, round(ValorAgregado, 6) AS ValorAgregado, "
     "round(Impuestos, 6) AS Impuestos FROM clean"))(
-    lambda spark, sf: _r6(clean(spark, sf).select("index", "Poblacion", "PIB", "ValorAgregado", "Impuestos"),
+    lambda spark, sf: _r6(records(spark, sf).select("index", "Poblacion", "PIB", "ValorAgregado", "Impuestos"),
                           "Poblacion", "PIB", "ValorAgregado", "Impuestos"))
 
 _WORDS_SQL = with_clean("""
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split(full_contract_description, ' ')) AS word FROM clean)
 WHERE word <> '' GROUP BY 1""")
 register("word_frequency", _WORDS_SQL)(
-    lambda spark, sf: eda.word_frequency(clean(spark, sf), "full_contract_description"))
+    lambda spark, sf: eda.word_frequency(described(spark, sf), "full_contract_description"))
 
 
 # ------------------------------------------------------------------ histograms
@@ -142,7 +142,7 @@ LEFT JOIN h ON h.bin = g.bin{jg}""",
 
 
 def _hist(spark, sf, col, bins, where=None, group=None, prob=False):
-    df = clean(spark, sf)
+    df = records(spark, sf)
     if where is not None:
         df = df.filter(where)
     out = eda.histogram(df, col, bins, group=group, density_by_group=prob)
@@ -177,6 +177,6 @@ register("histogram_filtered", _AUTO_SQL)(
 register("flatten_words", with_clean("""
 SELECT word, count(*) AS n, count(DISTINCT index) AS n_contracts
 FROM (SELECT index, unnest(string_split(full_contract_description, ' ')) AS word FROM clean) GROUP BY word"""))(
-    lambda spark, sf: clean(spark, sf).select("index", F.explode(T.split_words("full_contract_description")).alias("word"))
+    lambda spark, sf: described(spark, sf).select("index", F.explode(T.split_words("full_contract_description")).alias("word"))
     .groupBy("word", "index").agg(F.count(F.lit(1)).alias("k"))
     .groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_contracts")))

@@ -8,7 +8,7 @@ from pactum.functions import rules as R
 from pactum.functions import scalars as S
 from pactum.functions import text as T
 from pactum.registry import register
-from pactum.registry.common import clean, eco, raw
+from pactum.registry.common import eco, raw, records
 from pactum.registry.oracle import (ECO_CTE, fold, parse_int_sql, recode_sql, strip_check_sql,
                                     with_clean, with_raw)
 from pactum.sources import fixtures
@@ -30,7 +30,7 @@ def over_raw(name: str, spark_cols: dict, sql_cols: dict, aliases=()):
 
 def over_clean(name: str, spark_cols: dict, sql_cols: dict, aliases=()):
     sql = lambda: with_clean("SELECT index, " + _columns(sql_cols) + " FROM clean")()
-    fn = lambda spark, sf: clean(spark, sf).select(
+    fn = lambda spark, sf: records(spark, sf).select(
         "index", *[f().alias(k) for k, f in spark_cols.items()])
     for n in (name, *aliases):
         register(n, sql)(fn)
