@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
+from pactum.session import durable
+
 PAGE_ROWS = 4000   # rows per landed page (API page size)
 
 
@@ -27,9 +29,12 @@ def land_pages(df: DataFrame, path: str, page_rows: int = PAGE_ROWS) -> None:
     """Write ``df`` as JSON pages (files) of at most ``page_rows`` rows each; no sort, no folder per page.
 
     Every value is written as text, dates as ISO strings, like an API page.
+    Pages are compressed: a page is read whole by one task, and whole texts as
+    JSON are the most bytes that a load writes.
     """
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    as_text.write.mode("errorifexists").option("maxRecordsPerFile", page_rows).json(path)
+    as_text.write.mode("errorifexists").option("maxRecordsPerFile", page_rows) \
+        .option("compression", "gzip").json(path)
 
 
 def conform_schema(df: DataFrame, schema: StructType, date_format: str | None = None,
@@ -55,10 +60,15 @@ def conform_schema(df: DataFrame, schema: StructType, date_format: str | None =
 
 def ingest_pages(spark: SparkSession, path: str, schema: StructType, keys: DataFrame | None = None,
                  key_col: str | None = None) -> DataFrame:
-    """Read landed pages with the schema's fields only, keep the batch keys, conform."""
+    """Read landed pages with the schema's fields only, keep the batch keys, conform.
+
+    The keys are written first: the planner then knows their bytes, and moves
+    whole pages through a shuffle only for keys that are too many to broadcast.
+    """
     pages = spark.read.schema(text_schema(schema)).json(path)
     if keys is not None and key_col is not None:
-        pages = pages.join(keys.select(F.col("key").alias(key_col)), key_col, "left_semi")
+        batch = durable(keys.select(F.col("key").alias(key_col)).distinct(), "batch-keys")
+        pages = pages.join(batch, key_col, "left_semi")
     return conform_schema(pages, schema)
 
 
