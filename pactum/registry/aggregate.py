@@ -173,10 +173,22 @@ register("histogram_filtered", _AUTO_SQL)(
     lambda spark, sf: _hist(spark, sf, "dias_adicionados", None, where=F.col("dias_adicionados") > 0))
 
 
+def word_counts(rows, text_col, rows_out):
+    """(word, n, ``rows_out``): occurrences of every word, and the rows that hold it.
+
+    Every occurrence is a row before it is counted, and a row's distinct words
+    are once more: both are counted by word alone, so that no (word, row) pair
+    is shuffled.
+    """
+    words = F.col("__words")
+    each = F.concat(F.transform(words, lambda w: F.struct(w.alias("word"), F.lit(0).alias("first"))),
+                    F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("word"), F.lit(1).alias("first"))))
+    return rows.select(T.split_words(text_col).alias("__words")).select(F.inline(each)) \
+        .groupBy("word").agg(F.count_if(F.col("first") == 0).alias("n"), F.sum("first").alias(rows_out))
+
+
 # flattened word lists of all contracts: every occurrence is a row before it is counted
 register("flatten_words", with_clean("""
 SELECT word, count(*) AS n, count(DISTINCT index) AS n_contracts
 FROM (SELECT index, unnest(string_split(full_contract_description, ' ')) AS word FROM clean) GROUP BY word"""))(
-    lambda spark, sf: described(spark, sf).select("index", F.explode(T.split_words("full_contract_description")).alias("word"))
-    .groupBy("word", "index").agg(F.count(F.lit(1)).alias("k"))
-    .groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_contracts")))
+    lambda spark, sf: word_counts(described(spark, sf), "full_contract_description", "n_contracts"))

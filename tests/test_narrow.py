@@ -53,3 +53,14 @@ def test_phrase_is_found_in_the_start_of_a_text(spark):
         lower = {s: spark.range(1).select(F.lower(F.lit(s))).first()[0] for s in starts if s is not None}
         gone = {s for s, x in lower.items() if (x[:29] == INTERADMIN_PHRASE if exact else x.startswith(INTERADMIN_PHRASE))}
         assert gone and kept == set(starts) - gone
+
+
+def test_words_are_counted_without_word_and_row_pairs(spark):
+    from pactum.registry.aggregate import word_counts
+
+    texts = ["a b a", "b", "", "a  c", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r["word"]: (r["n"], r["n_rows"]) for r in word_counts(df, "text", "n_rows").collect()}
+    assert got == {"a": (3, 2), "b": (2, 2), "c": (1, 1), "": (2, 2)}
+    plan = word_counts(df, "text", "n_rows")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
