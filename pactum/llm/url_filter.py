@@ -137,8 +137,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     # Markup without these words holds no such link; only the other pages are searched further.
     told = pages.where(F.col(url_col).isNotNull() & F.rlike(html, F.lit("(?i)canonical|refresh")))
     tags = told.select(F.col(url_col).cast("string").alias("src"), F.regexp_replace(html, UNSEEN, " ").alias("h")).select(
-        "src", F.regexp_extract_all("h", F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0)).alias("tags")) \
-        .where(F.size("tags") > 0)
+        "src", F.regexp_extract_all("h", F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0)).alias("tags"))
 
     def canonical(tag: Column) -> Column:
         words = F.split(F.lower(F.btrim(_attribute(tag, "rel"), F.lit(" \t\n\f\r"))), r"\s+")
@@ -152,10 +151,13 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         F.transform(F.filter("tags", refresh), lambda t: F.regexp_extract(
             decode_references(_attribute(t, "content")), r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1)))
     home = F.get(F.filter("tags", lambda t: F.rlike(t, F.lit(r"(?is)^<base\b.*\bhref"))), F.lit(0))
-    links = tags.select("src", decode_references(_attribute(home, "href")).alias("home"), F.explode(found).alias("link"))
+    links = tags.select("src", decode_references(_attribute(home, "href")).alias("home"), found.alias("found"))
     base = F.coalesce(resolve(F.col("src"), F.col("home")), F.col("src"))
-    links = links.select("src", "link", base.alias("base"))
-    return links.select("src", resolve(F.col("base"), F.col("link")).alias("dst")).where(F.col("dst").isNotNull())
+    links = links.select("src", "found", base.alias("base"))
+    # Links are resolved and kept inside the array: a filter on rows would be moved below these steps, with a copy of
+    # them for each time that it names one.
+    named = F.filter(F.transform("found", lambda link: resolve(F.col("base"), link)), lambda dst: dst.isNotNull())
+    return links.select("src", F.explode(named).alias("dst"))
 
 
 def explicit_verdicts(hosts_paths: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
