@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pactum.operators import features as Fe
-from pactum.operators.dbscan import block_pairs, dbscan, spatial_blocks
+from pactum.operators.dbscan import block_pairs, dbscan, spatial_blocks, work_units
 from pactum.operators.indexing import dense_index
 from pactum.operators.quantiles import exact_quantiles
 from pactum.operators.intervals import max_concurrent
@@ -176,3 +176,21 @@ def test_block_pairs_are_those_with_near_boxes(spark):
     gap = np.maximum(0, np.maximum(lo[:, None] - hi[None], lo[None] - hi[:, None]))
     near = (gap ** 2).sum(2) <= 0.49
     assert got == {(f"{i:02d}", f"{j:02d}") for i in range(60) for j in range(i, 60) if near[i, j]}
+
+
+def test_units_of_work_hold_every_block_pair_and_few_copies_of_a_block(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 16))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x / np.linalg.norm(x, axis=1)[:, None])],
+                               "pid long, vec array<double>, w long")
+    tagged, pairs = spatial_blocks(df, 1.0, block=32)
+    pairs = pairs.checkpoint()
+    units = [tuple(r) for r in work_units(tagged, pairs).collect()]
+    want = sorted((r["blk_a"], r["blk_b"]) for r in pairs.collect())
+    blocks = {b for p in want for b in p}
+    assert sorted((a, b) for _, a, b in units) == want and len(blocks) > 100
+    assert len({(u, b) for u, *ab in units for b in ab}) <= 17 * len(blocks)   # by block pairs it would be over 100 each
+    per_unit = {}
+    for u, *ab in units:
+        per_unit.setdefault(u, set()).update(ab)
+    assert max(map(len, per_unit.values())) <= 64
