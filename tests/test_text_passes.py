@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from pactum.operators import features as Fe
+from pactum.operators.tokens import lemma_table_from_vocabulary
 
 
 WORDS = ["Uno", "uno", "dos", "¿dos?", "a", "x–y–dos", "ΣΑΣ", "tab\tdos", "3º", "_", "", "ñandú", "İstanbul"]
@@ -16,6 +17,19 @@ def _texts(spark):
     return spark.createDataFrame([*rows, (90, None), (91, "")], "id long, t string")
 
 
+def _counted(df):
+    """``df`` and a counter of the times it is read as a whole."""
+    sc, n = df.sparkSession.sparkContext, df.count()
+    seen = sc.accumulator(0)
+
+    def through(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(through, df.schema), lambda: seen.value / n
+
+
 def test_words_give_the_terms_of_texts(spark, monkeypatch):
     docs = _texts(spark)
     tokens = docs.select("id", F.explode(Fe.tfidf_tokens("t")).alias("term"))
@@ -47,3 +61,11 @@ def test_vectors_count_only_the_vocabulary(spark):
         norm = sum(x * x for x in raw) ** 0.5 or 1.0
         assert all(abs(x / norm - y) < 1e-12 for x, y in zip(raw, r["tfidf"].toArray(), strict=True))
     assert "filter(regexp_extract_all" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lemma_table_reads_the_texts_once(spark):
+    docs, reads = _counted(spark.createDataFrame([("casas",), ("casa",), ("mes",)] * 5, "word string"))
+    table = lemma_table_from_vocabulary(docs)
+    for _ in range(2):
+        assert [tuple(r) for r in table.collect()] == [("casas", "casa")]
+    assert reads() == 1
