@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from pactum.operators import features as Fe
 from pactum.operators.tokens import lemma_table_from_vocabulary
+from pactum.plans import modeling as P
+from pactum.registry.common import described
 
+from conftest import SMOKE
 
 WORDS = ["Uno", "uno", "dos", "¿dos?", "a", "x–y–dos", "ΣΑΣ", "tab\tdos", "3º", "_", "", "ñandú", "İstanbul"]
 
@@ -69,3 +72,10 @@ def test_lemma_table_reads_the_texts_once(spark):
     for _ in range(2):
         assert [tuple(r) for r in table.collect()] == [("casas", "casa")]
     assert reads() == 1
+
+
+def test_profiles_read_the_texts_for_the_fit_and_once_for_the_vectors(spark):
+    clean, reads = _counted(described(spark, SMOKE))
+    P.prepare_provider_profiles(clean)
+    # words, documents, rows, two category lists, vectors
+    assert reads() <= 6
