@@ -8,6 +8,7 @@ from pactum.operators import features as Fe
 from pactum.operators.tokens import lemma_table_from_vocabulary
 from pactum.plans import modeling as P
 from pactum.registry.common import described
+from pactum.registry.model import q_value_pca
 
 from conftest import SMOKE
 
@@ -79,3 +80,8 @@ def test_profiles_read_the_texts_for_the_fit_and_once_for_the_vectors(spark):
     P.prepare_provider_profiles(clean)
     # words, documents, rows, two category lists, vectors
     assert reads() <= 6
+
+
+def test_value_matrix_reads_stored_vectors(spark):
+    plan = q_value_pca(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan
