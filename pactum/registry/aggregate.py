@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pactum.functions import scalars as S
 from pactum.operators import eda
-from pactum.functions import text as T
+from pactum.operators.coded import count_words
 from pactum.registry import register
 from pactum.registry.common import described, raw, records
 from pactum.registry.oracle import with_clean, with_raw
@@ -176,15 +176,10 @@ register("histogram_filtered", _AUTO_SQL)(
 def word_counts(rows, text_col, rows_out):
     """(word, n, ``rows_out``): occurrences of every word, and the rows that hold it.
 
-    Every occurrence is a row before it is counted, and a row's distinct words
-    are once more: both are counted by word alone, so that no (word, row) pair
+    Both are counted where the texts are read and summed by word alone, so that no (word, row) pair
     is shuffled.
     """
-    words = F.col("__words")
-    each = F.concat(F.transform(words, lambda w: F.struct(w.alias("word"), F.lit(0).alias("first"))),
-                    F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("word"), F.lit(1).alias("first"))))
-    return rows.select(T.split_words(text_col).alias("__words")).select(F.inline(each)) \
-        .groupBy("word").agg(F.count_if(F.col("first") == 0).alias("n"), F.sum("first").alias(rows_out))
+    return count_words(rows, text_col, held=rows_out)
 
 
 # flattened word lists of all contracts: every occurrence is a row before it is counted
